@@ -16,9 +16,8 @@ class CleaningParams:
     median_cols: tuple[str, ...] = ("age", "unit_price", "discount", "customer_rating", "shipping_days")
     mode_cols: tuple[str, ...] = ("gender", "payment_method", "region", "city", "state", "loyalty_tier")
     date_format: str = "yyyy-MM-dd"
-    # reference rounding (numpy) is half-even; the default keeps half-up so that
-    # Spark and SQL engines agree on decimals
-    half_even: bool = False
+    # numpy rounding (scale, round half to even, unscale); False = half away from zero
+    half_even: bool = True
     # how the deduplicated frame is pinned before the global aggregates
     materialize: str = "checkpoint"
 

@@ -42,3 +42,28 @@ _on_sales("quarter_yoy", marts.quarter_yoy)
 _on_sales("region_category", marts.region_category)
 _on_sales("top_products", marts.top_products, n=10)
 _on_sales("top5_products", marts.top_products, n=5)
+
+# ---------------------------------------------------------------- cleaning
+from tessera.operators import clean as C  # noqa: E402
+from tessera.operators import quality as Q  # noqa: E402
+from tessera.sources import sales_raw  # noqa: E402
+
+
+def _on_raw(name: str, fn) -> None:
+    QUERIES[name] = lambda spark, sf_dir: fn(sales_raw(spark, sf_dir))
+
+
+_on_raw("dedup", C.remove_duplicates)
+_on_raw("date_fix", lambda r: C.drop_flags(C.fix_dates(r)))
+_on_raw("standardise", lambda r: C.drop_flags(C.standardise_categoricals(r)))
+_on_raw("invalid_values", lambda r: C.drop_flags(C.fix_invalid_values(r)))
+_on_raw("impute", C.impute_missing)
+_on_raw("iqr_bounds", lambda r: C.iqr_bounds(r, ["unit_price"], 3.0))
+_on_raw("iqr_cap", lambda r: C.cap_outliers(r).drop("_cap_unit_price"))
+_on_raw("zscore_count", lambda r: C.zscore_count(r, "age", 3.0))
+_on_raw("derive", lambda r: C.drop_flags(C.type_cast(C.recompute_derived(C.fix_dates(r)))))
+_on_raw("raw_profile", Q.raw_profile)
+_on_raw("cleaned_sales", lambda r: C.clean_sales(r).clean)
+_on_raw("validation", lambda r: C.clean_sales(r).validation)
+_on_raw("dq_report", lambda r: C.clean_sales(r).report)
+_on_raw("dq_issues", lambda r: C.clean_sales(r).issues)

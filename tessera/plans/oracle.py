@@ -104,3 +104,111 @@ FROM (SELECT product_name, {msum('total_sales')} AS revenue FROM sales WHERE pro
       GROUP BY product_name ORDER BY revenue DESC, product_name LIMIT 10)""")
 
 ORACLE["top5_products"] = ORACLE["top_products"].replace("LIMIT 10", "LIMIT 5")
+
+# ---------------------------------------------------------------- cleaning
+from tessera.plans import sql_clean as C  # noqa: E402
+
+register("dedup", "SELECT DISTINCT * FROM sales_raw", raw=True, clean=False)
+register("date_fix", f"""
+WITH parsed AS ({C.PARSED.format(src='sales_raw')}),
+md AS ({C.MEDIAN_DATE.format(src='parsed')})
+SELECT * REPLACE (coalesce(order_date, (SELECT md FROM md)) AS order_date) FROM parsed""", raw=True, clean=False)
+register("standardise", C.STANDARDISED.format(src="sales_raw"), raw=True, clean=False)
+register("invalid_values", C.INVALID.format(src="sales_raw"), raw=True, clean=False)
+register("impute", f"""
+WITH med AS ({C.medians_cte('sales_raw')})
+{C.imputed('sales_raw', 'med')}""", raw=True, clean=False)
+register("iqr_bounds", C.bounds("sales_raw"), raw=True, clean=False)
+register("iqr_cap", f"WITH bnd AS ({C.bounds('sales_raw')}) {C.capped('sales_raw', 'bnd')}", raw=True, clean=False)
+register("zscore_count", """
+WITH m AS (SELECT avg(age) AS m, stddev_pop(age) AS s FROM sales_raw)
+SELECT count(*) FILTER (WHERE age IS NOT NULL AND abs((age - m) / s) > 3.0) AS n_outliers FROM sales_raw, m""",
+         raw=True, clean=False)
+register("derive", f"""
+WITH parsed AS ({C.PARSED.format(src='sales_raw')}),
+md AS ({C.MEDIAN_DATE.format(src='parsed')}),
+dated AS (SELECT * REPLACE (coalesce(order_date, (SELECT md FROM md)) AS order_date) FROM parsed),
+der AS ({C.DERIVED.format(src='dated')})
+{C.CAST.format(src='der')}""", raw=True, clean=False)
+register("raw_profile", """
+SELECT count(*) AS raw_rows, 20 AS raw_cols,
+  CAST(""" + " + ".join(f"count(*) - count({c})" for c in (
+    "order_id", "customer_id", "customer_name", "age", "gender", "city", "state", "region",
+    "loyalty_tier", "product_category", "product_name", "quantity", "unit_price", "discount",
+    "total_sales", "order_date", "payment_method", "customer_rating", "return_flag",
+    "shipping_days")) + """ AS BIGINT) AS raw_nulls,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sales_raw)) AS raw_duplicates
+FROM sales_raw""", raw=True, clean=False)
+register("cleaned_sales", "WITH " + C.chain() + "SELECT * FROM clean", raw=True, clean=False)
+
+_VALIDATION_AGG = """
+v AS (SELECT
+  CAST(""" + " + ".join(f"count(*) - count({c})" for c in ("age", "quantity", "unit_price", "total_sales", "order_date")) + """ AS BIGINT) AS c0,
+  count(*) FILTER (WHERE NOT coalesce(customer_rating BETWEEN 1.0 AND 5.0, false)) AS c1,
+  count(*) FILTER (WHERE NOT coalesce(quantity >= 0, false)) AS c2,
+  count(*) FILTER (WHERE NOT coalesce(unit_price > 0, false)) AS c3,
+  count(*) FILTER (WHERE NOT coalesce(discount BETWEEN 0.0 AND 1.0, false)) AS c4,
+  count(*) FILTER (WHERE gender IS NULL) AS c5 FROM clean),
+val AS (
+  SELECT 'No nulls in key columns' AS "check", c0 AS violations FROM v UNION ALL
+  SELECT 'All ratings in [1.0, 5.0]', c1 FROM v UNION ALL
+  SELECT 'All quantities >= 0', c2 FROM v UNION ALL
+  SELECT 'All unit prices > 0', c3 FROM v UNION ALL
+  SELECT 'Discount in [0, 1]', c4 FROM v UNION ALL
+  SELECT 'No empty gender values', c5 FROM v)
+"""
+register("validation", "WITH " + C.chain() + "," + _VALIDATION_AGG +
+         'SELECT "check", violations, violations = 0 AS passed FROM val', raw=True, clean=False)
+
+_ALL24 = ("order_id", "customer_id", "customer_name", "age", "gender", "city", "state", "region",
+          "loyalty_tier", "product_category", "product_name", "quantity", "unit_price", "discount",
+          "total_sales", "order_date", "payment_method", "customer_rating", "return_flag",
+          "shipping_days", "year", "month", "month_name", "quarter")
+_RAW20 = _ALL24[:20]
+
+
+def _rnd1(x: str) -> str:
+    return f"(round_even(({x}) * 10.0, 0) / 10.0)"
+
+
+_REPORT_CTES = "WITH " + C.chain() + "," + _VALIDATION_AGG + f""",
+prof AS (SELECT count(*) AS raw_rows,
+  CAST({' + '.join(f'count(*) - count({c})' for c in _RAW20)} AS BIGINT) AS raw_nulls FROM sales_raw),
+flags AS (SELECT
+  count(*) AS dedup_rows,
+  count(*) FILTER (WHERE try_strptime(d.order_date, '%Y-%m-%d') IS NULL) AS invalid_dates,
+  count(*) FILTER (WHERE {C.strip('d.gender')} IN {C.MALE} OR {C.strip('d.gender')} IN {C.FEMALE}) AS gender_variants_fixed,
+  count(*) FILTER (WHERE d.gender IS NOT NULL AND NOT ({C.strip('d.gender')} IN {C.MALE} OR {C.strip('d.gender')} IN {C.FEMALE})
+                   AND {C.strip('d.gender')} NOT IN ('Male', 'Female')) AS unknown_genders,
+  count(*) FILTER (WHERE d.quantity < 0) AS negative_qty_fixed,
+  count(*) FILTER (WHERE d.customer_rating IS NOT NULL AND NOT (d.customer_rating BETWEEN 1.0 AND 5.0)) AS bad_ratings_nulled
+  FROM dedup d),
+miss AS (SELECT {', '.join(f'count(*) - count({c}) AS missing_{c}' for c in C.NUM + C.CAT)} FROM inv),
+capn AS (SELECT count(*) FILTER (WHERE unit_price < (SELECT lo FROM bnd) OR unit_price > (SELECT hi FROM bnd)) AS capped_unit_price FROM imp),
+fin AS (SELECT count(*) AS final_rows,
+  CAST({' + '.join(f'count(*) - count({c})' for c in _ALL24)} AS BIGINT) AS final_nulls FROM clean),
+failed AS (SELECT count(*) FILTER (WHERE violations > 0) AS failed_checks FROM val),
+rep0 AS (SELECT prof.raw_rows, 20 AS raw_cols, prof.raw_nulls, prof.raw_rows - flags.dedup_rows AS raw_duplicates,
+  prof.raw_rows - flags.dedup_rows AS duplicates_removed, invalid_dates, gender_variants_fixed, unknown_genders,
+  negative_qty_fixed, bad_ratings_nulled, 9 AS whitespace_cols,
+  {', '.join(f'missing_{c}' for c in C.NUM + C.CAT)}, capped_unit_price,
+  final_rows, 24 AS final_cols, final_nulls, failed_checks
+  FROM prof, flags, miss, capn, fin, failed),
+rep AS (SELECT *, {_rnd1('''greatest(0.0, least(100.0, 100.0
+    - CASE WHEN raw_rows > 0 THEN least(20.0, (raw_rows - final_rows) / raw_rows * 200) ELSE 0.0 END
+    - CASE WHEN final_rows * greatest(final_cols, 1) > 0 THEN least(30.0, final_nulls / (final_rows * greatest(final_cols, 1)) * 1000) ELSE 0.0 END
+    - least(25.0, invalid_dates * 0.5 + negative_qty_fixed * 0.3 + bad_ratings_nulled * 0.3 + gender_variants_fixed * 0.05 + failed_checks * 5.0)))''')} AS dq_score
+  FROM rep0)
+"""
+register("dq_report", _REPORT_CTES + "SELECT * FROM rep", raw=True, clean=False)
+
+_ISSUE_METRICS = ("duplicates_removed", "invalid_dates", "gender_variants_fixed", "unknown_genders",
+                  "negative_qty_fixed", "bad_ratings_nulled", "whitespace_cols")
+register("dq_issues", _REPORT_CTES + " UNION ALL ".join(
+    [f"SELECT '{m}' AS metric, CAST(NULL AS VARCHAR) AS column, CAST({m} AS BIGINT) AS n, "
+     f"CAST(NULL AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM rep" for m in _ISSUE_METRICS]
+    + ["SELECT 'outliers_capped', 'unit_price', capped_unit_price, (SELECT hi FROM bnd), NULL FROM rep"]
+    + [f"SELECT 'imputed', '{c}', missing_{c}, (SELECT {c} FROM med), NULL FROM rep WHERE missing_{c} > 0"
+       for c in C.NUM]
+    + [f"SELECT 'imputed', '{c}', missing_{c}, NULL, {C.mode_sql(c, 'dated')} FROM rep WHERE missing_{c} > 0"
+       for c in C.CAT]), raw=True, clean=False)
