@@ -42,7 +42,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 by: Sequence[str] = (), interpolation: str = "linear",
-                buckets: int = 4096, max_exact: int = 50_000,
+                buckets: int = 4096, max_exact: int = 1_000_000,
                 value_col: str = "value") -> DataFrame:
     """Exact percentiles of each column in ``cols`` (per ``by`` group).
 

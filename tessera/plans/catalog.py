@@ -67,3 +67,25 @@ _on_raw("cleaned_sales", lambda r: C.clean_sales(r).clean)
 _on_raw("validation", lambda r: C.clean_sales(r).validation)
 _on_raw("dq_report", lambda r: C.clean_sales(r).report)
 _on_raw("dq_issues", lambda r: C.clean_sales(r).issues)
+
+# ---------------------------------------------------------------- statistics
+from tessera.operators import stats as S  # noqa: E402
+
+_on_sales("describe", S.describe)
+_on_sales("anova", S.anova)
+_on_sales("anova_test", S.anova_test)
+_on_sales("region_means", S.group_means)
+_on_sales("contingency", S.contingency)
+_on_sales("chi_square", S.chi_square)
+_on_sales("chi_square_test", S.chi_square_test)
+_on_sales("pearson", S.pearson)
+_on_sales("pearson_test", S.pearson_test)
+_on_sales("corr_matrix", S.corr_matrix)
+_on_sales("abc", S.abc)
+QUERIES["abc_tiers"] = lambda spark, sf_dir: S.abc_tiers(S.abc(sales(spark, sf_dir)))
+_on_sales("repeat_customers", S.repeat_customers)
+_on_sales("return_rate", S.return_rate)
+_on_sales("linear_fit", S.linear_fit)
+_on_sales("jarque_bera", S.jarque_bera)
+_on_sales("shapiro_sample", S.normality, key_cols=("order_id", "product_name", "quantity"))
+_on_sales("row_sample", S.row_sample, n=800, key_cols=("order_id", "product_name", "quantity", "unit_price"))

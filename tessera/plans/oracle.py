@@ -212,3 +212,94 @@ register("dq_issues", _REPORT_CTES + " UNION ALL ".join(
        for c in C.NUM]
     + [f"SELECT 'imputed', '{c}', missing_{c}, NULL, {C.mode_sql(c, 'dated')} FROM rep WHERE missing_{c} > 0"
        for c in C.CAT]), raw=True, clean=False)
+
+# ---------------------------------------------------------------- statistics
+_DESC = ("age", "unit_price", "discount", "total_sales", "customer_rating", "quantity", "shipping_days")
+
+
+def _long(cols, src="sales"):
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM {src} WHERE {c} IS NOT NULL"
+                              for c in cols)
+
+
+register("describe", f"""
+WITH l AS ({_long(_DESC)}),
+c AS (SELECT "column", v, v - avg(v) OVER (PARTITION BY "column") AS d FROM l)
+SELECT "column", count(v) AS count, {r2('avg(v)')} AS mean, {r2('median(v)')} AS median,
+  {r2('stddev_samp(v)')} AS std, {r2('min(v)')} AS min, {r2('max(v)')} AS max,
+  {r2('avg(d*d*d) / pow(avg(d*d), 1.5)', 3)} AS skewness,
+  {r2('avg(d*d*d*d) / pow(avg(d*d), 2) - 3', 3)} AS kurtosis
+FROM c GROUP BY "column" """)
+
+_GM = """g AS (SELECT region, count(total_sales) AS n, avg(total_sales) AS mean, var_samp(total_sales) AS var
+            FROM sales WHERE region IS NOT NULL AND total_sales IS NOT NULL GROUP BY region),
+t AS (SELECT sum(n) AS tot_n, sum(n * mean) / sum(n) AS gm, count(*) AS k FROM g)"""
+register("anova", f"""
+WITH {_GM},
+p AS (SELECT sum(g.n * (mean - gm) * (mean - gm)) AS ssb, sum((g.n - 1) * coalesce(var, 0.0)) AS ssw,
+             any_value(k) AS k, any_value(tot_n) AS tot_n FROM g, t)
+SELECT {r2('(ssb / (k - 1)) / (ssw / (tot_n - k))', 4)} AS f_stat, CAST(k - 1 AS BIGINT) AS df_between,
+       CAST(tot_n - k AS BIGINT) AS df_within FROM p""")
+register("region_means", f"WITH {_GM} SELECT region, {r2('mean')} AS mean FROM g")
+
+_CT = """base AS (SELECT payment_method, gender FROM sales WHERE payment_method IS NOT NULL AND gender IS NOT NULL),
+ra AS (SELECT DISTINCT payment_method FROM base), cb AS (SELECT DISTINCT gender FROM base),
+obs AS (SELECT payment_method, gender, count(*) AS o FROM base GROUP BY ALL),
+ct AS (SELECT ra.payment_method, cb.gender, coalesce(obs.o, 0) AS observed
+       FROM ra, cb LEFT JOIN obs ON obs.payment_method = ra.payment_method AND obs.gender = cb.gender)"""
+register("contingency", f"WITH {_CT} SELECT payment_method, gender, CAST(observed AS BIGINT) AS observed FROM ct")
+register("chi_square", f"""
+WITH {_CT},
+cells AS (SELECT CAST(observed AS DOUBLE) AS o,
+  sum(observed) OVER (PARTITION BY payment_method) * sum(observed) OVER (PARTITION BY gender)
+    / (SELECT sum(observed) FROM ct) AS e FROM ct),
+d AS (SELECT (SELECT count(*) FROM ra) AS r, (SELECT count(*) FROM cb) AS c),
+adj AS (SELECT e, CASE WHEN (r - 1) * (c - 1) = 1 THEN o + sign(e - o) * least(0.5, abs(e - o)) ELSE o END AS o2,
+        (r - 1) * (c - 1) AS dof FROM cells, d)
+SELECT {r2('sum((o2 - e) * (o2 - e) / e)', 4)} AS chi2_stat, CAST(any_value(dof) AS BIGINT) AS dof FROM adj""")
+
+
+def _pairs(cols):
+    return [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+
+
+register("pearson", "WITH b AS (SELECT * FROM sales WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _DESC)
+         + ")\n" + " UNION ALL ".join(
+             f"SELECT '{x}' AS c1, '{y}' AS c2, count(*) AS n, {r2(f'corr({x}, {y})', 3)} AS r FROM b"
+             for x, y in _pairs(_DESC)))
+_CM = ("age", "quantity", "unit_price", "discount", "total_sales", "customer_rating", "shipping_days")
+register("corr_matrix", " UNION ALL ".join(
+    f"SELECT '{y}' AS row, '{x}' AS col, {r2(f'corr({x}, {y})', 2)} AS r FROM sales" for x, y in _pairs(_CM)))
+
+_ABC = """rev AS (SELECT product_name, sum(CAST(total_sales AS DECIMAL(18,2))) AS rev_dec FROM sales
+                  WHERE product_name IS NOT NULL GROUP BY product_name),
+cum AS (SELECT product_name, rev_dec,
+          CAST(sum(rev_dec) OVER (ORDER BY rev_dec DESC, product_name ROWS UNBOUNDED PRECEDING) AS DOUBLE)
+          / CAST((SELECT sum(rev_dec) FROM rev) AS DOUBLE) AS share FROM rev),
+abc AS (SELECT product_name AS product, CAST(rev_dec AS DOUBLE) AS revenue, share,
+          CASE WHEN share <= 0.7 THEN 'A' WHEN share <= 0.9 THEN 'B' ELSE 'C' END AS abc_tier FROM cum)"""
+register("abc", f"WITH {_ABC} SELECT product, revenue, {r2('share', 4)} AS cum_share, abc_tier FROM abc")
+register("abc_tiers", f"WITH {_ABC} SELECT abc_tier, count(*) AS products, {msum('revenue')} AS revenue "
+         "FROM abc GROUP BY abc_tier")
+register("repeat_customers", f"""
+WITH per AS (SELECT customer_id, count(order_id) AS n FROM sales WHERE customer_id IS NOT NULL GROUP BY customer_id)
+SELECT count(*) AS total_customers, count(*) FILTER (WHERE n > 1) AS repeat_customers,
+  {r2('count(*) FILTER (WHERE n > 1) / count(*) * 100')} AS repeat_rate_pct,
+  {r2('avg(n)')} AS avg_orders, max(n) AS max_orders FROM per""")
+register("return_rate", f"""
+SELECT product_category, return_count, total_orders, {r2('return_count / total_orders * 100')} AS return_rate_pct
+FROM (SELECT product_category, count(*) FILTER (WHERE return_flag) AS return_count, count(return_flag) AS total_orders
+      FROM sales WHERE product_category IS NOT NULL GROUP BY product_category)""")
+register("linear_fit", f"""
+SELECT count(*) FILTER (WHERE discount IS NOT NULL AND total_sales IS NOT NULL) AS n,
+  {r2('regr_slope(total_sales, discount * 100.0)', 4)} AS slope,
+  {r2('regr_intercept(total_sales, discount * 100.0)', 4)} AS intercept,
+  {r2('regr_r2(total_sales, discount * 100.0)', 6)} AS r2 FROM sales""")
+_NORM = ("age", "unit_price", "total_sales", "customer_rating", "discount")
+register("jarque_bera", f"""
+WITH l AS ({_long(_NORM)}),
+c AS (SELECT "column", v - avg(v) OVER (PARTITION BY "column") AS d FROM l),
+m AS (SELECT "column", count(*) AS n, avg(d*d*d) / pow(avg(d*d), 1.5) AS s, avg(d*d*d*d) / pow(avg(d*d), 2) - 3 AS k
+      FROM c GROUP BY "column")
+SELECT "column", n, {r2('n / 6.0 * (s * s + k * k / 4.0)', 4)} AS jb_stat,
+  {r2('exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0)', 4)} AS p_value FROM m""")
