@@ -89,3 +89,34 @@ _on_sales("linear_fit", S.linear_fit)
 _on_sales("jarque_bera", S.jarque_bera)
 _on_sales("shapiro_sample", S.normality, key_cols=("order_id", "product_name", "quantity"))
 _on_sales("row_sample", S.row_sample, n=800, key_cols=("order_id", "product_name", "quantity", "unit_price"))
+
+# ---------------------------------------------------------------- features
+from pyspark.sql import functions as _F  # noqa: E402
+from pyspark.sql.types import DoubleType as _Double  # noqa: E402
+
+from tessera.operators import features as M  # noqa: E402
+
+
+def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
+    """Round double columns at the outermost select (engines sum in different
+    orders; the comparison is on rounded values)."""
+    from tessera.functions.numeric import round_half_even
+    return df.select(*[round_half_even(_F.col(f.name), digits).alias(f.name)
+                       if isinstance(f.dataType, _Double) else _F.col(f.name) for f in df.schema.fields])
+
+
+def _feat(name: str, fn) -> None:
+    QUERIES[name] = lambda spark, sf_dir: round_doubles(fn(sales(spark, sf_dir)))
+
+
+_feat("daily", M.daily)
+_feat("calendar", lambda s: M.calendar(M.daily(s)))
+_feat("lags", lambda s: M.lags(M.daily(s)).select("order_date", "total_sales", "lag_1", "lag_2", "lag_3", "lag_7"))
+_feat("rolling", lambda s: M.rolling(M.daily(s)).select("order_date", "total_sales", "rolling_7_mean",
+                                                         "rolling_7_std", "rolling_30_mean"))
+_feat("dominant", lambda s: M.dominant(s, "product_category", "category_enc").join(
+    M.dominant(s, "region", "region_enc"), "order_date"))
+_feat("features", M.features)
+_feat("chrono_split", lambda s: M.chrono_split(M.features(s)).select("order_date", "total_sales", "is_train"))
+_feat("recent_history", lambda s: M.recent_history(M.daily(s)))
+_feat("loyalty_tier", M.loyalty_tier)

@@ -303,3 +303,76 @@ m AS (SELECT "column", count(*) AS n, avg(d*d*d) / pow(avg(d*d), 1.5) AS s, avg(
       FROM c GROUP BY "column")
 SELECT "column", n, {r2('n / 6.0 * (s * s + k * k / 4.0)', 4)} AS jb_stat,
   {r2('exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0)', 4)} AS p_value FROM m""")
+
+# ---------------------------------------------------------------- features
+
+
+def r4(x: str) -> str:
+    return r2(x, 4)
+
+
+_DAILY = f"""
+agg AS (SELECT order_date, {msum('total_sales')} AS total_sales, count(order_id) AS n_orders,
+          avg(unit_price) AS price_mean, avg(discount) AS discount_mean, avg(quantity) AS quantity_mean
+        FROM sales WHERE order_date IS NOT NULL GROUP BY order_date),
+spine AS (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS order_date FROM agg),
+daily AS (SELECT s.order_date, coalesce(total_sales, 0.0) AS total_sales, CAST(coalesce(n_orders, 0) AS BIGINT) AS n_orders,
+            coalesce(price_mean, 0.0) AS price_mean, coalesce(discount_mean, 0.0) AS discount_mean,
+            coalesce(quantity_mean, 0.0) AS quantity_mean FROM spine s LEFT JOIN agg USING (order_date))"""
+_DAILY_OUT = (f"order_date, {r4('total_sales')} AS total_sales, n_orders, {r4('price_mean')} AS price_mean, "
+              f"{r4('discount_mean')} AS discount_mean, {r4('quantity_mean')} AS quantity_mean")
+_CAL = """CAST(month(order_date) AS INTEGER) AS month, CAST(quarter(order_date) AS INTEGER) AS quarter,
+  CAST(year(order_date) AS INTEGER) AS year, CAST(isodow(order_date) - 1 AS INTEGER) AS day_of_week,
+  CAST(day(order_date) AS INTEGER) AS day_of_month, CAST(isodow(order_date) >= 6 AS INTEGER) AS is_weekend,
+  CAST(month(order_date) IN (10, 11, 12) AS INTEGER) AS is_festive_month"""
+_LAGS = ", ".join(f"lag(total_sales, {k}) OVER (ORDER BY order_date) AS lag_{k}" for k in (1, 2, 3, 7))
+_ROLL = """avg(total_sales) OVER (ORDER BY order_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7_mean,
+  coalesce(stddev_samp(total_sales) OVER (ORDER BY order_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0) AS rolling_7_std,
+  avg(total_sales) OVER (ORDER BY order_date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_30_mean"""
+
+
+def _dom(key: str, out: str) -> str:
+    return f"""
+rev_{key} AS (SELECT order_date, {key}, {msum('total_sales')} AS rev FROM sales
+              WHERE order_date IS NOT NULL AND {key} IS NOT NULL GROUP BY ALL),
+top_{key} AS (SELECT order_date, {key} FROM (SELECT *, row_number() OVER (PARTITION BY order_date ORDER BY rev DESC, {key}) AS rn
+              FROM rev_{key}) WHERE rn = 1),
+dom_{key} AS (SELECT t.order_date, t.{key}, CAST(c.code AS INTEGER) AS {out} FROM top_{key} t JOIN
+              (SELECT {key}, dense_rank() OVER (ORDER BY {key}) - 1 AS code FROM (SELECT DISTINCT {key} FROM top_{key})) c
+              USING ({key}))"""
+
+
+register("daily", f"WITH {_DAILY} SELECT {_DAILY_OUT} FROM daily")
+register("calendar", f"WITH {_DAILY} SELECT {_DAILY_OUT}, {_CAL} FROM daily")
+register("lags", f"""WITH {_DAILY}, l AS (SELECT order_date, total_sales, {_LAGS} FROM daily)
+SELECT order_date, {r4('total_sales')} AS total_sales, {', '.join(f"{r4(f'lag_{k}')} AS lag_{k}" for k in (1, 2, 3, 7))} FROM l""")
+register("rolling", f"""WITH {_DAILY}, r AS (SELECT order_date, total_sales, {_ROLL} FROM daily)
+SELECT order_date, {r4('total_sales')} AS total_sales, {r4('rolling_7_mean')} AS rolling_7_mean,
+  {r4('rolling_7_std')} AS rolling_7_std, {r4('rolling_30_mean')} AS rolling_30_mean FROM r""")
+register("dominant", f"""WITH {_dom('product_category', 'category_enc')}, {_dom('region', 'region_enc')}
+SELECT order_date, product_category, category_enc, region, region_enc
+FROM dom_product_category JOIN dom_region USING (order_date)""")
+_FEATURES = f"""{_DAILY}, {_dom('product_category', 'category_enc')}, {_dom('region', 'region_enc')},
+f0 AS (SELECT daily.*, {_CAL}, {_LAGS}, {_ROLL} FROM daily),
+feat AS (SELECT f0.*, coalesce(c.category_enc, 0) AS category_enc, coalesce(r.region_enc, 0) AS region_enc
+         FROM f0 LEFT JOIN dom_product_category c USING (order_date) LEFT JOIN dom_region r USING (order_date))"""
+_FEAT_OUT = (_DAILY_OUT + ", month, quarter, year, day_of_week, day_of_month, is_weekend, is_festive_month, "
+             + ", ".join(f"{r4(f'coalesce({c}, 0.0)')} AS {c}" for c in
+                         ("lag_1", "lag_2", "lag_3", "lag_7", "rolling_7_mean", "rolling_7_std", "rolling_30_mean"))
+             + ", category_enc, region_enc")
+register("features", f"WITH {_FEATURES} SELECT {_FEAT_OUT} FROM feat")
+register("chrono_split", f"""WITH {_FEATURES},
+rng AS (SELECT min(order_date) AS d0, datediff('day', min(order_date), max(order_date)) + 1 AS n FROM feat)
+SELECT order_date, {r4('total_sales')} AS total_sales,
+  order_date < d0 + CAST(floor(n * 0.8) AS INTEGER) AS is_train FROM feat, rng""")
+register("recent_history", f"""WITH {_DAILY}
+SELECT order_date, {r4('total_sales')} AS total_sales FROM daily
+WHERE order_date > (SELECT max(order_date) FROM daily) - INTERVAL 90 DAY""")
+register("loyalty_tier", f"""
+WITH per AS (SELECT customer_id, order_id, order_date, sum(CAST(total_sales AS DECIMAL(18,2))) AS spend
+             FROM sales WHERE customer_id IS NOT NULL GROUP BY ALL),
+cum AS (SELECT *, sum(spend) OVER (PARTITION BY customer_id ORDER BY order_date, order_id ROWS UNBOUNDED PRECEDING) AS cum
+        FROM per)
+SELECT customer_id, order_id, order_date, {r4('CAST(spend AS DOUBLE)')} AS order_spend,
+  {r4('CAST(cum AS DOUBLE)')} AS cum_spend,
+  CASE WHEN cum >= 50000 THEN 'Gold' WHEN cum >= 15000 THEN 'Silver' ELSE 'Bronze' END AS loyalty_tier FROM cum""")
