@@ -37,7 +37,8 @@ class ForecastParams:
     cv_folds: int = 5
     forecast_months: int = 3
     random_state: int = 42
-    max_bins: int = 64
+    max_bins: int = 32
+    max_memory_mb: int = 2048
     band: float = 0.15
     strict_features: bool = False
 

@@ -120,3 +120,31 @@ _feat("features", M.features)
 _feat("chrono_split", lambda s: M.chrono_split(M.features(s)).select("order_date", "total_sales", "is_train"))
 _feat("recent_history", lambda s: M.recent_history(M.daily(s)))
 _feat("loyalty_tier", M.loyalty_tier)
+
+# ---------------------------------------------------------------- forecast
+from tessera.operators import forecast as FC  # noqa: E402
+
+_FITTED: dict = {}
+
+
+def fitted(spark: SparkSession, sf_dir: str):
+    """One forest per (session, tables): the forecast queries share it."""
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        s = sales(spark, sf_dir)
+        _FITTED[key] = (FC.fit(M.features(s)), s)
+    return _FITTED[key]
+
+
+def _daily_forecast(spark, sf_dir):
+    fc, s = fitted(spark, sf_dir)
+    return FC.forecast_daily(fc, s)
+
+
+QUERIES["rf_eval"] = lambda spark, sf_dir: FC.evaluation(fitted(spark, sf_dir)[0])
+QUERIES["rf_metrics"] = lambda spark, sf_dir: FC.metrics_of(FC.evaluation(fitted(spark, sf_dir)[0]))
+QUERIES["ts_cv"] = lambda spark, sf_dir: FC.ts_cv(fitted(spark, sf_dir)[0])
+QUERIES["importance"] = lambda spark, sf_dir: FC.importance(fitted(spark, sf_dir)[0], top_n=10)
+QUERIES["forecast_daily"] = _daily_forecast
+QUERIES["forecast_monthly"] = lambda spark, sf_dir: FC.forecast_monthly(_daily_forecast(spark, sf_dir))
+QUERIES["timeline"] = lambda spark, sf_dir: FC.timeline(fitted(spark, sf_dir)[0], _daily_forecast(spark, sf_dir))

@@ -18,6 +18,8 @@ def get_session(master: str | None = None, app: str = "tessera",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", "8g")
     b = (b.config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
