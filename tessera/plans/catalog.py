@@ -148,3 +148,12 @@ QUERIES["importance"] = lambda spark, sf_dir: FC.importance(fitted(spark, sf_dir
 QUERIES["forecast_daily"] = _daily_forecast
 QUERIES["forecast_monthly"] = lambda spark, sf_dir: FC.forecast_monthly(_daily_forecast(spark, sf_dir))
 QUERIES["timeline"] = lambda spark, sf_dir: FC.timeline(fitted(spark, sf_dir)[0], _daily_forecast(spark, sf_dir))
+
+# ---------------------------------------------------------------- distributions
+from tessera.operators import distributions as DI  # noqa: E402
+
+_on_sales("rating_buckets", DI.rating_buckets)
+_on_sales("histogram", DI.histogram)
+_on_sales("kde", DI.kde)
+_on_sales("violin", DI.violin)
+_on_sales("box", DI.box)

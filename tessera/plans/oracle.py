@@ -376,3 +376,52 @@ cum AS (SELECT *, sum(spend) OVER (PARTITION BY customer_id ORDER BY order_date,
 SELECT customer_id, order_id, order_date, {r4('CAST(spend AS DOUBLE)')} AS order_spend,
   {r4('CAST(cum AS DOUBLE)')} AS cum_spend,
   CASE WHEN cum >= 50000 THEN 'Gold' WHEN cum >= 15000 THEN 'Silver' ELSE 'Bronze' END AS loyalty_tier FROM cum""")
+
+# ---------------------------------------------------------------- distributions
+register("rating_buckets", " UNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS rating, count(*) FILTER (WHERE round_even(customer_rating, 0) = {k}) AS orders FROM sales"
+    for k in range(1, 6)))
+
+_HB = {"age": (25, "CAST(age AS DOUBLE)"), "discount": (15, "discount * 100.0"), "total_sales": (50, "total_sales")}
+register("histogram", "WITH l AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {e} AS v, {n} AS nbins FROM sales WHERE {c} IS NOT NULL" for c, (n, e) in _HB.items())
+    + f"""),
+st AS (SELECT "column", min(v) AS lo, max(v) AS hi, count(v) AS n, any_value(nbins) AS nbins FROM l GROUP BY "column"),
+cnt AS (SELECT "column", CAST(least(floor((v - lo) * (st.nbins / (hi - lo))), st.nbins - 1) AS INTEGER) AS bin, count(*) AS c
+        FROM l JOIN st USING ("column") GROUP BY ALL),
+spine AS (SELECT "column", lo, hi, n, nbins, CAST(unnest(generate_series(0, nbins - 1)) AS INTEGER) AS bin FROM st)
+SELECT "column", bin, {r2('lo + bin * ((hi - lo) / nbins)', 6)} AS bin_lo, {r2('lo + (bin + 1) * ((hi - lo) / nbins)', 6)} AS bin_hi,
+  CAST(coalesce(c, 0) AS BIGINT) AS count, {r2('coalesce(c, 0) / (n * ((hi - lo) / nbins))', 10)} AS density
+FROM spine LEFT JOIN cnt USING ("column", bin)""")
+
+register("kde", f"""
+WITH x AS (SELECT CAST(age AS DOUBLE) AS x FROM sales WHERE age IS NOT NULL),
+st AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS n, stddev_samp(x) AS sd, avg(x) AS mean, median(x) AS med FROM x),
+p AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
+vc AS (SELECT x, count(*) AS c FROM x GROUP BY x),
+g AS (SELECT CAST(i AS INTEGER) AS i, lo + i * ((hi - lo) / 299) AS gx FROM p, generate_series(0, 299) t(i)),
+k AS (SELECT g.i, any_value(g.gx) AS gx, sum(c * exp(-0.5 * ((g.gx - vc.x) / p.h) * ((g.gx - vc.x) / p.h))) AS k
+      FROM g, vc, p GROUP BY g.i)
+SELECT i AS point, {r2('gx', 6)} AS x, {r2('k / (n * h * sqrt(2 * pi()))', 10)} AS density,
+  {r2('mean', 4)} AS mean, {r2('med', 4)} AS median FROM k, p""")
+
+
+def _quart_sql(value: str, group: str) -> str:
+    return (f"SELECT {group}, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median, "
+            f"quantile_cont({value}, 0.75) AS q3 FROM sales WHERE {group} IS NOT NULL AND {value} IS NOT NULL "
+            f"GROUP BY {group}")
+
+
+register("violin", f"""WITH q AS ({_quart_sql('unit_price', 'product_category')})
+SELECT product_category, CAST(row_number() OVER (ORDER BY median DESC, product_category) AS INTEGER) AS position,
+  {r2('q1', 4)} AS q1, {r2('median', 4)} AS median, {r2('q3', 4)} AS q3 FROM q""")
+register("box", f"""WITH q AS ({_quart_sql('customer_rating', 'product_category')}),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q),
+a AS (SELECT s.product_category, any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3,
+        min(CASE WHEN customer_rating BETWEEN lo_f AND hi_f THEN customer_rating END) AS whisker_lo,
+        max(CASE WHEN customer_rating BETWEEN lo_f AND hi_f THEN customer_rating END) AS whisker_hi,
+        count(*) FILTER (WHERE NOT (customer_rating BETWEEN lo_f AND hi_f)) AS fliers, avg(customer_rating) AS mean
+      FROM sales s JOIN f USING (product_category) WHERE customer_rating IS NOT NULL GROUP BY s.product_category)
+SELECT product_category, CAST(row_number() OVER (ORDER BY mean DESC, product_category) AS INTEGER) AS position,
+  {r2('q1', 4)} AS q1, {r2('median', 4)} AS median, {r2('q3', 4)} AS q3, {r2('whisker_lo', 4)} AS whisker_lo,
+  {r2('whisker_hi', 4)} AS whisker_hi, fliers, {r2('mean', 4)} AS mean FROM a""")
