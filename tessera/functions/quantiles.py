@@ -29,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, materialize
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -67,7 +67,7 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                         F.explode(ranks).alias("r"))
                 .select(*key, "prob", "frac", "r.side", "r.k", "lo", "hi", "cnt",
                         F.lit(0).cast("long").alias("below"))
-                .checkpoint())
+                .persist())
     tkey = [*key, "prob", "side"]
 
     while True:
@@ -96,7 +96,9 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                                   F.coalesce("hi2", "hi").alias("hi"),
                                   F.coalesce("cnt2", "cnt").alias("cnt"),
                                   F.coalesce("below2", "below").alias("below"))
-                          .checkpoint())
+                          .persist(StorageLevel.MEMORY_AND_DISK))
+        # refinement passes: cut the lineage of the small target table
+        targets = materialize(targets, "checkpoint")
 
     done = targets.where(F.col("lo") == F.col("hi")).select(*tkey, F.col("lo").alias("x"))
     rest = targets.where(F.col("lo") < F.col("hi"))
@@ -121,7 +123,10 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         val = F.col("a")
     else:
         raise ValueError(f"unknown interpolation {interpolation!r}")
-    result = out.select(*key, "prob", val.alias(value_col)).checkpoint()
+    # the result is tiny: keep it cached (recomputable from lineage if an
+    # executor is lost) and release the long copy of the input
+    result = out.select(*key, "prob", val.alias(value_col)).persist(StorageLevel.MEMORY_AND_DISK)
+    result.count()
     lng.unpersist()
     return result
 

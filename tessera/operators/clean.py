@@ -3,8 +3,10 @@
 Each step is ``DataFrame -> DataFrame`` and can be used with ``.transform``.
 Row-level steps are pure projections (one codegen stage, no shuffle). The
 steps that need a global parameter (median date, medians, modes, IQR bounds)
-compute it as a one-row aggregate and inject it as a scalar subquery, so the
-row-level plan stays one stage and no cross join is planned.
+compute it as a distributed aggregate and bring back only the few scalar
+values (as Spark ML's ``Imputer`` does with its surrogates); they enter the
+row-level plan as literals, so plans stay flat, Catalyst can fold them, and
+no cross join is planned.
 Counter columns (``_bad_date``, ``_g_fixed`` ...) are kept as flags until the
 report has counted them; ``drop_flags`` removes them.
 """
@@ -64,9 +66,9 @@ def median_date(df: DataFrame, col: str = "order_date") -> DataFrame:
 
 
 def fill_median_date(df: DataFrame, col: str = "order_date") -> DataFrame:
-    """Fill missing dates with the upper median date (scalar subquery)."""
-    med = median_date(df, col).scalar()
-    return df.withColumn(col, F.coalesce(F.col(col), med))
+    """Fill missing dates with the upper median date (one scalar)."""
+    med = median_date(df, col).first()[0]
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(med).cast("date")))
 
 
 def fix_dates(df: DataFrame, col: str = "order_date", fmt: str = "yyyy-MM-dd") -> DataFrame:
@@ -139,21 +141,27 @@ def impute_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> DataFr
     return out
 
 
-def impute_missing(df: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
-    """Fill numeric nulls with the exact median, categorical with the mode."""
+def fill_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> dict:
+    """The imputation values: exact medians of the numeric columns and the
+    smallest mode of the categorical ones ({column: value})."""
     num = [c for c in p.median_cols if c in df.columns]
     cat = [c for c in p.mode_cols if c in df.columns]
-    fills = {}
+    vals: dict = {}
     if num:
-        med = percentiles(df, num, [0.5])
-        for c in num:
-            v = med.where(F.col("column") == c).select("value").scalar()
-            fills[c] = F.coalesce(F.col(c), v.cast(df.schema[c].dataType))
+        vals.update({r["column"]: r["value"] for r in percentiles(df, num, [0.5]).collect()})
     if cat:
-        modes = df.agg(F.struct(*[F.mode(c, True).alias(c) for c in cat]).alias("m")).scalar()
-        for c in cat:
-            fills[c] = F.coalesce(F.col(c), modes[c])
-    return df.withColumns(fills)
+        # mode with ties to the smallest value; one map per column bounded by
+        # the number of categories
+        row = df.agg(*[F.mode(c, True).alias(c) for c in cat]).first()
+        vals.update({c: row[c] for c in cat})
+    return vals
+
+
+def impute_missing(df: DataFrame, p: CleaningParams = CleaningParams(), values: dict | None = None) -> DataFrame:
+    """Fill numeric nulls with the exact median, categorical with the mode."""
+    vals = values if values is not None else fill_values(df, p)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+                           for c, v in vals.items() if c in df.columns and v is not None})
 
 
 # ------------------------------------------------------------------ C13, C14
@@ -167,25 +175,28 @@ def iqr_bounds(df: DataFrame, cols, factor: float = 3.0) -> DataFrame:
                     (F.col("q3") + factor * iqr).alias("hi"))
 
 
-def cap_outliers(df: DataFrame, p: CleaningParams = CleaningParams(), bounds: DataFrame | None = None) -> DataFrame:
-    """Clip each outlier column to its IQR fence; flags ``_cap_<col>``."""
+def cap_outliers(df: DataFrame, p: CleaningParams = CleaningParams(), bounds: dict | None = None) -> DataFrame:
+    """Clip each outlier column to its IQR fence; flags ``_cap_<col>``.
+
+    ``bounds`` maps column -> (lo, hi); computed when not given."""
     cols = [c for c in p.outlier_cols if c in df.columns]
     if not cols:
         return df
-    b = bounds if bounds is not None else iqr_bounds(df, cols, p.iqr_factor)
+    if bounds is None:
+        bounds = {r["column"]: (r["lo"], r["hi"]) for r in iqr_bounds(df, cols, p.iqr_factor).collect()}
     out = {}
     for c in cols:
-        row = b.where(F.col("column") == c).select(F.struct("lo", "hi")).scalar()
+        lo, hi = (F.lit(v).cast("double") for v in bounds[c])
         x = F.col(c)
-        out[f"_cap_{c}"] = (x < row["lo"]) | (x > row["hi"])
-        out[c] = clip(x, row["lo"], row["hi"])
+        out[f"_cap_{c}"] = (x < lo) | (x > hi)
+        out[c] = clip(x, lo, hi)
     return df.withColumns(out)
 
 
 def zscore_count(df: DataFrame, col: str = "age", limit: float = 3.0) -> DataFrame:
     """C14: number of values with |z| > limit (population std), informational."""
-    m = df.agg(F.struct(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))).scalar()
-    z = F.abs((F.col(col) - m["m"]) / m["s"])
+    m = df.agg(F.avg(col).alias("m"), F.stddev_pop(col).alias("s")).first()
+    z = F.abs((F.col(col) - F.lit(m["m"])) / F.lit(m["s"]))
     return df.agg(F.count_if(F.col(col).isNotNull() & (z > limit)).alias("n_outliers"))
 
 
@@ -227,12 +238,15 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     # every later global aggregate scans this frame: pin it once
     staged = materialize(staged, p.materialize)
     dated = fill_median_date(staged)
-    imputed = impute_missing(dated, p)
-    bounds = iqr_bounds(imputed, [c for c in p.outlier_cols if c in imputed.columns], p.iqr_factor)
-    capped = cap_outliers(imputed, p, bounds)
+    fills = fill_values(dated, p)
+    imputed = impute_missing(dated, p, fills)
+    cap_cols = [c for c in p.outlier_cols if c in imputed.columns]
+    bounds = {r["column"]: r.asDict() for r in iqr_bounds(imputed, cap_cols, p.iqr_factor).collect()} \
+        if cap_cols else {}
+    capped = cap_outliers(imputed, p, {c: (b["lo"], b["hi"]) for c, b in bounds.items()})
     final = type_cast(recompute_derived(capped, p.half_even))
     clean = final.drop(*FLAGS, *[c for c in final.columns if c.startswith("_cap_")])
-    report, issues, validation = quality.build_report(raw, dedup, staged, capped, clean, bounds, p)
+    report, issues, validation = quality.build_report(raw, dedup, staged, capped, clean, bounds, fills, p)
     return CleanResult(clean, report, issues, validation)
 
 

@@ -2,8 +2,8 @@
 issue listing (C20).
 
 Every counter is an aggregate over the frame of the step that produced it;
-the report row is one aggregate with the other step totals attached as scalar
-subqueries (no cross join, no driver round trip).
+the report row is one aggregate over the staged frame, with the few totals of
+the other steps (one-row aggregates) attached as literals.
 """
 
 from __future__ import annotations
@@ -40,11 +40,11 @@ def raw_profile(raw: DataFrame) -> DataFrame:
     Duplicates = rows - distinct rows; the distinct count is a partial hash
     aggregate (copies collapse in the map side before the shuffle).
     """
-    distinct = raw.dropDuplicates().agg(F.count(F.lit(1))).scalar()
+    distinct = raw.dropDuplicates().agg(F.count(F.lit(1))).first()[0]
     return raw.agg(F.count(F.lit(1)).alias("raw_rows"),
                    F.lit(len(raw.columns)).alias("raw_cols"),
                    _nulls(raw).alias("raw_nulls")).withColumn(
-        "raw_duplicates", F.col("raw_rows") - distinct)
+        "raw_duplicates", F.col("raw_rows") - F.lit(distinct))
 
 
 def violation_counts(df: DataFrame, p: CleaningParams = CleaningParams()) -> list[Column]:
@@ -86,22 +86,26 @@ def dq_score(raw_rows: Column, final_rows: Column, final_cols: Column, final_nul
 
 
 def build_report(raw: DataFrame, dedup: DataFrame, staged: DataFrame, capped: DataFrame,
-                 clean: DataFrame, bounds: DataFrame, p: CleaningParams = CleaningParams()):
-    """Assemble (report, issues, validation) for a ``clean_sales`` run."""
+                 clean: DataFrame, bounds: dict, fills: dict, p: CleaningParams = CleaningParams()):
+    """Assemble (report, issues, validation) for a ``clean_sales`` run.
+
+    Each counter is an aggregate over the frame of its step; the handful of
+    totals from other steps join the report row as literals.
+    """
     from tessera.operators.clean import string_columns
 
     num = [c for c in p.median_cols if c in staged.columns]
     cat = [c for c in p.mode_cols if c in staged.columns]
     caps = [c for c in p.outlier_cols if f"_cap_{c}" in capped.columns]
-    prof = raw_profile(raw).select(F.struct("*")).scalar()
-    capped_n = capped.agg(F.struct(*[F.count_if(F.col(f"_cap_{c}")).alias(c) for c in caps])).scalar() \
-        if caps else None
+    prof = raw_profile(raw).first()
+    capped_n = capped.agg(*[F.count_if(F.col(f"_cap_{c}")).alias(c) for c in caps]).first() if caps else None
     val = validation(clean, p)
-    failed = val.agg(F.count_if(~F.col("passed"))).scalar()
-    fin = clean.agg(F.struct(F.count(F.lit(1)).alias("rows"), _nulls(clean).alias("nulls"))).scalar()
+    failed = sum(1 for r in val.collect() if not r["passed"])
+    fin = clean.agg(F.count(F.lit(1)).alias("rows"), _nulls(clean).alias("nulls")).first()
     # string columns when the whitespace step runs (after date parsing)
     ws_cols = len([c for c in string_columns(dedup) if c != "order_date"])
 
+    lit = lambda v, t="long": F.lit(v).cast(t)
     report = staged.agg(
         F.count(F.lit(1)).alias("dedup_rows"),
         F.count_if("_bad_date").alias("invalid_dates"),
@@ -111,28 +115,26 @@ def build_report(raw: DataFrame, dedup: DataFrame, staged: DataFrame, capped: Da
         F.count_if("_bad_rating").alias("bad_ratings_nulled"),
         *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in num + cat],
     ).select(
-        prof["raw_rows"].alias("raw_rows"), prof["raw_cols"].alias("raw_cols"),
-        prof["raw_nulls"].alias("raw_nulls"), prof["raw_duplicates"].alias("raw_duplicates"),
-        (prof["raw_rows"] - F.col("dedup_rows")).alias("duplicates_removed"),
+        lit(prof["raw_rows"]).alias("raw_rows"), lit(prof["raw_cols"], "int").alias("raw_cols"),
+        lit(prof["raw_nulls"]).alias("raw_nulls"), lit(prof["raw_duplicates"]).alias("raw_duplicates"),
+        (lit(prof["raw_rows"]) - F.col("dedup_rows")).alias("duplicates_removed"),
         "invalid_dates", "gender_variants_fixed", "unknown_genders", "negative_qty_fixed",
         "bad_ratings_nulled", F.lit(ws_cols).alias("whitespace_cols"),
         *[F.col(f"missing_{c}") for c in num + cat],
-        *([capped_n[c].alias(f"capped_{c}") for c in caps] if caps else []),
-        fin["rows"].alias("final_rows"), F.lit(len(clean.columns)).alias("final_cols"),
-        fin["nulls"].alias("final_nulls"), failed.alias("failed_checks"),
+        *[lit(capped_n[c]).alias(f"capped_{c}") for c in caps],
+        lit(fin["rows"]).alias("final_rows"), F.lit(len(clean.columns)).alias("final_cols"),
+        lit(fin["nulls"]).alias("final_nulls"), lit(failed).alias("failed_checks"),
     )
     report = report.withColumn("dq_score", dq_score(
         F.col("raw_rows"), F.col("final_rows"), F.col("final_cols"), F.col("final_nulls"),
         F.col("invalid_dates"), F.col("negative_qty_fixed"), F.col("bad_ratings_nulled"),
         F.col("gender_variants_fixed"), F.col("failed_checks")))
-    issues = issue_rows(report, staged, bounds, num, cat, caps)
+    issues = issue_rows(report, bounds, fills, num, cat, caps)
     return report, issues, val
 
 
-def issue_rows(report: DataFrame, staged: DataFrame, bounds: DataFrame, num, cat, caps) -> DataFrame:
+def issue_rows(report: DataFrame, bounds: dict, fills: dict, num, cat, caps) -> DataFrame:
     """C20: long listing (metric, column, n, value, text) of what was fixed."""
-    from tessera.functions.quantiles import percentiles
-
     counters = ["duplicates_removed", "invalid_dates", "gender_variants_fixed", "unknown_genders",
                 "negative_qty_fixed", "bad_ratings_nulled", "whitespace_cols"]
     base = report.select(*[F.col(c).cast("long").alias(c) for c in counters]).unpivot(
@@ -140,27 +142,18 @@ def issue_rows(report: DataFrame, staged: DataFrame, bounds: DataFrame, num, cat
         "metric", F.lit(None).cast("string").alias("column"), "n",
         F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("text"))
     parts = [base]
-    if caps:
-        cap = report.select(*[F.col(f"capped_{c}").cast("long").alias(c) for c in caps]).unpivot(
-            [], caps, "column", "n")
-        parts.append(cap.join(bounds, "column").select(
-            F.lit("outliers_capped").alias("metric"), "column", "n",
-            F.col("hi").alias("value"), F.lit(None).cast("string").alias("text")))
-    miss_cols = num + cat
-    if miss_cols:
-        miss = report.select(*[F.col(f"missing_{c}").cast("long").alias(c) for c in miss_cols]).unpivot(
-            [], miss_cols, "column", "n")
-        meds = percentiles(staged, num, [0.5]).select("column", F.col("value")) if num else None
-        modes = staged.agg(*[F.mode(c, True).alias(c) for c in cat]).unpivot(
-            [], cat, "column", "text") if cat else None
-        vals = None
-        if meds is not None:
-            vals = meds.withColumn("text", F.lit(None).cast("string"))
-        if modes is not None:
-            m2 = modes.withColumn("value", F.lit(None).cast("double")).select("column", "value", "text")
-            vals = m2 if vals is None else vals.unionByName(m2)
-        parts.append(miss.where(F.col("n") > 0).join(vals, "column").select(
-            F.lit("imputed").alias("metric"), "column", "n", "value", "text"))
+    for c in caps:
+        parts.append(report.select(F.lit("outliers_capped").alias("metric"), F.lit(c).alias("column"),
+                                   F.col(f"capped_{c}").cast("long").alias("n"),
+                                   F.lit(bounds[c]["hi"]).cast("double").alias("value"),
+                                   F.lit(None).cast("string").alias("text")))
+    for c in num + cat:
+        v = fills.get(c)
+        parts.append(report.where(F.col(f"missing_{c}") > 0).select(
+            F.lit("imputed").alias("metric"), F.lit(c).alias("column"),
+            F.col(f"missing_{c}").cast("long").alias("n"),
+            (F.lit(v) if c in num else F.lit(None)).cast("double").alias("value"),
+            (F.lit(None) if c in num else F.lit(v)).cast("string").alias("text")))
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)

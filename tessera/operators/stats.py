@@ -60,12 +60,14 @@ def anova(df: DataFrame, value: str = "total_sales", group: str = "region") -> D
 def _anova(df: DataFrame, value: str = "total_sales", group: str = "region") -> DataFrame:
     """One-way ANOVA F from per-group n / mean / variance (numerically stable)."""
     g = group_moments(df, value, group)
+    g = g.persist()
     tot = g.agg(F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("gm"),
-                F.count(F.lit(1)).alias("k")).select(F.struct("*")).scalar()
+                F.count(F.lit(1)).alias("k")).first()
+    gm = F.lit(tot["gm"])
     parts = g.agg(
-        F.sum(F.col("n") * (F.col("mean") - tot["gm"]) * (F.col("mean") - tot["gm"])).alias("ssb"),
+        F.sum(F.col("n") * (F.col("mean") - gm) * (F.col("mean") - gm)).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"),
-        F.first(tot["k"]).alias("k"), F.first(tot["N"]).alias("N"))
+        F.lit(tot["k"]).alias("k"), F.lit(tot["N"]).alias("N"))
     dfb, dfw = (F.col("k") - 1), (F.col("N") - F.col("k"))
     f = (F.col("ssb") / dfb) / (F.col("ssw") / dfw)
     return parts.select(round_half_even(f, 4).alias("f_stat"), dfb.cast("long").alias("df_between"),
@@ -110,10 +112,11 @@ def _chi_square(df: DataFrame, a: str = "payment_method", b: str = "gender") ->
     cb = Window.partitionBy(b)
     cells = ct.select(a, b, F.col("observed").cast("double").alias("o"),
                       F.sum("observed").over(ra).alias("ra"), F.sum("observed").over(cb).alias("cb"))
+    ct = ct.persist()
     tot = ct.agg(F.sum("observed").alias("N"), F.countDistinct(a).alias("r"),
-                 F.countDistinct(b).alias("c")).select(F.struct("*")).scalar()
-    e = F.col("ra") * F.col("cb") / tot["N"]
-    dof = (tot["r"] - 1) * (tot["c"] - 1)
+                 F.countDistinct(b).alias("c")).first()
+    e = F.col("ra") * F.col("cb") / F.lit(tot["N"])
+    dof = F.lit((tot["r"] - 1) * (tot["c"] - 1))
     diff = e - F.col("o")
     corrected = F.col("o") + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
     o2 = F.when(dof == 1, corrected).otherwise(F.col("o"))
@@ -182,7 +185,7 @@ def abc(df: DataFrame, p: AbcParams = AbcParams(), product: str = "product_name"
     """
     rev = (df.where(F.col(product).isNotNull()).groupBy(product)
              .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("rev_dec")))
-    total = rev.agg(F.sum("rev_dec").cast("double")).scalar()
+    total = F.lit(rev.agg(F.sum("rev_dec").cast("double")).first()[0])
     ranked = running_sum(rev, "rev_dec", [F.desc("rev_dec"), F.asc(product)], "cum_dec")
     share = F.col("cum_dec").cast("double") / total
     tier = F.when(share <= p.a_threshold, "A").when(share <= p.b_threshold, "B").otherwise("C")

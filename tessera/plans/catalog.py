@@ -157,3 +157,47 @@ _on_sales("histogram", DI.histogram)
 _on_sales("kde", DI.kde)
 _on_sales("violin", DI.violin)
 _on_sales("box", DI.box)
+
+# ---------------------------------------------------------------- sources and sinks
+import uuid as _uuid  # noqa: E402
+
+from tessera.sources import files as FI  # noqa: E402
+from tessera.session import scratch_path as _scratch  # noqa: E402
+
+
+def _csv_roundtrip(spark, sf_dir):
+    """S1 + S3: write the raw frame as CSV, read it back with the declared schema."""
+    path = _scratch(spark, f"csv-{_uuid.uuid4().hex}")
+    FI.write_table(sales_raw(spark, sf_dir), path, fmt="csv")
+    return FI.read_csv(spark, path)
+
+
+def _report_tables(spark, sf_dir):
+    """S5-S7 + A14: write every analysis / summary table, read the row counts back."""
+    s = sales(spark, sf_dir)
+    tables = dict(S.run_analysis(s))
+    tables.update({"kpis": marts.kpis(s), "top_entities": marts.top_entities(s),
+                   "yearly_growth": marts.yearly_growth(s), "regional": marts.regional(s),
+                   "loyalty": marts.loyalty(s), "top_products": marts.top_products(s, 5)})
+    base = _scratch(spark, f"reports-{_uuid.uuid4().hex}")
+    paths = FI.write_reports(tables, base)
+    out = None
+    for name, path in sorted(paths.items()):
+        part = spark.read.parquet(path).groupBy().count().select(_F.lit(name).alias("table"),
+                                                                 _F.col("count").alias("rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _model_save(spark, sf_dir):
+    """Save the fitted pipeline with Spark ML, read its trees back."""
+    fc, _ = fitted(spark, sf_dir)
+    path = FC.save_model(fc)
+    nodes = spark.read.parquet(path.rstrip("/") + "/stages/*RandomForest*/data")
+    return nodes.agg(_F.countDistinct("treeID").alias("trees"), _F.count(_F.lit(1)).alias("nodes"),
+                     _F.max("nodeData.id").alias("max_node_id"))
+
+
+QUERIES["csv_roundtrip"] = _csv_roundtrip
+QUERIES["report_tables"] = _report_tables
+QUERIES["model_save"] = _model_save

@@ -425,3 +425,7 @@ a AS (SELECT s.product_category, any_value(q1) AS q1, any_value(median) AS media
 SELECT product_category, CAST(row_number() OVER (ORDER BY mean DESC, product_category) AS INTEGER) AS position,
   {r2('q1', 4)} AS q1, {r2('median', 4)} AS median, {r2('q3', 4)} AS q3, {r2('whisker_lo', 4)} AS whisker_lo,
   {r2('whisker_hi', 4)} AS whisker_hi, fliers, {r2('mean', 4)} AS mean FROM a""")
+
+# ---------------------------------------------------------------- sources and sinks
+register("csv_roundtrip", "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, "
+         "CAST(customer_id AS VARCHAR) AS customer_id) FROM sales_raw", raw=True, clean=False)

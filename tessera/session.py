@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -68,7 +69,12 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        # persist first: an eager checkpoint otherwise computes the plan twice
+        # (once for the count, once for the reliable write)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+        return out
     if mode == "cache":
         return df.cache()
     return df
