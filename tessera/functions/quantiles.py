@@ -42,11 +42,13 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 by: Sequence[str] = (), interpolation: str = "linear",
-                buckets: int = 4096, max_exact: int = 1_000_000,
+                buckets: int = 4096, max_exact: int = 100_000,
                 value_col: str = "value") -> DataFrame:
     """Exact percentiles of each column in ``cols`` (per ``by`` group).
 
-    Returns ``(by..., column, prob, value)``. ``interpolation`` is ``linear``
+    Returns ``(by..., column, prob, value, lower, higher)``: ``lower`` and
+    ``higher`` are the order statistics either side of the position and
+    ``value`` the one chosen by ``interpolation``: ``linear``
     (pandas / SQL ``quantile_cont``: ``a + (b - a) * frac``), ``lower`` or
     ``higher`` (``higher`` at 0.5 is the upper median ``sorted[n // 2]``).
     """
@@ -125,7 +127,8 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         raise ValueError(f"unknown interpolation {interpolation!r}")
     # the result is tiny: keep it cached (recomputable from lineage if an
     # executor is lost) and release the long copy of the input
-    result = out.select(*key, "prob", val.alias(value_col)).persist(StorageLevel.MEMORY_AND_DISK)
+    result = out.select(*key, "prob", val.alias(value_col), F.col("a").alias("lower"),
+                        F.col("b").alias("higher")).persist(StorageLevel.MEMORY_AND_DISK)
     result.count()
     lng.unpersist()
     return result

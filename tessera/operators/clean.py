@@ -13,8 +13,6 @@ report has counted them; ``drop_flags`` removes them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -221,12 +219,30 @@ def type_cast(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C21
-@dataclass
 class CleanResult:
-    clean: DataFrame            # 24 columns, no flags
-    report: DataFrame           # one row of counters and the score
-    issues: DataFrame           # long rows (metric, column, value)
-    validation: DataFrame       # (check, violations, passed)
+    """The clean frame, with its report built on first access."""
+
+    def __init__(self, clean: DataFrame, build):
+        self.clean = clean          # 24 columns, no flags
+        self._build = build
+        self._parts = None
+
+    def _get(self, i: int) -> DataFrame:
+        if self._parts is None:
+            self._parts = self._build()
+        return self._parts[i]
+
+    @property
+    def report(self) -> DataFrame:      # one row of counters and the score
+        return self._get(0)
+
+    @property
+    def issues(self) -> DataFrame:      # long rows (metric, column, n, value, text)
+        return self._get(1)
+
+    @property
+    def validation(self) -> DataFrame:  # (check, violations, passed)
+        return self._get(2)
 
 
 def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanResult:
@@ -237,8 +253,19 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     staged = fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
     # every later global aggregate scans this frame: pin it once
     staged = materialize(staged, p.materialize)
-    dated = fill_median_date(staged)
-    fills = fill_values(dated, p)
+    # one distributed selection serves the upper-median date and the numeric
+    # medians (both read the staged table)
+    num = [c for c in p.median_cols if c in staged.columns]
+    sel = staged.select(F.unix_date("order_date").alias("_order_day"), *num)
+    meds = {r["column"]: r for r in percentiles(sel, ["_order_day", *num], [0.5]).collect()}
+    md = meds["_order_day"]["higher"] if "_order_day" in meds else None
+    dated = staged.withColumn("order_date", F.coalesce(
+        F.col("order_date"), F.date_from_unix_date(F.lit(md).cast("int")) if md is not None else F.lit(None)))
+    cat = [c for c in p.mode_cols if c in dated.columns]
+    fills = {c: meds[c]["value"] for c in num if c in meds}
+    if cat:
+        row = dated.agg(*[F.mode(c, True).alias(c) for c in cat]).first()
+        fills.update({c: row[c] for c in cat})
     imputed = impute_missing(dated, p, fills)
     cap_cols = [c for c in p.outlier_cols if c in imputed.columns]
     bounds = {r["column"]: r.asDict() for r in iqr_bounds(imputed, cap_cols, p.iqr_factor).collect()} \
@@ -246,8 +273,7 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     capped = cap_outliers(imputed, p, {c: (b["lo"], b["hi"]) for c, b in bounds.items()})
     final = type_cast(recompute_derived(capped, p.half_even))
     clean = final.drop(*FLAGS, *[c for c in final.columns if c.startswith("_cap_")])
-    report, issues, validation = quality.build_report(raw, dedup, staged, capped, clean, bounds, fills, p)
-    return CleanResult(clean, report, issues, validation)
+    return CleanResult(clean, lambda: quality.build_report(raw, dedup, staged, capped, clean, bounds, fills, p))
 
 
 def title_case_expr(c: Column) -> Column:  # pragma: no cover - convenience alias

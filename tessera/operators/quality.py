@@ -34,13 +34,15 @@ def _nulls(df: DataFrame, cols=None) -> Column:
     return F.coalesce(reduce(lambda a, b: a + b, terms), F.lit(0)).cast("long")
 
 
-def raw_profile(raw: DataFrame) -> DataFrame:
+def raw_profile(raw: DataFrame, distinct_rows: int | None = None) -> DataFrame:
     """Rows, columns, null cells, exact duplicate rows.
 
     Duplicates = rows - distinct rows; the distinct count is a partial hash
-    aggregate (copies collapse in the map side before the shuffle).
+    aggregate (copies collapse in the map side before the shuffle), or the
+    row count of an already deduplicated frame when the caller has one.
     """
-    distinct = raw.dropDuplicates().agg(F.count(F.lit(1))).first()[0]
+    distinct = distinct_rows if distinct_rows is not None else \
+        raw.dropDuplicates().agg(F.count(F.lit(1))).first()[0]
     return raw.agg(F.count(F.lit(1)).alias("raw_rows"),
                    F.lit(len(raw.columns)).alias("raw_cols"),
                    _nulls(raw).alias("raw_nulls")).withColumn(
@@ -97,7 +99,7 @@ def build_report(raw: DataFrame, dedup: DataFrame, staged: DataFrame, capped: Da
     num = [c for c in p.median_cols if c in staged.columns]
     cat = [c for c in p.mode_cols if c in staged.columns]
     caps = [c for c in p.outlier_cols if f"_cap_{c}" in capped.columns]
-    prof = raw_profile(raw).first()
+    prof = raw_profile(raw, staged.count()).first()
     capped_n = capped.agg(*[F.count_if(F.col(f"_cap_{c}")).alias(c) for c in caps]).first() if caps else None
     val = validation(clean, p)
     failed = sum(1 for r in val.collect() if not r["passed"])

@@ -63,10 +63,21 @@ _on_raw("iqr_cap", lambda r: C.cap_outliers(r).drop("_cap_unit_price"))
 _on_raw("zscore_count", lambda r: C.zscore_count(r, "age", 3.0))
 _on_raw("derive", lambda r: C.drop_flags(C.type_cast(C.recompute_derived(C.fix_dates(r)))))
 _on_raw("raw_profile", Q.raw_profile)
-_on_raw("cleaned_sales", lambda r: C.clean_sales(r).clean)
-_on_raw("validation", lambda r: C.clean_sales(r).validation)
-_on_raw("dq_report", lambda r: C.clean_sales(r).report)
-_on_raw("dq_issues", lambda r: C.clean_sales(r).issues)
+_CLEANED: dict = {}
+
+
+def cleaned(spark: SparkSession, sf_dir: str) -> C.CleanResult:
+    """One clean run per (session, tables): its four outputs share the staged table."""
+    key = (id(spark), sf_dir)
+    if key not in _CLEANED:
+        _CLEANED[key] = C.clean_sales(sales_raw(spark, sf_dir))
+    return _CLEANED[key]
+
+
+QUERIES["cleaned_sales"] = lambda spark, sf_dir: cleaned(spark, sf_dir).clean
+QUERIES["validation"] = lambda spark, sf_dir: cleaned(spark, sf_dir).validation
+QUERIES["dq_report"] = lambda spark, sf_dir: cleaned(spark, sf_dir).report
+QUERIES["dq_issues"] = lambda spark, sf_dir: cleaned(spark, sf_dir).issues
 
 # ---------------------------------------------------------------- statistics
 from tessera.operators import stats as S  # noqa: E402

@@ -35,6 +35,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a fact scan at least the cluster's default parallelism.
+
+    A scan gets one task per file split / row group; a small table stored as
+    one row group would run the whole join and projection chain in one task.
+    Only then is it spread round-robin (a one-off shuffle); a large table
+    already has more splits than cores and is returned unchanged.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x orders x customer x part x nation x region.
 
@@ -44,9 +56,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     region are fixed-size reference tables (25 and 5 rows in TPC-H at every
     scale), so broadcasting them is bounded.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+        "l_discount", "l_tax", "l_returnflag", "l_shipdate"))
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select(
