@@ -42,7 +42,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 by: Sequence[str] = (), interpolation: str = "linear",
-                buckets: int = 4096, max_exact: int = 100_000,
+                buckets: int = 4096, max_exact: int = 1_000_000,
                 value_col: str = "value") -> DataFrame:
     """Exact percentiles of each column in ``cols`` (per ``by`` group).
 
@@ -72,10 +72,14 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 .persist())
     tkey = [*key, "prob", "side"]
 
-    while True:
+    def n_open(t: DataFrame) -> int:
+        # one job: fills the cache of the (small) target table and answers
+        # whether another refinement pass is needed
+        return t.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_exact)).count()
+
+    passes = 0
+    while n_open(targets) > 0:
         open_ = targets.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_exact))
-        if open_.limit(1).count() == 0:
-            break
         width = (F.col("hi") - F.col("lo"))
         b = F.least(F.floor((F.col("v") - F.col("lo")) / width * buckets).cast("long"),
                     F.lit(buckets - 1))
@@ -92,15 +96,17 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                       .select(*tkey, F.col("bmin").alias("lo2"), F.col("bmax").alias("hi2"),
                               F.col("c").alias("cnt2"),
                               (F.col("below") + F.col("upto") - F.col("c")).alias("below2")))
-        targets = (targets.join(picked, tkey, "left")
-                          .select(*key, "prob", "frac", "side", "k",
-                                  F.coalesce("lo2", "lo").alias("lo"),
-                                  F.coalesce("hi2", "hi").alias("hi"),
-                                  F.coalesce("cnt2", "cnt").alias("cnt"),
-                                  F.coalesce("below2", "below").alias("below"))
-                          .persist(StorageLevel.MEMORY_AND_DISK))
-        # refinement passes: cut the lineage of the small target table
-        targets = materialize(targets, "checkpoint")
+        nxt = (targets.join(picked, tkey, "left")
+                      .select(*key, "prob", "frac", "side", "k",
+                              F.coalesce("lo2", "lo").alias("lo"),
+                              F.coalesce("hi2", "hi").alias("hi"),
+                              F.coalesce("cnt2", "cnt").alias("cnt"),
+                              F.coalesce("below2", "below").alias("below")))
+        passes += 1
+        # every few passes write the small target table out to cut its lineage
+        nxt = materialize(nxt, "checkpoint") if passes % 4 == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        targets.unpersist()
+        targets = nxt
 
     done = targets.where(F.col("lo") == F.col("hi")).select(*tkey, F.col("lo").alias("x"))
     rest = targets.where(F.col("lo") < F.col("hi"))

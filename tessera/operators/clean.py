@@ -104,6 +104,16 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
         F.array_sort(F.collect_set(col)).alias("values"))
 
 
+def value_audit(df: DataFrame, col: str = "gender") -> DataFrame:
+    """C5 as long rows: each distinct value before and after standardising,
+    with its row count (a hash aggregate, no array in one task)."""
+    before = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).count() \
+               .withColumn("stage", F.lit("before"))
+    after = standardise_gender(df, col).where(F.col(col).isNotNull()) \
+        .groupBy(F.col(col).alias("value")).count().withColumn("stage", F.lit("after"))
+    return before.unionByName(after).select("stage", "value", F.col("count").alias("rows"))
+
+
 # ------------------------------------------------------------------ C8, C9
 def fix_invalid_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
     """Negative quantity -> abs; C9: rating outside [min, max] -> null."""

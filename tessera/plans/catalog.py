@@ -57,6 +57,7 @@ _on_raw("dedup", C.remove_duplicates)
 _on_raw("date_fix", lambda r: C.drop_flags(C.fix_dates(r)))
 _on_raw("standardise", lambda r: C.drop_flags(C.standardise_categoricals(r)))
 _on_raw("invalid_values", lambda r: C.drop_flags(C.fix_invalid_values(r)))
+_on_raw("value_audit", C.value_audit)
 _on_raw("impute", C.impute_missing)
 _on_raw("iqr_bounds", lambda r: C.iqr_bounds(r, ["unit_price"], 3.0))
 _on_raw("iqr_cap", lambda r: C.cap_outliers(r).drop("_cap_unit_price"))
@@ -190,6 +191,8 @@ def _report_tables(spark, sf_dir):
     tables.update({"kpis": marts.kpis(s), "top_entities": marts.top_entities(s),
                    "yearly_growth": marts.yearly_growth(s), "regional": marts.regional(s),
                    "loyalty": marts.loyalty(s), "top_products": marts.top_products(s, 5)})
+    cr = cleaned(spark, sf_dir)
+    tables.update({"dq_report": cr.report, "dq_issues": cr.issues, "validation": cr.validation})
     base = _scratch(spark, f"reports-{_uuid.uuid4().hex}")
     paths = FI.write_reports(tables, base)
     out = None

@@ -429,3 +429,8 @@ SELECT product_category, CAST(row_number() OVER (ORDER BY mean DESC, product_cat
 # ---------------------------------------------------------------- sources and sinks
 register("csv_roundtrip", "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, "
          "CAST(customer_id AS VARCHAR) AS customer_id) FROM sales_raw", raw=True, clean=False)
+register("value_audit", f"""
+SELECT 'before' AS stage, gender AS value, count(*) AS rows FROM sales_raw WHERE gender IS NOT NULL GROUP BY gender
+UNION ALL
+SELECT 'after', g, count(*) FROM (SELECT {C.gender_std()} AS g FROM sales_raw) WHERE g IS NOT NULL GROUP BY g""",
+         raw=True, clean=False)
