@@ -110,12 +110,16 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     done = targets.where(F.col("lo") == F.col("hi")).select(*tkey, F.col("lo").alias("x"))
     rest = targets.where(F.col("lo") < F.col("hi"))
-    rn = Window.partitionBy(*tkey).orderBy("v")
-    exact = (lng.join(rest.select(*tkey, "k", "lo", "hi", "below"), key)
-                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                .withColumn("i", F.row_number().over(rn) - 1 + F.col("below"))
-                .where(F.col("i") == F.col("k"))
-                .select(*tkey, F.col("v").alias("x")))
+    # targets sharing a candidate window (all of a key's targets when no
+    # refinement pass ran) share one ranking of that window's rows
+    win = rest.select(*key, "lo", "hi", "below").distinct()
+    wkey = [*key, "lo", "hi"]
+    ranked = (lng.join(win, key)
+                 .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                 .withColumn("i", F.row_number().over(Window.partitionBy(*wkey).orderBy("v"))
+                             - 1 + F.col("below")))
+    exact = (ranked.join(rest.select(*tkey, "lo", "hi", F.col("k").alias("i")), [*wkey, "i"])
+                   .select(*tkey, F.col("v").alias("x")))
     found = done.unionByName(exact)
     sides = (found.groupBy(*key, "prob")
                   .agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("a"),
