@@ -33,7 +33,8 @@ def daily(sales: DataFrame, date: str = "order_date", series: Sequence[str] = ()
         money_sum(F.col("total_sales")).alias("total_sales"),
         F.count("order_id").alias("n_orders"),
         F.avg("unit_price").alias("price_mean"),
-        F.avg("discount").alias("discount_mean"),
+        # 2-dp rates: exact DECIMAL sum / count, independent of summation order
+        (F.sum(F.col("discount").cast("decimal(18,2)")).cast("double") / F.count("discount")).alias("discount_mean"),
         F.avg("quantity").alias("quantity_mean"))
     # one row per series with its date range, exploded into the day spine
     rng = agg.groupBy(*s).agg(F.min(date).alias("d0"), F.max(date).alias("d1"))

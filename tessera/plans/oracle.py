@@ -313,7 +313,9 @@ def r4(x: str) -> str:
 
 _DAILY = f"""
 agg AS (SELECT order_date, {msum('total_sales')} AS total_sales, count(order_id) AS n_orders,
-          avg(unit_price) AS price_mean, avg(discount) AS discount_mean, avg(quantity) AS quantity_mean
+          avg(unit_price) AS price_mean,
+          CAST(sum(CAST(discount AS DECIMAL(18,2))) AS DOUBLE) / count(discount) AS discount_mean,
+          avg(quantity) AS quantity_mean
         FROM sales WHERE order_date IS NOT NULL GROUP BY order_date),
 spine AS (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS order_date FROM agg),
 daily AS (SELECT s.order_date, coalesce(total_sales, 0.0) AS total_sales, CAST(coalesce(n_orders, 0) AS BIGINT) AS n_orders,
