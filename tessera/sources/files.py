@@ -11,8 +11,7 @@ import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
 # The raw 20-column sales layout (types on read; order_date stays text until parsed).
 RAW_SCHEMA = StructType([
@@ -63,4 +62,4 @@ def write_reports(tables: Mapping[str, DataFrame], base: str, fmt: str = "parque
     return out
 
 
-__all__ = ["RAW_SCHEMA", "read_csv", "write_table", "write_reports", "LongType"]
+__all__ = ["RAW_SCHEMA", "read_csv", "write_table", "write_reports"]
