@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import money_sum, round_half_even
 
-_valid = F.col  # alias for readability in filters
-
-
 def _share(col: str, digits: int = 2):
     # share of the (bounded, aggregated) total
     return round_half_even(F.col(col) / F.sum(col).over(Window.partitionBy()) * 100, digits)
