@@ -55,7 +55,7 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     key = [*by, "column"]
-    lng = long_values(df, cols, by).persist(StorageLevel.MEMORY_AND_DISK)
+    lng = long_values(df, cols, by)
 
     stats = lng.groupBy(*key).agg(F.count("v").alias("n"), F.min("v").alias("lo"),
                                   F.max("v").alias("hi"))
@@ -136,11 +136,11 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     else:
         raise ValueError(f"unknown interpolation {interpolation!r}")
     # the result is tiny: keep it cached (recomputable from lineage if an
-    # executor is lost) and release the long copy of the input
+    # executor is lost). The long values are not cached: every pass rescans
+    # the (columnar, pruned) input, which scales better than a cached copy
     result = out.select(*key, "prob", val.alias(value_col), F.col("a").alias("lower"),
                         F.col("b").alias("higher")).persist(StorageLevel.MEMORY_AND_DISK)
     result.count()
-    lng.unpersist()
     return result
 
 
