@@ -30,6 +30,14 @@ def drop_flags(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in FLAGS if c in df.columns])
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """pandas treats NaN as missing; make it SQL NULL so counts, medians and
+    fills skip it the same way."""
+    cols = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in cols}) \
+        if cols else df
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 
@@ -259,7 +267,7 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     """C1-C19 in the reference order, returning the clean frame and its report."""
     from tessera.operators import quality
 
-    dedup = remove_duplicates(raw)
+    dedup = remove_duplicates(nan_to_null(raw))
     staged = fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
     # every later global aggregate scans this frame: pin it once
     staged = materialize(staged, p.materialize)

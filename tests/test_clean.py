@@ -136,3 +136,30 @@ def test_dq_score_recorded_value(spark):
     df = spark.range(1).select(Q.dq_score(F.lit(3090), F.lit(3006), F.lit(24), F.lit(0), F.lit(12), F.lit(25),
                                           F.lit(15), F.lit(900), F.lit(0)).alias("s"))
     assert df.first()[0] == 69.6
+
+
+def test_nan_counts_as_missing(spark):
+    import math
+    rows = [(1, "2023-01-01", 2.0, math.nan, 1, 10.0, 0.0, 2.0, "M"),
+            (2, "2023-01-02", 4.0, 3.0, 1, 10.0, 0.0, 2.0, "F"),
+            (3, "2023-01-03", 6.0, 5.0, 1, 10.0, 0.0, 2.0, "F")]
+    df = spark.createDataFrame(rows, "order_id long, order_date string, age double, customer_rating double, "
+                                     "quantity int, unit_price double, discount double, shipping_days double, "
+                                     "gender string")
+    res = C.clean_sales(df.withColumn("return_flag", F.lit(False)))
+    out = {r["order_id"]: r["customer_rating"] for r in res.clean.collect()}
+    assert out[1] == 4.0                      # NaN imputed with the median of 3 and 5
+    assert res.report.first()["missing_customer_rating"] == 1
+
+
+def test_all_null_column_is_left_alone(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b")], "order_id long, age double, region string")
+    assert C.fill_values(df).get("age") is None
+    out = C.impute_missing(df)
+    assert out.where(F.col("age").isNull()).count() == 2
+
+
+def test_clean_is_partitioning_invariant(raw):
+    a = sorted(map(tuple, C.clean_sales(raw.withColumn("return_flag", F.lit(False)).repartition(1)).clean.collect()))
+    b = sorted(map(tuple, C.clean_sales(raw.withColumn("return_flag", F.lit(False)).repartition(5)).clean.collect()))
+    assert a == b

@@ -62,3 +62,11 @@ def test_row_sample_partition_invariant(spark):
     a = sorted(r[0] for r in S.row_sample(df.repartition(1), 50, ["k"]).collect())
     b = sorted(r[0] for r in S.row_sample(df.repartition(9), 50, ["k"]).collect())
     assert a == b and len(a) == 50
+
+
+def test_null_group_keys_are_dropped(spark):
+    from tessera.operators import marts
+    rows = [("N", 10.0, 1, 4.0), (None, 99.0, 2, 3.0), ("S", 5.0, 3, 2.0)]
+    df = spark.createDataFrame(rows, "region string, total_sales double, order_id long, customer_rating double")
+    got = {r["region"]: r["revenue"] for r in marts.regional(df).collect()}
+    assert got == {"N": 10.0, "S": 5.0}
