@@ -235,3 +235,4 @@ def _model_save(spark, sf_dir):
 QUERIES["csv_roundtrip"] = _csv_roundtrip
 QUERIES["report_tables"] = _report_tables
 QUERIES["model_save"] = _model_save
+_on_sales("violin_density", DI.kde_by)

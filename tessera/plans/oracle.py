@@ -436,3 +436,15 @@ SELECT 'before' AS stage, gender AS value, count(*) AS rows FROM sales_raw WHERE
 UNION ALL
 SELECT 'after', g, count(*) FROM (SELECT {C.gender_std()} AS g FROM sales_raw) WHERE g IS NOT NULL GROUP BY g""",
          raw=True, clean=False)
+register("violin_density", f"""
+WITH x AS (SELECT product_category, CAST(unit_price AS DOUBLE) AS x FROM sales
+           WHERE product_category IS NOT NULL AND unit_price IS NOT NULL),
+st AS (SELECT product_category, min(x) AS lo, max(x) AS hi, count(x) AS n, stddev_samp(x) AS sd FROM x GROUP BY ALL),
+p AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
+p2 AS (SELECT *, lo - 2.0 * h AS g0, (hi - lo + 2 * 2.0 * h) / 99 AS step FROM p WHERE h > 0),
+vc AS (SELECT product_category, x, count(*) AS c FROM x GROUP BY ALL),
+g AS (SELECT product_category, CAST(i AS INTEGER) AS point, g0 + i * step AS gx, n, h FROM p2, generate_series(0, 99) t(i)),
+k AS (SELECT g.product_category, g.point, any_value(g.gx) AS gx,
+        sum(vc.c * exp(-0.5 * ((g.gx - vc.x) / g.h) * ((g.gx - vc.x) / g.h))) / (any_value(g.n) * any_value(g.h) * sqrt(2 * pi())) AS d
+      FROM g JOIN vc USING (product_category) GROUP BY g.product_category, g.point)
+SELECT product_category, point, {r2('gx', 6)} AS x, {r2('d', 12)} AS density FROM k""")
