@@ -160,3 +160,13 @@ def issue_rows(report: DataFrame, bounds: dict, fills: dict, num, cat, caps) ->
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
+
+
+def geo_consistency(clean: DataFrame, city: str = "city", region: str = "region") -> DataFrame:
+    """Optional check: cities that appear under more than one region after
+    imputation (the imputed mode region need not match the city's region)."""
+    per = (clean.where(F.col(city).isNotNull() & F.col(region).isNotNull())
+                .groupBy(city, region).agg(F.count(F.lit(1)).alias("rows")))
+    multi = per.groupBy(city).agg(F.count(F.lit(1)).alias("regions"), F.sum("rows").alias("rows"))
+    return multi.where(F.col("regions") > 1).select(city, F.col("regions").cast("long").alias("regions"),
+                                                    F.col("rows").cast("long").alias("rows"))

@@ -448,3 +448,7 @@ k AS (SELECT g.product_category, g.point, any_value(g.gx) AS gx,
         sum(vc.c * exp(-0.5 * ((g.gx - vc.x) / g.h) * ((g.gx - vc.x) / g.h))) / (any_value(g.n) * any_value(g.h) * sqrt(2 * pi())) AS d
       FROM g JOIN vc USING (product_category) GROUP BY g.product_category, g.point)
 SELECT product_category, point, {r2('gx', 6)} AS x, {r2('d', 12)} AS density FROM k""")
+register("geo_consistency", "WITH " + C.chain() + """,
+per AS (SELECT city, region, count(*) AS rows FROM clean WHERE city IS NOT NULL AND region IS NOT NULL GROUP BY ALL)
+SELECT city, CAST(count(*) AS BIGINT) AS regions, CAST(sum(rows) AS BIGINT) AS rows FROM per
+GROUP BY city HAVING count(*) > 1""", raw=True, clean=False)

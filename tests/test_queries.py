@@ -11,7 +11,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-SLOW = {"rf_eval", "rf_metrics", "ts_cv", "importance", "forecast_daily", "forecast_monthly", "timeline"}
+SLOW = {"rf_eval", "rf_metrics", "ts_cv", "importance", "forecast_daily", "forecast_monthly", "timeline",
+        "forecast_band"}
 
 
 def _norm(v):
@@ -55,4 +56,4 @@ def test_every_query_has_oracle_or_is_listed():
     no_oracle = set(entry.queries()) - set(entry.oracle_sql())
     assert no_oracle <= {"anova_test", "chi_square_test", "pearson_test", "shapiro_sample", "row_sample",
                          "rf_eval", "rf_metrics", "ts_cv", "importance", "forecast_daily", "forecast_monthly",
-                         "timeline", "model_save", "csv_roundtrip", "report_tables"}
+                         "timeline", "model_save", "csv_roundtrip", "report_tables", "forecast_band"}
