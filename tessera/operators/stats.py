@@ -280,6 +280,26 @@ def jarque_bera(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
                     round_half_even(F.exp(-jb / 2.0), 4).alias("p_value"))
 
 
+def ks_normal(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
+    """Full-data normality companion: one-sample Kolmogorov-Smirnov test of
+    each column against a normal with the column's mean and sample std
+    (Spark ML's test sorts the column distributed by range, no sample)."""
+    from pyspark.ml.stat import KolmogorovSmirnovTest
+
+    cols = _present(df, cols)
+    m = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))]).first()
+    out = None
+    for c in cols:
+        if m[f"s_{c}"] is None or m[f"s_{c}"] <= 0:
+            continue
+        x = df.select(F.col(c).cast("double").alias(c)).where(F.col(c).isNotNull() & ~F.isnan(c))
+        r = KolmogorovSmirnovTest.test(x, c, "norm", float(m[f"m_{c}"]), float(m[f"s_{c}"]))
+        part = r.select(F.lit(c).alias("column"), round_half_even(F.col("statistic"), 4).alias("ks_stat"),
+                        round_half_even(F.col("pValue"), 4).alias("p_value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def run_analysis(df: DataFrame, p: AbcParams = AbcParams()) -> dict[str, DataFrame]:
     """The eight analyses as named DataFrames (lazy)."""
     a = abc(df, p)

@@ -239,3 +239,4 @@ _on_sales("violin_density", DI.kde_by)
 QUERIES["forecast_band"] = lambda spark, sf_dir: FC.empirical_band(fitted(spark, sf_dir)[0],
                                                                    _daily_forecast(spark, sf_dir))
 QUERIES["geo_consistency"] = lambda spark, sf_dir: Q.geo_consistency(cleaned(spark, sf_dir).clean)
+_on_sales("ks_normal", S.ks_normal)

@@ -70,3 +70,11 @@ def test_null_group_keys_are_dropped(spark):
     df = spark.createDataFrame(rows, "region string, total_sales double, order_id long, customer_rating double")
     got = {r["region"]: r["revenue"] for r in marts.regional(df).collect()}
     assert got == {"N": 10.0, "S": 5.0}
+
+
+def test_ks_normal_separates_normal_from_skewed(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"age": rng.normal(40, 5, 2000), "unit_price": rng.exponential(100, 2000)})
+    got = {r["column"]: r for r in S.ks_normal(spark.createDataFrame(pdf), ["age", "unit_price"]).collect()}
+    assert got["age"]["p_value"] > 0.01
+    assert got["unit_price"]["p_value"] < 1e-6
