@@ -38,7 +38,7 @@ class ForecastParams:
     forecast_months: int = 3
     random_state: int = 42
     max_bins: int = 32
-    max_memory_mb: int = 2048
+    max_memory_mb: int = 256       # Spark's default node-aggregation budget per task
     band: float = 0.15
     strict_features: bool = False
 
