@@ -1,14 +1,19 @@
-"""Session construction and lineage helpers."""
+"""Session construction, shared scratch folder, shipping of the package, lineage helpers."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+_STAGES: list[tuple[SparkSession, str]] = []
+
 
 def get_session(master: str | None = None, app: str = "tessera",
                 shuffle_partitions: int | None = None) -> SparkSession:
@@ -33,15 +38,44 @@ def get_session(master: str | None = None, app: str = "tessera",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ready(spark)
     return spark
 
 
+def ready(spark: SparkSession) -> None:
+    """What every query needs: a shared folder, and this package on the workers."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application.
+
+    Functions that run in Python workers are pickled by reference; the workers
+    of a cluster, or of a driver started in another folder, do not have the
+    package otherwise. The archive goes through Spark's own file distribution.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as tmp:  # the driver's own: addPyFile copies it
+        path = os.path.join(tmp, f"tessera-{uuid.uuid4().hex[:8]}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(here):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.join("tessera", os.path.relpath(full, here)))
+        sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there; we only invent
-    one when the setting is absent, which happens in local tests.
+    A cluster must name a folder that all executors share. Only a local master,
+    where driver and executors are one process, gets one of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,8 +83,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -61,6 +96,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+@atexit.register
+def drop_stages() -> None:
+    """Remove the stage tables of this process; they serve one session only."""
+    while _STAGES:
+        spark, path = _STAGES.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session has ended; its folder is the cluster's to clean
+            pass
+
+
 def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """Cut lineage before a frame is scanned by several global aggregates.
 
@@ -73,6 +121,7 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     if mode == "checkpoint":
         spark = df.sparkSession
         path = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
+        _STAGES.append((spark, path))
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     if mode == "cache":
