@@ -11,7 +11,7 @@ import zipfile
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_SHIPPED: set[str] = set()
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 _STAGES: list[tuple[SparkSession, str]] = []
 
 
@@ -59,16 +59,16 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     here = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as tmp:  # the driver's own: addPyFile copies it
-        path = os.path.join(tmp, f"tessera-{uuid.uuid4().hex[:8]}.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for folder, _, names in os.walk(here):
-                for n in names:
-                    if n.endswith(".py"):
-                        full = os.path.join(folder, n)
-                        z.write(full, os.path.join("tessera", os.path.relpath(full, here)))
-        sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
+    tmp = tempfile.TemporaryDirectory()  # the driver's own; executors fetch it from the driver while the session lasts
+    path = os.path.join(tmp.name, f"tessera-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tessera", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    _SHIPPED[sc.applicationId] = tmp
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
