@@ -99,7 +99,8 @@ def banded(item: np.ndarray, region: np.ndarray, width: int, limit: int) -> tupl
     """(edits, start, end) of the best occurrence of the whole item in the region, if within ``limit``.
 
     The path stays on the region's first ``width`` diagonals; it may start on
-    any of them and end anywhere.
+    any of them and end anywhere. The item's characters may not outrun the
+    region's, so a caller puts as much before a region as may be missing there.
     """
     m, n = len(item), len(region)
     inf = 1 << 20
@@ -160,7 +161,7 @@ def search(index: Index, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
             if len(np.unique(pos[rows])) < bound[i]:  # a gram of the item counts once
                 continue
             e, m = int(budget[i]), int(sizes[i])
-            base = max(0, int(band[rows[0]]) * 2 * (e + 1) - shift * (e + 1) - off)
+            base = int(band[rows[0]]) * 2 * (e + 1) - shift * (e + 1) - off
             if any(out.get((i, s), (1,))[0] == 0 for s in range(base, base + 2 * e + 2)):
                 continue
             item = _codes(index.texts[i])
@@ -168,9 +169,12 @@ def search(index: Index, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
             if d >= 0 and np.array_equal(codes[d:d + m], item):
                 out[i, d] = (0, d + m)
                 continue
-            got = banded(item, codes[base:base + 2 * (e + 1) + m + e], 2 * (e + 1), e)
+            region = codes[max(0, base):max(0, base + 2 * (e + 1) + m + e)]
+            before = np.zeros(max(0, -base), np.uint32)  # an item cut off at the text's start: nothing there matches
+            got = banded(item, np.concatenate([before, region]), 2 * (e + 1), e)
             if got:
-                out[i, base + got[1]] = min(out.get((i, base + got[1]), (m, 0)), (got[0], base + got[2]))
+                start = max(0, base + got[1])
+                out[i, start] = min(out.get((i, start), (m, 0)), (got[0], base + got[2]))
     return [(i, s, z, e) for (i, s), (e, z) in out.items()]
 
 
