@@ -1,7 +1,11 @@
-"""Distribution tails for test statistics (scipy is not available).
-
-Plain-Python numerics (continued fractions / series, Numerical-Recipes style)
-used on one-row statistic frames through Arrow-batched pandas UDFs.
+"""Distribution tails for test statistics.
+
+The regularised beta and gamma functions are those of the math library that
+Spark itself ships in the JVM; they are called from the driver on the few rows
+of a finished test statistic, so no Python worker runs for a p-value. Beyond
+``MANY`` degrees of freedom the limits are used (normal for t, chi-square for
+F): they differ by less than one over the degrees of freedom, where the beta
+function of such arguments loses its digits.
 """
 
 from __future__ import annotations
@@ -10,107 +14,66 @@ import math
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-_EPS = 1e-15
-_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return h
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+from pyspark.sql import DataFrame, SparkSession
 
 
-def gammaincc(a: float, x: float) -> float:
-    """Regularized upper incomplete gamma Q(a, x)."""
-    if x <= 0.0:
-        return 1.0
-    if x < a + 1.0:
-        term = s = 1.0 / a
-        ap = a
-        for _ in range(100000):
-            ap += 1.0
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * _EPS:
-                break
-        return 1.0 - s * math.exp(-x + a * math.log(x) - math.lgamma(a))
-    b = x + 1.0 - a
-    c, d = 1.0 / _TINY, 1.0 / b
-    h = d
-    for i in range(1, 100000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
-
-
-def f_sf(f: float, d1: float, d2: float) -> float:
-    """P(F > f) for F(d1, d2)."""
+MANY = 1e7
+
+
+def _jvm(spark: SparkSession | None):
+    return (spark or SparkSession.active()).sparkContext._jvm.org.apache.commons.math3.special
+
+
+def _lower_beta(x: float, a: float, b: float, spark=None) -> float:
+    return 0.0 if x <= 0 else 1.0 if x >= 1 else float(_jvm(spark).Beta.regularizedBeta(float(x), float(a), float(b)))
+
+
+def f_sf(f: float, d1: float, d2: float, spark=None) -> float | None:
+    """P(F > f) for F(d1, d2); None if it is not defined."""
     if f is None or not np.isfinite(f) or d1 <= 0 or d2 <= 0:
-        return float("nan")
-    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f)) if f > 0 else 1.0
+        return None
+    if f <= 0:
+        return 1.0
+    if d2 > MANY:
+        return chi2_sf(d1 * f, d1, spark)
+    return 1.0 - _lower_beta(d1 * f / (d2 + d1 * f), d1 / 2.0, d2 / 2.0, spark)
 
 
-def chi2_sf(x: float, k: float) -> float:
+def chi2_sf(x: float, k: float, spark=None) -> float | None:
+    """P(X > x) for chi-square with k degrees of freedom."""
     if x is None or not np.isfinite(x) or k <= 0:
-        return float("nan")
-    return gammaincc(k / 2.0, x / 2.0)
+        return None
+    return 1.0 if x <= 0 else float(_jvm(spark).Gamma.regularizedGammaQ(k / 2.0, x / 2.0))
 
 
-def t_two_sided(t: float, df: float) -> float:
-    if t is None or not np.isfinite(t) or df <= 0:
-        return 0.0 if t is not None and np.isinf(t) else float("nan")
-    return betainc(df / 2.0, 0.5, df / (df + t * t))
+def t_two_sided(t: float, df: float, spark=None) -> float | None:
+    """Two-sided tail of Student's t."""
+    if t is None or df <= 0 or math.isnan(t):
+        return None
+    if math.isinf(t):
+        return 0.0
+    if df > MANY:
+        return math.erfc(abs(t) / math.sqrt(2.0))
+    return 1.0 - _lower_beta(t * t / (df + t * t), 0.5, df / 2.0, spark)
 
 
-def pearson_p(r: float, n: float) -> float:
+def pearson_p(r: float, n: float, spark=None) -> float | None:
     """Two-sided p of Pearson r with n pairs (t test, n - 2 df)."""
     if r is None or n is None or n < 3 or not np.isfinite(r):
-        return float("nan")
+        return None
     if abs(r) >= 1.0:
         return 0.0
-    df = n - 2.0
-    return t_two_sided(r * math.sqrt(df / (1.0 - r * r)), df)
+    return t_two_sided(r * math.sqrt((n - 2.0) / (1.0 - r * r)), n - 2.0, spark)
+
+
+def with_p(stats: DataFrame, p, schema: str) -> DataFrame:
+    """``stats``, a frame of a few finished statistics, as rows that ``p(row, spark)`` makes."""
+    spark = stats.sparkSession
+    return spark.createDataFrame([p(r, spark) for r in stats.collect()], schema)
+
+
+def rounded(x: float | None, digits: int = 4) -> float | None:
+    return None if x is None else float(np.rint(x * 10 ** digits) / 10 ** digits)
 
 
 # -------------------------------------------------------------- Shapiro-Wilk
@@ -139,6 +102,7 @@ def shapiro_wilk(x) -> tuple[float, float]:
         a[-1] = -a[0]
     else:
         an = -m[0] / math.sqrt(ssm)
+        # fixed values: the published coefficients of Royston's approximation
         a_n = _poly([0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056], u) + m[-1] / math.sqrt(ssm)
         if n > 5:
             a_n1 = _poly([0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633], u) + m[-2] / math.sqrt(ssm)
@@ -169,19 +133,3 @@ def shapiro_wilk(x) -> tuple[float, float]:
     z = (y - mu) / sigma
     p = 1.0 - _ND.cdf(z) if np.isfinite(z) else (0.0 if z > 0 else 1.0)
     return w, p
-
-
-# -------------------------------------------------------------- UDF wrappers
-@F.pandas_udf(DoubleType())
-def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([f_sf(a, b, c) for a, b, c in zip(f, d1, d2)], dtype=float)
-
-
-@F.pandas_udf(DoubleType())
-def chi2_pvalue(x: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(a, b) for a, b in zip(x, k)], dtype=float)
-
-
-@F.pandas_udf(DoubleType())
-def pearson_pvalue(r: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([pearson_p(a, b) for a, b in zip(r, n)], dtype=float)

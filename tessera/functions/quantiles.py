@@ -3,22 +3,23 @@
 Spark's ``percentile``/``median`` aggregates are exact but keep a map of
 distinct value -> count per group and merge it in a single task; over a
 high-cardinality measure at scale that map is unbounded. ``percentiles`` finds
-the same order statistics by distributed selection:
+the same order statistics by distributed selection, at every size alike:
 
-1. per key (group columns + measure name): n, min, max (one hash aggregate);
+1. per key (group columns + measure name): n, finite min and max, and how many
+   values are infinite (one hash aggregate);
 2. each wanted rank k becomes a target with a value window [lo, hi] and the
-   number of values below it;
+   number of values below it; ranks among infinite values are known at once;
 3. a pass splits every open window into ``buckets`` equal-width buckets
-   (a hash aggregate whose output is at most ``buckets`` rows per target),
-   a window over those bucket rows finds the one holding rank k, and the
-   target's window shrinks to that bucket's [min, max];
-4. when a window holds one distinct value it is resolved; once it holds at
-   most ``max_exact`` rows, a last pass ranks those rows with ``row_number``
-   (a window partition bounded by ``max_exact``).
-
-A hot value (a third of all rows equal) collapses to one bucket whose
-min == max and resolves at once. Only one number per pass (the largest open
-window) reaches the driver to decide whether to continue.
+   (a hash aggregate whose output is at most ``buckets`` rows per window),
+   a window function over those bucket rows finds the one holding rank k, and
+   the target's window shrinks to that bucket's [min, max];
+4. a target is resolved when its window holds one distinct value.
+
+lo falls into the first bucket and hi into the last, so every pass removes at
+least one distinct value from a window: the loop ends. A hot value (a third of
+all rows equal) has a bucket with min == max as soon as it stands alone.
+Targets with the same window share its histogram. Only one number per pass (the
+open targets) reaches the driver.
 """
 
 from __future__ import annotations
@@ -42,8 +43,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 by: Sequence[str] = (), interpolation: str = "linear",
-                buckets: int = 4096, max_exact: int = 1_000_000,
-                value_col: str = "value") -> DataFrame:
+                buckets: int = 4096, value_col: str = "value") -> DataFrame:
     """Exact percentiles of each column in ``cols`` (per ``by`` group).
 
     Returns ``(by..., column, prob, value, lower, higher)``: ``lower`` and
@@ -51,83 +51,70 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``value`` the one chosen by ``interpolation``: ``linear``
     (pandas / SQL ``quantile_cont``: ``a + (b - a) * frac``), ``lower`` or
     ``higher`` (``higher`` at 0.5 is the upper median ``sorted[n // 2]``).
+    A column (of a group) without any value has no rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     key = [*by, "column"]
     lng = long_values(df, cols, by)
+    inf = float("inf")
+    finite = F.when(F.abs("v") < inf, F.col("v"))
 
-    stats = lng.groupBy(*key).agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                                  F.max("v").alias("hi"))
+    stats = lng.groupBy(*key).agg(F.count("v").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+                                  F.count(finite).alias("cnt"), F.count_if(F.col("v") == -inf).alias("low"))
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    t = (stats.select(*key, "n", "lo", "hi", F.explode(wanted).alias("prob"))
+    t = (stats.select(*key, "n", "lo", "hi", "cnt", "low", F.explode(wanted).alias("prob"))
               .withColumn("pos", F.col("prob") * (F.col("n") - 1))
               .withColumn("frac", F.col("pos") - F.floor("pos")))
     ranks = F.array(F.struct(F.lit(0).alias("side"), F.floor("pos").cast("long").alias("k")),
                     F.struct(F.lit(1).alias("side"), F.ceil("pos").cast("long").alias("k")))
-    targets = (t.select(*key, "prob", "frac", "lo", "hi", F.col("n").alias("cnt"),
-                        F.explode(ranks).alias("r"))
-                .select(*key, "prob", "frac", "r.side", "r.k", "lo", "hi", "cnt",
-                        F.lit(0).cast("long").alias("below"))
-                .persist())
-    tkey = [*key, "prob", "side"]
-
-    def n_open(t: DataFrame) -> int:
-        # one job: fills the cache of the (small) target table and answers
-        # whether another refinement pass is needed
-        return t.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_exact)).count()
+    k = F.col("r.k")
+    at = lambda c: F.when(k < F.col("low"), -inf).when(k >= F.col("low") + F.col("cnt"), inf).otherwise(F.col(c))
+    targets = (t.select(*key, "prob", "frac", "lo", "hi", "low", "cnt", F.explode(ranks).alias("r"))
+                .select(*key, "prob", "frac", "r.side", "r.k", at("lo").alias("lo"), at("hi").alias("hi"),
+                        F.col("low").cast("long").alias("below"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    tkey, wkey = [*key, "prob", "side"], [*key, "lo", "hi", "below"]
 
     passes = 0
-    while n_open(targets) > 0:
-        open_ = targets.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_exact))
-        width = (F.col("hi") - F.col("lo"))
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / width * buckets).cast("long"),
-                    F.lit(buckets - 1))
-        hist = (lng.join(open_.select(*tkey, "lo", "hi"), key)
+    # one job a pass: fills the cache of the (small) target table and tells whether any target is open
+    while targets.where(F.col("lo") < F.col("hi")).count() > 0:
+        open_ = targets.where(F.col("lo") < F.col("hi"))
+        # halves where the width of the window overflows a double
+        width = F.col("hi") - F.col("lo")
+        share = F.when(width < inf, F.try_divide(F.col("v") - F.col("lo"), width)).otherwise(
+            (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2))
+        b = F.when(F.col("v") >= F.col("hi"), buckets - 1).otherwise(
+            F.least(F.floor(share * (buckets - 1)).cast("long"), F.lit(buckets - 2)))
+        hist = (lng.join(open_.select(*wkey).distinct(), key)
                    .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                   .groupBy(*tkey, b.alias("bucket"))
+                   .groupBy(*wkey, b.alias("bucket"))
                    .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"),
                         F.max("v").alias("bmax")))
-        w = Window.partitionBy(*tkey).orderBy("bucket")
+        w = Window.partitionBy(*wkey).orderBy("bucket")
         hist = hist.withColumn("upto", F.sum("c").over(w))
-        picked = (hist.join(open_.select(*tkey, "k", "below"), tkey)
+        picked = (hist.join(open_.select(*tkey, "k", "lo", "hi", "below"), wkey)
                       .where((F.col("below") + F.col("upto") - F.col("c") <= F.col("k"))
                              & (F.col("k") < F.col("below") + F.col("upto")))
                       .select(*tkey, F.col("bmin").alias("lo2"), F.col("bmax").alias("hi2"),
-                              F.col("c").alias("cnt2"),
                               (F.col("below") + F.col("upto") - F.col("c")).alias("below2")))
         nxt = (targets.join(picked, tkey, "left")
                       .select(*key, "prob", "frac", "side", "k",
                               F.coalesce("lo2", "lo").alias("lo"),
                               F.coalesce("hi2", "hi").alias("hi"),
-                              F.coalesce("cnt2", "cnt").alias("cnt"),
                               F.coalesce("below2", "below").alias("below")))
         passes += 1
         # every few passes write the small target table out to cut its lineage
-        nxt = materialize(nxt, "checkpoint") if passes % 4 == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        nxt = materialize(nxt, "checkpoint" if passes % 4 == 0 else "cache")
+        nxt.count()
         targets.unpersist()
         targets = nxt
 
-    done = targets.where(F.col("lo") == F.col("hi")).select(*tkey, F.col("lo").alias("x"))
-    rest = targets.where(F.col("lo") < F.col("hi"))
-    # targets sharing a candidate window (all of a key's targets when no
-    # refinement pass ran) share one ranking of that window's rows
-    win = rest.select(*key, "lo", "hi", "below").distinct()
-    wkey = [*key, "lo", "hi"]
-    ranked = (lng.join(win, key)
-                 .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                 .withColumn("i", F.row_number().over(Window.partitionBy(*wkey).orderBy("v"))
-                             - 1 + F.col("below")))
-    exact = (ranked.join(rest.select(*tkey, "lo", "hi", F.col("k").alias("i")), [*wkey, "i"])
-                   .select(*tkey, F.col("v").alias("x")))
-    found = done.unionByName(exact)
-    sides = (found.groupBy(*key, "prob")
-                  .agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("a"),
-                       F.max(F.when(F.col("side") == 1, F.col("x"))).alias("b")))
-    fr = targets.select(*key, "prob", "frac").distinct()
-    out = sides.join(fr, [*key, "prob"])
+    out = (targets.groupBy(*key, "prob", "frac")
+                  .agg(F.max(F.when(F.col("side") == 0, F.col("lo"))).alias("a"),
+                       F.max(F.when(F.col("side") == 1, F.col("lo"))).alias("b")))
     if interpolation == "linear":
-        val = F.when(F.col("frac") == 0, F.col("a")).otherwise(
+        val = F.when((F.col("frac") == 0) | (F.col("a") == F.col("b")), F.col("a")).otherwise(
             F.col("a") + F.col("frac") * (F.col("b") - F.col("a")))
     elif interpolation == "higher":
         val = F.col("b")
@@ -135,17 +122,9 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         val = F.col("a")
     else:
         raise ValueError(f"unknown interpolation {interpolation!r}")
-    # the result is tiny: keep it cached (recomputable from lineage if an
-    # executor is lost). The long values are not cached: every pass rescans
-    # the (columnar, pruned) input, which scales better than a cached copy
-    result = out.select(*key, "prob", val.alias(value_col), F.col("a").alias("lower"),
-                        F.col("b").alias("higher")).persist(StorageLevel.MEMORY_AND_DISK)
-    result.count()
+    # the long values are not cached: every pass rescans the (columnar, pruned)
+    # input, which scales better than a cached copy; the small result is written
+    result = materialize(out.select(*key, "prob", val.alias(value_col), F.col("a").alias("lower"),
+                                    F.col("b").alias("higher")))
+    targets.unpersist()
     return result
-
-
-def percentile_columns(df: DataFrame, cols: Sequence[str], prob: float,
-                       interpolation: str = "linear", **kw) -> DataFrame:
-    """One-row frame ``{col: percentile}`` (a pivot of ``percentiles``)."""
-    p = percentiles(df, cols, [prob], interpolation=interpolation, **kw)
-    return p.groupBy().pivot("column", list(cols)).agg(F.first("value"))

@@ -13,6 +13,8 @@ report has counted them; ``drop_flags`` removes them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -53,6 +55,12 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def count_copies(df: DataFrame) -> DataFrame:
+    """C1 with what the report needs: ``_mult`` copies of each row and its ``_cells`` null cells."""
+    cells = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_mult")).withColumn("_cells", cells)
+
+
 # ------------------------------------------------------------------ C2, C3
 def parse_dates(df: DataFrame, col: str = "order_date", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Text -> date, unparseable -> null (flagged in ``_bad_date``)."""
@@ -73,8 +81,8 @@ def median_date(df: DataFrame, col: str = "order_date") -> DataFrame:
 
 def fill_median_date(df: DataFrame, col: str = "order_date") -> DataFrame:
     """Fill missing dates with the upper median date (one scalar)."""
-    med = median_date(df, col).first()[0]
-    return df.withColumn(col, F.coalesce(F.col(col), F.lit(med).cast("date")))
+    med = median_date(df, col).first()  # none if no date is valid: all stay null
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(med[0] if med else None).cast("date")))
 
 
 def fix_dates(df: DataFrame, col: str = "order_date", fmt: str = "yyyy-MM-dd") -> DataFrame:
@@ -106,12 +114,6 @@ def standardise_categoricals(df: DataFrame) -> DataFrame:
     return out
 
 
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    """Sorted distinct non-null values (bounded by the category domain)."""
-    return df.where(F.col(col).isNotNull()).agg(
-        F.array_sort(F.collect_set(col)).alias("values"))
-
-
 def value_audit(df: DataFrame, col: str = "gender") -> DataFrame:
     """C5 as long rows: each distinct value before and after standardising,
     with its row count (a hash aggregate, no array in one task)."""
@@ -136,27 +138,6 @@ def fix_invalid_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> D
 
 
 # ------------------------------------------------------------------ C10-C12
-def impute_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> DataFrame:
-    """The medians and modes the imputation uses, long: (column, kind, value)."""
-    num = [c for c in p.median_cols if c in df.columns]
-    cat = [c for c in p.mode_cols if c in df.columns]
-    parts = []
-    if num:
-        med = percentiles(df, num, [0.5])
-        parts.append(med.select("column", F.lit("median").alias("kind"),
-                                F.col("value").cast("string").alias("value")))
-    if cat:
-        # mode with ties to the smallest value; one map per column bounded by
-        # the number of categories
-        modes = df.agg(*[F.mode(c, True).alias(c) for c in cat])
-        parts.append(modes.unpivot([], cat, "column", "value")
-                          .select("column", F.lit("mode").alias("kind"), "value"))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
-
-
 def fill_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> dict:
     """The imputation values: exact medians of the numeric columns and the
     smallest mode of the categorical ones ({column: value})."""
@@ -202,9 +183,12 @@ def cap_outliers(df: DataFrame, p: CleaningParams = CleaningParams(), bounds: di
         bounds = {r["column"]: (r["lo"], r["hi"]) for r in iqr_bounds(df, cols, p.iqr_factor).collect()}
     out = {}
     for c in cols:
-        lo, hi = (F.lit(v).cast("double") for v in bounds[c])
+        lo, hi = (F.lit(v).cast("double") for v in bounds.get(c, (None, None)))
         x = F.col(c)
-        out[f"_cap_{c}"] = (x < lo) | (x > hi)
+        if c not in bounds:  # no value at all: nothing to cap
+            out[f"_cap_{c}"] = F.lit(False)
+            continue
+        out[f"_cap_{c}"] = F.coalesce((x < lo) | (x > hi), F.lit(False))
         out[c] = clip(x, lo, hi)
     return df.withColumns(out)
 
@@ -212,8 +196,9 @@ def cap_outliers(df: DataFrame, p: CleaningParams = CleaningParams(), bounds: di
 def zscore_count(df: DataFrame, col: str = "age", limit: float = 3.0) -> DataFrame:
     """C14: number of values with |z| > limit (population std), informational."""
     m = df.agg(F.avg(col).alias("m"), F.stddev_pop(col).alias("s")).first()
-    z = F.abs((F.col(col) - F.lit(m["m"])) / F.lit(m["s"]))
-    return df.agg(F.count_if(F.col(col).isNotNull() & (z > limit)).alias("n_outliers"))
+    mean, sd = (F.lit(m[c]).cast("double") for c in ("m", "s"))
+    z = F.abs(F.try_divide(F.col(col) - mean, sd))  # no spread: no outlier
+    return df.agg(F.count_if(F.col(col).isNotNull() & F.coalesce(z > limit, F.lit(False))).alias("n_outliers"))
 
 
 # ------------------------------------------------------------------ C15-C17
@@ -267,7 +252,7 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     """C1-C19 in the reference order, returning the clean frame and its report."""
     from tessera.operators import quality
 
-    dedup = remove_duplicates(nan_to_null(raw))
+    dedup = count_copies(nan_to_null(raw))
     staged = fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
     # every later global aggregate scans this frame: pin it once
     staged = materialize(staged, p.materialize)
@@ -278,7 +263,7 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     meds = {r["column"]: r for r in percentiles(sel, ["_order_day", *num], [0.5]).collect()}
     md = meds["_order_day"]["higher"] if "_order_day" in meds else None
     dated = staged.withColumn("order_date", F.coalesce(
-        F.col("order_date"), F.date_from_unix_date(F.lit(md).cast("int")) if md is not None else F.lit(None)))
+        F.col("order_date"), F.date_from_unix_date(F.lit(md).cast("int")) if md is not None else F.lit(None).cast("date")))
     cat = [c for c in p.mode_cols if c in dated.columns]
     fills = {c: meds[c]["value"] for c in num if c in meds}
     if cat:
@@ -290,5 +275,5 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
         if cap_cols else {}
     capped = cap_outliers(imputed, p, {c: (b["lo"], b["hi"]) for c, b in bounds.items()})
     final = type_cast(recompute_derived(capped, p.half_even))
-    clean = final.drop(*FLAGS, *[c for c in final.columns if c.startswith("_cap_")])
-    return CleanResult(clean, lambda: quality.build_report(raw, dedup, staged, capped, clean, bounds, fills, p))
+    clean = final.drop(*FLAGS, "_mult", "_cells", *[c for c in final.columns if c.startswith("_cap_")])
+    return CleanResult(clean, lambda: quality.build_report(raw.columns, staged, final, clean, bounds, fills, p))

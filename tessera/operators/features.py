@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import money_sum
 from tessera.functions.windows import running_sum
 
+# The model inputs, in order.
 FEATURE_COLS = (
     "month", "quarter", "year", "day_of_week", "day_of_month", "is_weekend", "is_festive_month",
     "lag_1", "lag_2", "lag_3", "lag_7", "rolling_7_mean", "rolling_7_std", "rolling_30_mean",
     "price_mean", "discount_mean", "quantity_mean", "region_enc", "category_enc",
 )
 STRICT_FEATURE_COLS = FEATURE_COLS[:14]
+CALENDAR_COLS = FEATURE_COLS[:7]
 DAILY_MEASURES = ("total_sales", "n_orders", "price_mean", "discount_mean", "quantity_mean")
 
 
@@ -34,7 +36,7 @@ def daily(sales: DataFrame, date: str = "order_date", series: Sequence[str] = ()
         F.count("order_id").alias("n_orders"),
         F.avg("unit_price").alias("price_mean"),
         # 2-dp rates: exact DECIMAL sum / count, independent of summation order
-        (F.sum(F.col("discount").cast("decimal(18,2)")).cast("double") / F.count("discount")).alias("discount_mean"),
+        (F.try_divide(F.sum(F.col("discount").cast("decimal(18,2)")).cast("double"), F.count("discount"))).alias("discount_mean"),
         F.avg("quantity").alias("quantity_mean"))
     # one row per series with its date range, exploded into the day spine
     rng = agg.groupBy(*s).agg(F.min(date).alias("d0"), F.max(date).alias("d1"))

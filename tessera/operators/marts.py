@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import money_sum, round_half_even
+from tessera.operators.stats import dense
 
 def _share(col: str, digits: int = 2):
     # share of the (bounded, aggregated) total
-    return round_half_even(F.col(col) / F.sum(col).over(Window.partitionBy()) * 100, digits)
+    return round_half_even(F.try_divide(F.col(col), F.sum(col).over(Window.partitionBy())) * 100, digits)
 
 
-def kpis(sales: DataFrame, approx_distinct: bool = False) -> DataFrame:
+def kpis(sales: DataFrame) -> DataFrame:
     """Headline KPIs in one global aggregate."""
-    distinct = (F.approx_count_distinct("customer_name") if approx_distinct
-                else F.countDistinct("customer_name"))
+    distinct = F.countDistinct("customer_name")
     return sales.agg(
         money_sum(F.col("total_sales")).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
@@ -71,8 +71,8 @@ def yearly_growth(sales: DataFrame) -> DataFrame:
     first, last = F.first("revenue").over(w), F.last("revenue").over(w)
     return y.select(
         "year", "revenue",
-        round_half_even((F.col("revenue") - first) / first * 100, 2).alias("pct_vs_first"),
-        round_half_even((last - first) / first * 100, 1).alias("growth_last_vs_first"))
+        round_half_even(F.try_divide(F.col("revenue") - first, first) * 100, 2).alias("pct_vs_first"),
+        round_half_even(F.try_divide(last - first, first) * 100, 1).alias("growth_last_vs_first"))
 
 
 def regional(sales: DataFrame) -> DataFrame:
@@ -137,16 +137,10 @@ def quarter_yoy(sales: DataFrame) -> DataFrame:
 
 
 def region_category(sales: DataFrame) -> DataFrame:
-    """Region x category revenue, dense (missing pairs are 0), long format.
-
-    ``pivot`` turns the category set into conditional sums of one aggregate
-    (one pass, no pair explosion); ``unpivot`` returns it to long rows.
-    """
+    """Region x category revenue, dense (missing pairs are 0), long format."""
     base = sales.where(F.col("region").isNotNull() & F.col("product_category").isNotNull())
-    wide = base.groupBy("region").pivot("product_category").agg(money_sum(F.col("total_sales")))
-    cats = [c for c in wide.columns if c != "region"]
-    wide = wide.fillna(0.0, subset=cats)
-    return wide.unpivot("region", cats, "product_category", "revenue")
+    cells = base.groupBy("region", "product_category").agg(money_sum(F.col("total_sales")).alias("revenue"))
+    return dense(base, cells, "region", "product_category", "revenue", 0.0)
 
 
 def top_products(sales: DataFrame, n: int = 10) -> DataFrame:

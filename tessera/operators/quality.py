@@ -34,19 +34,19 @@ def _nulls(df: DataFrame, cols=None) -> Column:
     return F.coalesce(reduce(lambda a, b: a + b, terms), F.lit(0)).cast("long")
 
 
-def raw_profile(raw: DataFrame, distinct_rows: int | None = None) -> DataFrame:
+def raw_profile(raw: DataFrame) -> DataFrame:
     """Rows, columns, null cells, exact duplicate rows.
 
-    Duplicates = rows - distinct rows; the distinct count is a partial hash
-    aggregate (copies collapse in the map side before the shuffle), or the
-    row count of an already deduplicated frame when the caller has one.
+    One pass: equal rows are counted by a hash aggregate (copies collapse in
+    the map side before the shuffle), and everything else follows from the counts.
     """
-    distinct = distinct_rows if distinct_rows is not None else \
-        raw.dropDuplicates().agg(F.count(F.lit(1))).first()[0]
-    return raw.agg(F.count(F.lit(1)).alias("raw_rows"),
-                   F.lit(len(raw.columns)).alias("raw_cols"),
-                   _nulls(raw).alias("raw_nulls")).withColumn(
-        "raw_duplicates", F.col("raw_rows") - F.lit(distinct))
+    from tessera.operators.clean import count_copies
+
+    rows = F.coalesce(F.sum("_mult"), F.lit(0))
+    return count_copies(raw).agg(
+        rows.alias("raw_rows"), F.lit(len(raw.columns)).alias("raw_cols"),
+        F.coalesce(F.sum(F.col("_mult") * F.col("_cells")), F.lit(0)).alias("raw_nulls"),
+        (rows - F.count(F.lit(1))).alias("raw_duplicates"))
 
 
 def violation_counts(df: DataFrame, p: CleaningParams = CleaningParams()) -> list[Column]:
@@ -87,45 +87,48 @@ def dq_score(raw_rows: Column, final_rows: Column, final_cols: Column, final_nul
     return round_half_even(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)), 1)
 
 
-def build_report(raw: DataFrame, dedup: DataFrame, staged: DataFrame, capped: DataFrame,
-                 clean: DataFrame, bounds: dict, fills: dict, p: CleaningParams = CleaningParams()):
+def build_report(raw_columns: list[str], staged: DataFrame, final: DataFrame, clean: DataFrame, bounds: dict,
+                 fills: dict, p: CleaningParams = CleaningParams()):
     """Assemble (report, issues, validation) for a ``clean_sales`` run.
 
-    Each counter is an aggregate over the frame of its step; the handful of
-    totals from other steps join the report row as literals.
+    Two aggregates over the staged table: one of the counters of the raw and
+    staged rows (``_mult`` copies of each stand for the raw rows), one of the
+    final rows with their cap flags and the validation checks. Their two rows
+    meet as literals.
     """
     from tessera.operators.clean import string_columns
 
     num = [c for c in p.median_cols if c in staged.columns]
     cat = [c for c in p.mode_cols if c in staged.columns]
-    caps = [c for c in p.outlier_cols if f"_cap_{c}" in capped.columns]
-    prof = raw_profile(raw, staged.count()).first()
-    capped_n = capped.agg(*[F.count_if(F.col(f"_cap_{c}")).alias(c) for c in caps]).first() if caps else None
-    val = validation(clean, p)
-    failed = sum(1 for r in val.collect() if not r["passed"])
-    fin = clean.agg(F.count(F.lit(1)).alias("rows"), _nulls(clean).alias("nulls")).first()
+    caps = [c for c in p.outlier_cols if f"_cap_{c}" in final.columns]
+    checks = [f"c{i}" for i in range(len(CHECKS))]
+    one = final.agg(F.count(F.lit(1)).alias("rows"), _nulls(final, clean.columns).alias("nulls"),
+                    *[F.count_if(F.col(f"_cap_{c}")).alias(f"capped_{c}") for c in caps],
+                    *[v.cast("long").alias(n) for v, n in zip(violation_counts(final, p), checks)]).first()
+    val = clean.sparkSession.createDataFrame(
+        [(label, one[n], one[n] == 0) for label, n in zip(CHECKS, checks)], "check string, violations long, passed boolean")
+    failed = sum(1 for n in checks if one[n])
     # string columns when the whitespace step runs (after date parsing)
-    ws_cols = len([c for c in string_columns(dedup) if c != "order_date"])
+    ws_cols = len([c for c in string_columns(staged) if c != "order_date"])
 
     lit = lambda v, t="long": F.lit(v).cast(t)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     report = staged.agg(
-        F.count(F.lit(1)).alias("dedup_rows"),
+        total("_mult").alias("raw_rows"), F.lit(len(raw_columns)).alias("raw_cols"),
+        total(F.col("_mult") * F.col("_cells")).alias("raw_nulls"),
+        (total("_mult") - F.count(F.lit(1))).alias("raw_duplicates"),
+        (total("_mult") - F.count(F.lit(1))).alias("duplicates_removed"),
         F.count_if("_bad_date").alias("invalid_dates"),
         F.count_if("_g_fixed").alias("gender_variants_fixed"),
         F.count_if("_g_unknown").alias("unknown_genders"),
         F.count_if("_neg_qty").alias("negative_qty_fixed"),
         F.count_if("_bad_rating").alias("bad_ratings_nulled"),
+        F.lit(ws_cols).alias("whitespace_cols"),
         *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in num + cat],
     ).select(
-        lit(prof["raw_rows"]).alias("raw_rows"), lit(prof["raw_cols"], "int").alias("raw_cols"),
-        lit(prof["raw_nulls"]).alias("raw_nulls"), lit(prof["raw_duplicates"]).alias("raw_duplicates"),
-        (lit(prof["raw_rows"]) - F.col("dedup_rows")).alias("duplicates_removed"),
-        "invalid_dates", "gender_variants_fixed", "unknown_genders", "negative_qty_fixed",
-        "bad_ratings_nulled", F.lit(ws_cols).alias("whitespace_cols"),
-        *[F.col(f"missing_{c}") for c in num + cat],
-        *[lit(capped_n[c]).alias(f"capped_{c}") for c in caps],
-        lit(fin["rows"]).alias("final_rows"), F.lit(len(clean.columns)).alias("final_cols"),
-        lit(fin["nulls"]).alias("final_nulls"), lit(failed).alias("failed_checks"),
+        "*", *[lit(one[f"capped_{c}"]).alias(f"capped_{c}") for c in caps],
+        lit(one["rows"]).alias("final_rows"), F.lit(len(clean.columns)).alias("final_cols"),
+        lit(one["nulls"]).alias("final_nulls"), lit(failed).alias("failed_checks"),
     )
     report = report.withColumn("dq_score", dq_score(
         F.col("raw_rows"), F.col("final_rows"), F.col("final_cols"), F.col("final_nulls"),
@@ -147,7 +150,7 @@ def issue_rows(report: DataFrame, bounds: dict, fills: dict, num, cat, caps) ->
     for c in caps:
         parts.append(report.select(F.lit("outliers_capped").alias("metric"), F.lit(c).alias("column"),
                                    F.col(f"capped_{c}").cast("long").alias("n"),
-                                   F.lit(bounds[c]["hi"]).cast("double").alias("value"),
+                                   F.lit(bounds[c]["hi"] if c in bounds else None).cast("double").alias("value"),
                                    F.lit(None).cast("string").alias("text")))
     for c in num + cat:
         v = fills.get(c)

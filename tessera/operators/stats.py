@@ -2,8 +2,8 @@
 
 All moments are algebraic aggregates (partial per task, merged once), so they
 run in one pass with bounded state whatever the skew. Test statistics are
-formed on the small aggregated frames; p-values come from
-``tessera.functions.distributions`` via pandas UDFs on one-row frames.
+formed on the small aggregated frames; p-values of the finished statistics come
+from ``tessera.functions.distributions`` on the driver.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from tessera.functions.quantiles import long_values, percentiles
 from tessera.functions.windows import running_sum
 from tessera.params import AbcParams
 
+# The columns of the descriptive table and of the normality tests.
 DESC_COLS = ("age", "unit_price", "discount", "total_sales", "customer_rating", "quantity", "shipping_days")
 NORMAL_COLS = ("age", "unit_price", "total_sales", "customer_rating", "discount")
 
@@ -60,25 +61,26 @@ def anova(df: DataFrame, value: str = "total_sales", group: str = "region") -> D
 def _anova(df: DataFrame, value: str = "total_sales", group: str = "region") -> DataFrame:
     """One-way ANOVA F from per-group n / mean / variance (numerically stable)."""
     g = group_moments(df, value, group)
-    g = g.persist()
-    tot = g.agg(F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("gm"),
-                F.count(F.lit(1)).alias("k")).first()
-    gm = F.lit(tot["gm"])
-    parts = g.agg(
-        F.sum(F.col("n") * (F.col("mean") - gm) * (F.col("mean") - gm)).alias("ssb"),
+    # a window over the bounded group table: the grand mean stands beside each group
+    every = Window.partitionBy()
+    gm = F.try_divide(F.sum(F.col("n") * F.col("mean")).over(every), F.sum("n").over(every))
+    parts = g.withColumn("gm", gm).agg(
+        F.sum(F.col("n") * (F.col("mean") - F.col("gm")) * (F.col("mean") - F.col("gm"))).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"),
-        F.lit(tot["k"]).alias("k"), F.lit(tot["N"]).alias("N"))
+        F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("N"))
     dfb, dfw = (F.col("k") - 1), (F.col("N") - F.col("k"))
-    f = (F.col("ssb") / dfb) / (F.col("ssw") / dfw)
+    f = F.try_divide(F.try_divide(F.col("ssb"), dfb), F.try_divide(F.col("ssw"), dfw))
     return parts.select(round_half_even(f, 4).alias("f_stat"), dfb.cast("long").alias("df_between"),
                         dfw.cast("long").alias("df_within"), f.alias("_f"))
 
 
 def anova_test(df: DataFrame, value: str = "total_sales", group: str = "region") -> DataFrame:
-    a = _anova(df, value, group)
-    p = D.f_pvalue(F.col("_f"), F.col("df_between").cast("double"), F.col("df_within").cast("double"))
-    return a.select("f_stat", "df_between", "df_within", round_half_even(p, 4).alias("p_value"),
-                    (p < 0.05).alias("significant"))
+    """A3 with p; without a second group or any spread within groups, p is null."""
+    def row(r, spark):
+        p = D.f_sf(r["_f"], r["df_between"], r["df_within"], spark)
+        return r["f_stat"], r["df_between"], r["df_within"], D.rounded(p), None if p is None else p < 0.05
+    return D.with_p(_anova(df, value, group), row,
+                    "f_stat double, df_between long, df_within long, p_value double, significant boolean")
 
 
 def group_means(df: DataFrame, value: str = "total_sales", group: str = "region") -> DataFrame:
@@ -90,14 +92,19 @@ def group_means(df: DataFrame, value: str = "total_sales", group: str = "region"
 def contingency(df: DataFrame, a: str = "payment_method", b: str = "gender") -> DataFrame:
     """A5: dense a x b counts (missing combinations are 0).
 
-    ``pivot`` over the b categories is one conditional aggregate; ``unpivot``
-    returns long rows. Bounded by the number of categories, not rows.
+    One aggregate by (a, b); the values of b (bounded by its domain) spread over
+    the values of a make the missing combinations.
     """
     base = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    wide = base.groupBy(a).pivot(b).count()
-    cats = [c for c in wide.columns if c != a]
-    return wide.fillna(0, subset=cats).unpivot(a, cats, b, "observed").select(
-        a, b, F.col("observed").cast("long").alias("observed"))
+    counts = base.groupBy(a, b).agg(F.count(F.lit(1)).alias("observed"))
+    return dense(base, counts, a, b, "observed", 0)
+
+
+def dense(base: DataFrame, cells: DataFrame, a: str, b: str, value: str, fill) -> DataFrame:
+    """``cells`` with a row for every pair of values of a and b that occur in ``base``."""
+    values = base.agg(F.sort_array(F.collect_set(b))).scalar()
+    spine = base.select(a).distinct().select(a, F.explode(values).alias(b))
+    return spine.join(cells, [a, b], "left").select(a, b, F.coalesce(value, F.lit(fill)).alias(value))
 
 
 def chi_square(df: DataFrame, a: str = "payment_method", b: str = "gender") -> DataFrame:
@@ -108,28 +115,27 @@ def chi_square(df: DataFrame, a: str = "payment_method", b: str = "gender") -> D
 def _chi_square(df: DataFrame, a: str = "payment_method", b: str = "gender") -> DataFrame:
     """Pearson chi-square of independence, Yates-corrected when dof = 1."""
     ct = contingency(df, a, b)
-    ra = Window.partitionBy(a)
-    cb = Window.partitionBy(b)
-    cells = ct.select(a, b, F.col("observed").cast("double").alias("o"),
-                      F.sum("observed").over(ra).alias("ra"), F.sum("observed").over(cb).alias("cb"))
-    ct = ct.persist()
-    tot = ct.agg(F.sum("observed").alias("N"), F.countDistinct(a).alias("r"),
-                 F.countDistinct(b).alias("c")).first()
-    e = F.col("ra") * F.col("cb") / F.lit(tot["N"])
-    dof = F.lit((tot["r"] - 1) * (tot["c"] - 1))
-    diff = e - F.col("o")
-    corrected = F.col("o") + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
-    o2 = F.when(dof == 1, corrected).otherwise(F.col("o"))
-    stat = cells.agg(F.sum((o2 - e) * (o2 - e) / e).alias("chi2"), F.first(dof).alias("dof"))
+    cells = ct.select(F.col("observed").cast("double").alias("o"),
+                      F.sum("observed").over(Window.partitionBy(a)).alias("ra"),
+                      F.sum("observed").over(Window.partitionBy(b)).alias("cb"),
+                      F.dense_rank().over(Window.orderBy(a)).alias("i"), F.dense_rank().over(Window.orderBy(b)).alias("j"))
+    every = Window.partitionBy()  # over the bounded table of cells
+    dof = (F.max("i").over(every) - 1) * (F.max("j").over(every) - 1)
+    cells = cells.withColumns({"e": F.try_divide(F.col("ra") * F.col("cb"), F.sum("o").over(every)), "dof": dof})
+    e, o = F.col("e"), F.col("o")
+    corrected = o + F.signum(e - o) * F.least(F.lit(0.5), F.abs(e - o))
+    o2 = F.when(F.col("dof") == 1, corrected).otherwise(o)
+    stat = cells.agg(F.sum(F.try_divide((o2 - e) * (o2 - e), e)).alias("chi2"), F.max("dof").alias("dof"))
     return stat.select(round_half_even(F.col("chi2"), 4).alias("chi2_stat"),
                        F.col("dof").cast("long").alias("dof"), F.col("chi2").alias("_chi2"))
 
 
 def chi_square_test(df: DataFrame, a: str = "payment_method", b: str = "gender") -> DataFrame:
-    c = _chi_square(df, a, b)
-    p = D.chi2_pvalue(F.col("_chi2"), F.col("dof").cast("double"))
-    return c.select("chi2_stat", "dof", round_half_even(p, 4).alias("p_value"),
-                    (p < 0.05).alias("significant"))
+    """A6 with p; without two values of both columns p is null."""
+    def row(r, spark):
+        p = D.chi2_sf(r["_chi2"], r["dof"] or 0, spark)
+        return r["chi2_stat"], r["dof"], D.rounded(p), None if p is None else p < 0.05
+    return D.with_p(_chi_square(df, a, b), row, "chi2_stat double, dof long, p_value double, significant boolean")
 
 
 # ------------------------------------------------------------------ A7, A8
@@ -145,26 +151,29 @@ def pearson(df: DataFrame, cols: Sequence[str] = DESC_COLS, listwise: bool = Tru
 def _pearson(df: DataFrame, cols: Sequence[str] = DESC_COLS, listwise: bool = True) -> DataFrame:
     """A7 (listwise complete rows) / A8 (pairwise complete): r per column pair.
 
-    One aggregate with a ``corr`` per pair, unpivoted to (c1, c2, n, r)."""
+    One aggregate: a covariance per pair; the variances of listwise rows are
+    shared by the pairs of a column. A column without spread has a null r."""
     cols = _present(df, cols)
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     if listwise:
         base = base.dropna()
-    pairs = _pairs(cols)
     aggs = []
-    for i, (x, y) in enumerate(pairs):
+    for x, y in _pairs(cols):
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        u, v = (F.col(x), F.col(y)) if listwise else (F.when(both, F.col(x)), F.when(both, F.col(y)))
+        r = F.try_divide(F.covar_pop(u, v), F.sqrt(F.var_pop(u)) * F.sqrt(F.var_pop(v)))
         aggs.append(F.struct(F.lit(x).alias("c1"), F.lit(y).alias("c2"),
-                             F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)).alias("n"),
-                             F.corr(x, y).alias("r")).alias(f"p{i}"))
+                             F.count(F.lit(1) if listwise else F.when(both, 1)).alias("n"), r.alias("r")))
     one = base.agg(F.array(*aggs).alias("a"))
     return one.select(F.inline("a")).select("c1", "c2", "n", round_half_even(F.col("r"), 3).alias("r"),
                                             F.col("r").alias("_r"))
 
 
 def pearson_test(df: DataFrame, cols: Sequence[str] = DESC_COLS) -> DataFrame:
-    p = _pearson(df, cols)
-    pv = D.pearson_pvalue(F.col("_r"), F.col("n").cast("double"))
-    return p.select("c1", "c2", "n", "r", round_half_even(pv, 4).alias("p_value"))
+    """A7 with p; a constant column has a null r and a null p."""
+    def row(r, spark):
+        return r["c1"], r["c2"], r["n"], r["r"], D.rounded(D.pearson_p(r["_r"], r["n"], spark))
+    return D.with_p(_pearson(df, cols), row, "c1 string, c2 string, n long, r double, p_value double")
 
 
 def corr_matrix(df: DataFrame, cols=("age", "quantity", "unit_price", "discount", "total_sales",
@@ -185,9 +194,9 @@ def abc(df: DataFrame, p: AbcParams = AbcParams(), product: str = "product_name"
     """
     rev = (df.where(F.col(product).isNotNull()).groupBy(product)
              .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("rev_dec")))
-    total = F.lit(rev.agg(F.sum("rev_dec").cast("double")).first()[0])
+    total = F.lit(rev.agg(F.sum("rev_dec").cast("double")).first()[0]).cast("double")
     ranked = running_sum(rev, "rev_dec", [F.desc("rev_dec"), F.asc(product)], "cum_dec")
-    share = F.col("cum_dec").cast("double") / total
+    share = F.try_divide(F.col("cum_dec").cast("double"), total)
     tier = F.when(share <= p.a_threshold, "A").when(share <= p.b_threshold, "B").otherwise("C")
     return ranked.select(F.col(product).alias("product"), F.col("rev_dec").cast("double").alias("revenue"),
                          round_half_even(share, 4).alias("cum_share"), tier.alias("abc_tier"))
@@ -207,7 +216,7 @@ def repeat_customers(df: DataFrame, customer: str = "customer_id", order: str =
     return per.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.count_if(F.col("n") > 1).alias("repeat_customers"),
-        round_half_even(F.count_if(F.col("n") > 1) / F.count(F.lit(1)) * 100, 2).alias("repeat_rate_pct"),
+        round_half_even(F.try_divide(F.count_if(F.col("n") > 1), F.count(F.lit(1))) * 100, 2).alias("repeat_rate_pct"),
         round_half_even(F.avg("n"), 2).alias("avg_orders"),
         F.max("n").alias("max_orders"))
 
@@ -217,7 +226,7 @@ def return_rate(df: DataFrame, group: str = "product_category", flag: str = "ret
     return (df.where(F.col(group).isNotNull()).groupBy(group)
               .agg(F.count_if(F.col(flag)).alias("return_count"), F.count(flag).alias("total_orders"))
               .withColumn("return_rate_pct",
-                          round_half_even(F.col("return_count") / F.col("total_orders") * 100, 2))
+                          round_half_even(F.try_divide("return_count", "total_orders") * 100, 2))
               .orderBy(F.desc("return_rate_pct"), group))
 
 
@@ -232,33 +241,45 @@ def linear_fit(df: DataFrame, y: str = "total_sales", x: str = "discount", x_sca
 
 
 # ------------------------------------------------------------------ A36, A2
+def key_text(cols: Sequence[str]):
+    """The key columns as one text: the same in SQL engines (nulls are empty)."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
 def row_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """Reproducible n-row sample, the n smallest xxhash64(seed, key) rows.
+    """Reproducible n-row sample, the n rows with the smallest md5 of (seed, key).
 
     ``orderBy(...).limit(n)`` is TakeOrderedAndProject: each task keeps its n
     best rows, so at most n x tasks rows reach the final merge.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
+    h = F.md5(F.concat(F.lit(f"{seed}|"), key_text(key_cols)))
     return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
 
 
-def normality(df: DataFrame, cols: Sequence[str] = NORMAL_COLS, sample_size: int = 500,
-              key_cols: Sequence[str] = (), seed: int = 42) -> DataFrame:
-    """A2: Shapiro-Wilk W and p on a <= sample_size hash sample per column.
-
-    The sample of each column is a bounded top-n (see ``row_sample``); the test
-    runs per column in ``applyInPandas`` on at most ``sample_size`` values.
-    """
+def normality_sample(df: DataFrame, cols: Sequence[str] = NORMAL_COLS, sample_size: int = 500,
+                     key_cols: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """The (column, v) rows that A2 tests: a bounded sample of each column's values."""
     cols = _present(df, cols)
     keys = list(key_cols) or [c for c in df.columns if c not in cols][:4]
     parts = []
     for c in cols:
         s = df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
-        s = row_sample(s.select(*keys, c), sample_size, [*keys, c], seed)
-        parts.append(s.select(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")))
+        s = row_sample(s.select(*keys, F.col(c).cast("double").alias("v")), sample_size, keys, seed)
+        parts.append(s.select(F.lit(c).alias("column"), "v"))
     sample = parts[0]
     for x in parts[1:]:
         sample = sample.unionByName(x)
+    return sample
+
+
+def normality(df: DataFrame, cols: Sequence[str] = NORMAL_COLS, sample_size: int = 500,
+              key_cols: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """A2: Shapiro-Wilk W and p on a <= sample_size hash sample per column.
+
+    The sample of each column is a bounded top-n (see ``row_sample``); the test
+    runs per column in ``applyInPandas`` on at most ``sample_size`` values.
+    """
+    sample = normality_sample(df, cols, sample_size, key_cols, seed)
 
     def test(pdf):
         import pandas as pd
@@ -290,7 +311,9 @@ def ks_normal(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
     m = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))]).first()
     out = None
     for c in cols:
-        if m[f"s_{c}"] is None or m[f"s_{c}"] <= 0:
+        if m[f"s_{c}"] is None or m[f"s_{c}"] <= 0:  # fewer than two values, or all equal: nothing to test
+            part = df.sparkSession.createDataFrame([(c, None, None)], "column string, ks_stat double, p_value double")
+            out = part if out is None else out.unionByName(part)
             continue
         x = df.select(F.col(c).cast("double").alias(c)).where(F.col(c).isNotNull() & ~F.isnan(c))
         r = KolmogorovSmirnovTest.test(x, c, "norm", float(m[f"m_{c}"]), float(m[f"s_{c}"]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -13,6 +13,7 @@ class CleaningParams:
     rating_max: float = 5.0
     zscore_col: str = "age"
     zscore_limit: float = 3.0
+    # fixed values: the imputed columns, in order
     median_cols: tuple[str, ...] = ("age", "unit_price", "discount", "customer_rating", "shipping_days")
     mode_cols: tuple[str, ...] = ("gender", "payment_method", "region", "city", "state", "loyalty_tier")
     date_format: str = "yyyy-MM-dd"
@@ -38,7 +39,8 @@ class ForecastParams:
     forecast_months: int = 3
     random_state: int = 42
     max_bins: int = 32
-    max_memory_mb: int = 256       # Spark's default node-aggregation budget per task
+    max_memory_mb: int = 1024      # node statistics a pass may hold: one pass per tree level
+    fit_partitions: int = 2        # of the daily frame (days x series); raise it with the series
     band: float = 0.15
     strict_features: bool = False
 
@@ -49,11 +51,3 @@ class ReportingParams:
     top_k_summary: int = 5
     sample_rows: int = 800
     normality_sample: int = 500
-
-
-@dataclass(frozen=True)
-class Settings:
-    cleaning: CleaningParams = field(default_factory=CleaningParams)
-    abc: AbcParams = field(default_factory=AbcParams)
-    forecast: ForecastParams = field(default_factory=ForecastParams)
-    reporting: ReportingParams = field(default_factory=ReportingParams)

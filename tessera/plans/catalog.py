@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import marts
+from tessera.params import ForecastParams, ReportingParams
 from tessera.session import materialize
 from tessera.sources import sales as _sales_view
 from tessera.sources import sales_raw as _sales_raw_view
@@ -19,12 +20,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 _TABLES: dict = {}
 
+#: Session setting: "true" writes each sales view once and lets all queries of the session read the
+#: copy. For a batch that runs many queries; by itself every query prunes its own source scans.
+STAGE = "spark.tessera.stage"
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """What a kept result depends on: the application, and the files of the tables it reads."""
+    sc = spark.sparkContext
+    parts = [sc.applicationId, sf_dir]
+    for t in ("lineitem", "orders", "customer", "part", "nation", "region"):
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        for f in path.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(path):
+            parts.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(parts)
+
 
 def _stage(name: str, build, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build a fact view once per (session, tables) as a Parquet table in the
-    checkpoint folder; every query of the session then scans it with column
-    pruning instead of re-running the six-table join."""
-    key = (name, id(spark), sf_dir)
+    if spark.conf.get(STAGE, "false") != "true":
+        return build(spark, sf_dir)
+    key = (name, _version(spark, sf_dir))
     if key not in _TABLES:
         _TABLES[key] = materialize(build(spark, sf_dir))
     return _TABLES[key]
@@ -38,17 +53,12 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage("sales_raw", _sales_raw_view, spark, sf_dir)
 
 
-def query(name: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
 def _on_sales(name: str, op, **kw) -> None:
     QUERIES[name] = lambda spark, sf_dir: op(sales(spark, sf_dir), **kw)
 
 
+REPORTING = ReportingParams()
+
 # ---------------------------------------------------------------- marts
 _on_sales("kpis", marts.kpis)
 _on_sales("top_entities", marts.top_entities)
@@ -61,8 +71,8 @@ _on_sales("payment_split", marts.split, key="payment_method", with_aov=True)
 _on_sales("gender_split", marts.split, key="gender")
 _on_sales("quarter_yoy", marts.quarter_yoy)
 _on_sales("region_category", marts.region_category)
-_on_sales("top_products", marts.top_products, n=10)
-_on_sales("top5_products", marts.top_products, n=5)
+_on_sales("top_products", marts.top_products, n=REPORTING.top_n_products)
+_on_sales("top5_products", marts.top_products, n=REPORTING.top_k_summary)
 
 # ---------------------------------------------------------------- cleaning
 from tessera.operators import clean as C  # noqa: E402
@@ -92,7 +102,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> C.CleanResult:
 
     The chain reads the raw join directly: its own staged table is the one
     materialisation it needs (staging the raw view first would write twice)."""
-    key = (id(spark), sf_dir)
+    key = _version(spark, sf_dir)
     if key not in _CLEANED:
         _CLEANED[key] = C.clean_sales(_sales_raw_view(spark, sf_dir))
     return _CLEANED[key]
@@ -104,6 +114,8 @@ QUERIES["dq_report"] = lambda spark, sf_dir: cleaned(spark, sf_dir).report
 QUERIES["dq_issues"] = lambda spark, sf_dir: cleaned(spark, sf_dir).issues
 
 # ---------------------------------------------------------------- statistics
+from pyspark.sql import functions as _F  # noqa: E402
+
 from tessera.operators import stats as S  # noqa: E402
 
 _on_sales("describe", S.describe)
@@ -122,11 +134,22 @@ _on_sales("repeat_customers", S.repeat_customers)
 _on_sales("return_rate", S.return_rate)
 _on_sales("linear_fit", S.linear_fit)
 _on_sales("jarque_bera", S.jarque_bera)
-_on_sales("shapiro_sample", S.normality, key_cols=("order_id", "product_name", "quantity"))
-_on_sales("row_sample", S.row_sample, n=800, key_cols=("order_id", "product_name", "quantity", "unit_price"))
+# a key that covers the row: ties in it are rows equal in every column of the key
+SAMPLE_KEY = ("order_id", "product_name", "quantity", "shipping_days", "return_flag", "_cents")
+
+
+def _keyed(op, **kw):
+    def run(spark, sf_dir):
+        s = sales(spark, sf_dir).withColumn("_cents", _F.round(_F.col("total_sales") * 100).cast("long"))
+        return op(s, key_cols=SAMPLE_KEY, **kw).drop("_cents")
+    return run
+
+
+QUERIES["shapiro_sample"] = _keyed(S.normality, sample_size=REPORTING.normality_sample)
+QUERIES["shapiro_input"] = _keyed(S.normality_sample, sample_size=REPORTING.normality_sample)
+QUERIES["row_sample"] = _keyed(S.row_sample, n=REPORTING.sample_rows)
 
 # ---------------------------------------------------------------- features
-from pyspark.sql import functions as _F  # noqa: E402
 from pyspark.sql.types import DoubleType as _Double  # noqa: E402
 
 from tessera.operators import features as M  # noqa: E402
@@ -164,7 +187,7 @@ _FITTED: dict = {}
 
 def fitted(spark: SparkSession, sf_dir: str):
     """One forest per (session, tables): the forecast queries share it."""
-    key = (id(spark), sf_dir)
+    key = _version(spark, sf_dir)
     if key not in _FITTED:
         s = sales(spark, sf_dir)
         _FITTED[key] = (FC.fit(M.features(s)), s)
@@ -179,8 +202,35 @@ def _daily_forecast(spark, sf_dir):
 QUERIES["rf_eval"] = lambda spark, sf_dir: FC.evaluation(fitted(spark, sf_dir)[0])
 QUERIES["rf_metrics"] = lambda spark, sf_dir: FC.metrics_of(FC.evaluation(fitted(spark, sf_dir)[0]))
 QUERIES["ts_cv"] = lambda spark, sf_dir: FC.ts_cv(fitted(spark, sf_dir)[0])
+QUERIES["cv_summary"] = lambda spark, sf_dir: FC.cv_summary(FC.ts_cv(fitted(spark, sf_dir)[0]))
 QUERIES["importance"] = lambda spark, sf_dir: FC.importance(fitted(spark, sf_dir)[0], top_n=10)
 QUERIES["forecast_daily"] = _daily_forecast
+
+
+def _by_region(spark, sf_dir):
+    """M12 in its parallel form: one forest over all regions' days, a forecast for each region."""
+    s = sales(spark, sf_dir).where("region IS NOT NULL")
+    feat = M.features(s, series=("region",)).drop("region_enc")
+    return FC.forecast_daily(FC.fit(feat, ForecastParams(n_estimators=50), series=("region",)), s)
+
+
+def _strict(spark, sf_dir):
+    """M8 without same-day features: test metrics of what is known the day before."""
+    fc = FC.fit(M.features(sales(spark, sf_dir)), ForecastParams(strict_features=True, n_estimators=50))
+    return FC.metrics_of(FC.evaluation(fc))
+
+
+def _naive_pairs(spark, sf_dir):
+    """Fixed (actual, predicted) pairs: the mean of the last seven days as the prediction."""
+    f = M.features(sales(spark, sf_dir))
+    return f.select("order_date", _F.col("total_sales").alias("actual"), _F.col("rolling_7_mean").alias("predicted"))
+
+
+QUERIES["forecast_by_region"] = _by_region
+QUERIES["strict_features"] = _strict
+QUERIES["naive_metrics"] = lambda spark, sf_dir: FC.metrics_of(_naive_pairs(spark, sf_dir))
+QUERIES["naive_monthly"] = lambda spark, sf_dir: round_doubles(FC.forecast_monthly(
+    _naive_pairs(spark, sf_dir).select("order_date", _F.col("predicted").alias("predicted_sales"))))
 QUERIES["forecast_monthly"] = lambda spark, sf_dir: FC.forecast_monthly(_daily_forecast(spark, sf_dir))
 QUERIES["timeline"] = lambda spark, sf_dir: FC.timeline(fitted(spark, sf_dir)[0], _daily_forecast(spark, sf_dir))
 
@@ -207,15 +257,19 @@ def _csv_roundtrip(spark, sf_dir):
     return FI.read_csv(spark, path)
 
 
-def _report_tables(spark, sf_dir):
-    """S5-S7 + A14: write every analysis / summary table, read the row counts back."""
-    s = sales(spark, sf_dir)
+def _pipeline_report(spark, sf_dir):
+    """The whole run: clean, A14 on the cleaned rows, the model, and S5-S7 written; row counts read back."""
+    cr = cleaned(spark, sf_dir)
+    s = cr.clean
+    fc = FC.fit(M.features(s))
+    daily_fc = FC.forecast_daily(fc, s)
     tables = dict(S.run_analysis(s))
     tables.update({"kpis": marts.kpis(s), "top_entities": marts.top_entities(s),
                    "yearly_growth": marts.yearly_growth(s), "regional": marts.regional(s),
-                   "loyalty": marts.loyalty(s), "top_products": marts.top_products(s, 5)})
-    cr = cleaned(spark, sf_dir)
-    tables.update({"dq_report": cr.report, "dq_issues": cr.issues, "validation": cr.validation})
+                   "loyalty": marts.loyalty(s), "top_products": marts.top_products(s, REPORTING.top_k_summary),
+                   "dq_report": cr.report, "dq_issues": cr.issues, "validation": cr.validation,
+                   "ml_metrics": FC.metrics_of(FC.evaluation(fc)), "ml_cv": FC.cv_summary(FC.ts_cv(fc)),
+                   "ml_importance": FC.importance(fc, 10), "ml_forecast": FC.forecast_monthly(daily_fc)})
     base = _scratch(spark, f"reports-{_uuid.uuid4().hex}")
     paths = FI.write_reports(tables, base)
     out = None
@@ -227,19 +281,32 @@ def _report_tables(spark, sf_dir):
 
 
 def _model_save(spark, sf_dir):
-    """Save the fitted pipeline with Spark ML, read its trees back."""
-    fc, _ = fitted(spark, sf_dir)
-    path = FC.save_model(fc)
+    """Save the fitted pipeline, its feature list and the encoders, read them back."""
+    fc, s = fitted(spark, sf_dir)
+    path = FC.save_model(fc, codes=FC.encoders(s))
     nodes = spark.read.parquet(path.rstrip("/") + "/stages/*RandomForest*/data")
-    return nodes.agg(_F.countDistinct("treeID").alias("trees"), _F.count(_F.lit(1)).alias("nodes"),
-                     _F.max("nodeData.id").alias("max_node_id"))
+    one = nodes.agg(_F.countDistinct("treeID").alias("trees"), _F.count(_F.lit(1)).alias("nodes"),
+                    _F.max("nodeData.id").alias("max_node_id"))
+    features = spark.read.parquet(f"{path}/feature_list").agg(_F.count(_F.lit(1)).alias("features"))
+    codes = spark.read.parquet(f"{path}/encoders").agg(_F.count(_F.lit(1)).alias("codes"))
+    return one.crossJoin(features).crossJoin(codes)  # three frames of one row
 
 
 QUERIES["csv_roundtrip"] = _csv_roundtrip
-QUERIES["report_tables"] = _report_tables
+QUERIES["report_tables"] = _pipeline_report
 QUERIES["model_save"] = _model_save
 _on_sales("violin_density", DI.kde_by)
 QUERIES["forecast_band"] = lambda spark, sf_dir: FC.empirical_band(fitted(spark, sf_dir)[0],
                                                                    _daily_forecast(spark, sf_dir))
 QUERIES["geo_consistency"] = lambda spark, sf_dir: Q.geo_consistency(cleaned(spark, sf_dir).clean)
 _on_sales("ks_normal", S.ks_normal)
+
+# ---------------------------------------------------------------- the same operators over raw rows (nulls, copies, outliers) and cleaned rows
+for _name, _op in {"describe": S.describe, "pearson": S.pearson, "corr_matrix": S.corr_matrix, "contingency": S.contingency,
+                   "regional": marts.regional, "category_share": marts.category_share}.items():
+    QUERIES[f"{_name}_raw"] = lambda spark, sf_dir, op=_op: op(sales_raw(spark, sf_dir))
+QUERIES["box_raw"] = lambda spark, sf_dir: DI.box(sales_raw(spark, sf_dir), value="unit_price")
+for _name, _op in {"describe": S.describe, "pearson": S.pearson, "regional": marts.regional, "monthly": marts.monthly,
+                   "daily": lambda s: round_doubles(M.daily(s)), "anova_test": S.anova_test, "chi_square": S.chi_square,
+                   "repeat_customers": S.repeat_customers}.items():
+    QUERIES[f"{_name}_clean"] = lambda spark, sf_dir, op=_op: op(cleaned(spark, sf_dir).clean)

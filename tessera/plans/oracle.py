@@ -22,9 +22,11 @@ def r2(x: str, digits: int = 2) -> str:
 
 
 ORACLE: dict[str, str] = {}
+BODIES: dict[str, str] = {}
 
 
 def register(name: str, body: str, raw: bool = False, clean: bool = True) -> None:
+    BODIES[name] = body
     ORACLE[name] = with_views(body, raw=raw, clean=clean)
 
 
@@ -388,7 +390,8 @@ _HB = {"age": (25, "CAST(age AS DOUBLE)"), "discount": (15, "discount * 100.0"),
 register("histogram", "WITH l AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {e} AS v, {n} AS nbins FROM sales WHERE {c} IS NOT NULL" for c, (n, e) in _HB.items())
     + f"""),
-st AS (SELECT "column", min(v) AS lo, max(v) AS hi, count(v) AS n, any_value(nbins) AS nbins FROM l GROUP BY "column"),
+st0 AS (SELECT "column", min(v) AS lo, max(v) AS hi, count(v) AS n, any_value(nbins) AS nbins FROM l GROUP BY "column"),
+st AS (SELECT "column", CASE WHEN lo < hi THEN lo ELSE lo - 0.5 END AS lo, CASE WHEN lo < hi THEN hi ELSE hi + 0.5 END AS hi, n, nbins FROM st0),
 cnt AS (SELECT "column", CAST(least(floor((v - lo) * (st.nbins / (hi - lo))), st.nbins - 1) AS INTEGER) AS bin, count(*) AS c
         FROM l JOIN st USING ("column") GROUP BY ALL),
 spine AS (SELECT "column", lo, hi, n, nbins, CAST(unnest(generate_series(0, nbins - 1)) AS INTEGER) AS bin FROM st)
@@ -440,15 +443,69 @@ register("violin_density", f"""
 WITH x AS (SELECT product_category, CAST(unit_price AS DOUBLE) AS x FROM sales
            WHERE product_category IS NOT NULL AND unit_price IS NOT NULL),
 st AS (SELECT product_category, min(x) AS lo, max(x) AS hi, count(x) AS n, stddev_samp(x) AS sd FROM x GROUP BY ALL),
-p AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
-p2 AS (SELECT *, lo - 2.0 * h AS g0, (hi - lo + 2 * 2.0 * h) / 99 AS step FROM p WHERE h > 0),
+p AS (SELECT *, coalesce(sd, 0.0) * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
+p2 AS (SELECT *, lo - 2.0 * h AS g0, (hi - lo + 2 * 2.0 * h) / 99 AS step FROM p),
 vc AS (SELECT product_category, x, count(*) AS c FROM x GROUP BY ALL),
 g AS (SELECT product_category, CAST(i AS INTEGER) AS point, g0 + i * step AS gx, n, h FROM p2, generate_series(0, 99) t(i)),
 k AS (SELECT g.product_category, g.point, any_value(g.gx) AS gx,
-        sum(vc.c * exp(-0.5 * ((g.gx - vc.x) / g.h) * ((g.gx - vc.x) / g.h))) / (any_value(g.n) * any_value(g.h) * sqrt(2 * pi())) AS d
+        sum(vc.c * exp(-0.5 * ((g.gx - vc.x) / nullif(g.h, 0)) * ((g.gx - vc.x) / nullif(g.h, 0)))) / nullif(any_value(g.n) * any_value(g.h) * sqrt(2 * pi()), 0) AS d
       FROM g JOIN vc USING (product_category) GROUP BY g.product_category, g.point)
 SELECT product_category, point, {r2('gx', 6)} AS x, {r2('d', 12)} AS density FROM k""")
 register("geo_consistency", "WITH " + C.chain() + """,
 per AS (SELECT city, region, count(*) AS rows FROM clean WHERE city IS NOT NULL AND region IS NOT NULL GROUP BY ALL)
 SELECT city, CAST(count(*) AS BIGINT) AS regions, CAST(sum(rows) AS BIGINT) AS rows FROM per
 GROUP BY city HAVING count(*) > 1""", raw=True, clean=False)
+
+# ---------------------------------------------------------------- p-values in closed form
+# F with 4 numerator degrees of freedom (five groups): I_x(a, 2) = x^a (1 + a (1 - x)), x = d2 / (d2 + d1 F), a = d2 / 2
+register("anova_test", f"""
+WITH {_GM},
+p AS (SELECT sum(g.n * (mean - gm) * (mean - gm)) AS ssb, sum((g.n - 1) * coalesce(var, 0.0)) AS ssw,
+             any_value(k) AS k, any_value(tot_n) AS tot_n FROM g, t),
+f AS (SELECT (ssb / (k - 1)) / (ssw / (tot_n - k)) AS f, k - 1 AS d1, tot_n - k AS d2 FROM p),
+q AS (SELECT *, d2 / (d2 + d1 * f) AS x, d2 / 2.0 AS a FROM f),
+r AS (SELECT *, pow(x, a) * (1 + a * (1 - x)) AS p FROM q)
+SELECT {r2('f', 4)} AS f_stat, CAST(d1 AS BIGINT) AS df_between, CAST(d2 AS BIGINT) AS df_within,
+       {r2('p', 4)} AS p_value, p < 0.05 AS significant FROM r WHERE d1 = 4""")
+# chi-square with an even number 2m of degrees of freedom: exp(-x/2) sum over i < m of (x/2)^i / i!
+register("chi_square_test", f"""
+WITH {_CT},
+cells AS (SELECT CAST(observed AS DOUBLE) AS o,
+  sum(observed) OVER (PARTITION BY payment_method) * sum(observed) OVER (PARTITION BY gender)
+    / (SELECT sum(observed) FROM ct) AS e FROM ct),
+s AS (SELECT sum((o - e) * (o - e) / e) AS x, (SELECT (SELECT count(*) FROM ra) - 1) * (SELECT (SELECT count(*) FROM cb) - 1) AS dof FROM cells),
+p AS (SELECT x, dof, exp(-x / 2) * (SELECT sum(pow(s.x / 2, i) / gamma(i + 1)) FROM generate_series(0, 30) t(i) WHERE i < s.dof // 2) AS p FROM s)
+SELECT {r2('x', 4)} AS chi2_stat, CAST(dof AS BIGINT) AS dof, {r2('p', 4)} AS p_value, p < 0.05 AS significant
+FROM p WHERE dof % 2 = 0""")
+
+# ---------------------------------------------------------------- samples: the smallest md5 of the key
+_KEY = ("order_id", "product_name", "quantity", "shipping_days", "return_flag", "CAST(round(total_sales * 100) AS BIGINT)")
+
+
+def _md5(cols) -> str:
+    return "md5('42|' || " + " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols) + ")"
+
+
+register("row_sample", f"SELECT * FROM sales ORDER BY {_md5(_KEY)}, order_id, product_name, quantity LIMIT 800")
+register("shapiro_input", " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM sales WHERE {c} IS NOT NULL "
+    f"ORDER BY {_md5(_KEY)} LIMIT 500)" for c in _NORM))
+
+# ---------------------------------------------------------------- metrics and monthly roll-up on fixed pairs
+_PAIRS = f"""{_FEATURES}, pairs AS (SELECT order_date, total_sales AS actual, coalesce(rolling_7_mean, 0.0) AS predicted FROM feat)"""
+register("naive_metrics", f"""WITH {_PAIRS}
+SELECT {r2('avg(abs(actual - predicted))')} AS "MAE", {r2('sqrt(avg((actual - predicted) * (actual - predicted)))')} AS "RMSE",
+  {r2('1 - sum((actual - predicted) * (actual - predicted)) / (var_pop(actual) * count(*))', 4)} AS "R2", count(*) AS test_days FROM pairs""")
+register("naive_monthly", f"""WITH {_PAIRS}
+SELECT strftime(date_trunc('month', order_date), '%b %Y') AS month_label, CAST(date_trunc('month', order_date) AS DATE) AS month_start,
+  {r4('sum(predicted)')} AS predicted_sales, {r4('sum(predicted) * 0.85')} AS lower, {r4('sum(predicted) * 1.15')} AS upper
+FROM pairs GROUP BY ALL""")
+
+# ---------------------------------------------------------------- the same operators over raw rows and over cleaned rows
+ON_RAW = ("describe", "pearson", "corr_matrix", "contingency", "regional", "category_share")
+ON_CLEAN = ("describe", "pearson", "regional", "daily", "monthly", "anova_test", "chi_square", "repeat_customers")
+for _n in ON_RAW:
+    ORACLE[f"{_n}_raw"] = with_views(BODIES[_n], sales="sales AS (SELECT * FROM sales_raw)")
+for _n in ON_CLEAN:
+    ORACLE[f"{_n}_clean"] = with_views(BODIES[_n], sales=C.chain().strip() + ",\nsales AS (SELECT * FROM clean)")
+ORACLE["box_raw"] = with_views(BODIES["box"].replace("customer_rating", "unit_price"), sales="sales AS (SELECT * FROM sales_raw)")

@@ -14,7 +14,8 @@ nation / region (SURVEY section 7.2):
 ``sales`` is the clean 24-column frame; ``sales_raw`` is the 20-column raw
 frame with deterministic defects (nulls, bad dates, respelled categories,
 padding, negative quantities, out-of-range ratings) so that every cleaning
-step has work to do. Both are pure projections of a join: no row is dropped.
+step has work to do, and about 3 % of its rows twice. No row is dropped: the
+dimensions are left-joined.
 """
 
 from __future__ import annotations
@@ -35,16 +36,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a fact scan at least the cluster's default parallelism.
+#: Session setting with a number of partitions for the fact scan: for tables whose files
+#: are fewer than the cores (a table of one row group is read by one task). Unset, the
+#: scan keeps the splits that spark.sql.files.* give it.
+SCAN_PARTITIONS = "spark.tessera.scanPartitions"
 
-    A scan gets one task per file split / row group; a small table stored as
-    one row group would run the whole join and projection chain in one task.
-    Only then is it spread round-robin (a one-off shuffle); a large table
-    already has more splits than cores and is returned unchanged.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+def spread(df: DataFrame) -> DataFrame:
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +67,11 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     re = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = F.broadcast(na.join(F.broadcast(re), na.n_regionkey == re.r_regionkey))
-    return (li.join(od, li.l_orderkey == od.o_orderkey)
-              .join(cu, od.o_custkey == cu.c_custkey)
-              .join(pa, li.l_partkey == pa.p_partkey)
-              .join(geo, cu.c_nationkey == geo.n_nationkey))
+    # left joins: an order line without its order, customer, part or nation stays, with nulls
+    return (li.join(od, li.l_orderkey == od.o_orderkey, "left")
+              .join(cu, od.o_custkey == cu.c_custkey, "left")
+              .join(pa, li.l_partkey == pa.p_partkey, "left")
+              .join(geo, cu.c_nationkey == geo.n_nationkey, "left"))
 
 
 def _rating() -> Column:
@@ -116,21 +117,29 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The spellings that the cleaning step maps, one defect each.
+SPELLINGS = ("male", "m", "MALE", "M", "female", "f", "FEMALE", "F", "N/A")
+
+
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw 20-column frame with deterministic defects, one row per lineitem."""
+    """Raw 20-column frame with deterministic defects, one row per lineitem and
+    a second copy of every 33rd."""
     j = _joined(spark, sf_dir)
     k, ck = F.col("l_orderkey"), F.col("o_custkey")
     kl = F.col("l_orderkey") + F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
-    return j.select(
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    gender = F.when(F.col("o_orderstatus") == "F", "Female").otherwise("Male")
+    spelled = F.when(ck % 25 == 1, None)
+    for i, x in enumerate(SPELLINGS):
+        spelled = spelled.when(kl % 9001 == i + 1, x)
+    rows = j.select(
         F.col("o_orderkey").alias("order_id"),
         ck.alias("customer_id"),
         F.col("c_name").alias("customer_name"),
-        F.when(ck % 20 == 3, None).otherwise(F.col("p_size").cast("double")).alias("age"),
-        F.when(ck % 25 == 1, None)
-         .when(ck % 10 == 2, F.lower("o_orderstatus"))
-         .when(ck % 10 == 5, F.concat(F.lit(" "), F.col("o_orderstatus")))
-         .otherwise(F.col("o_orderstatus")).alias("gender"),
+        F.when(ck % 20 == 3, None).when(kl % 3001 == 5, F.lit(400.0))
+         .otherwise(F.col("p_size").cast("double")).alias("age"),
+        spelled.when(ck % 10 == 5, F.concat(F.lit(" "), gender)).otherwise(gender).alias("gender"),
         F.when(k % 50 == 7, None).otherwise(F.col("n_name")).alias("city"),
         F.col("n_name").alias("state"),
         F.when(k % 33 == 5, None).otherwise(F.col("r_name")).alias("region"),
@@ -138,19 +147,21 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kl % 40 == 0, F.concat(F.lit("  "), F.col("p_type"), F.lit(" ")))
          .otherwise(F.col("p_type")).alias("product_category"),
         F.col("p_name").alias("product_name"),
-        F.when(kl % 97 == 1, -qty).otherwise(qty).alias("quantity"),
-        F.when(kl % 50 == 3, None)
-         .otherwise(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-        F.when(kl % 33 == 4, None).otherwise(F.col("l_discount")).alias("discount"),
+        F.when(kl % 9973 == 1, -qty).otherwise(qty).alias("quantity"),
+        F.when(kl % 50 == 3, None).when(kl % 5003 == 7, F.lit(0.0)).when(kl % 5003 == 8, F.lit(-5.0))
+         .when(kl % 4001 == 12, price * 50).otherwise(price).alias("unit_price"),
+        F.when(kl % 33 == 4, None).when(kl % 5003 == 9, F.lit(1.5)).otherwise(F.col("l_discount")).alias("discount"),
         F.col("l_extendedprice").alias("total_sales"),
-        F.when(k % 250 == 11, F.lit("99/99/9999"))
+        F.when(k % 15013 == 11, F.lit("99/99/9999"))
          .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
         F.when(k % 25 == 6, None).otherwise(F.col("o_orderpriority")).alias("payment_method"),
         F.when(kl % 14 == 2, None)
-         .when(kl % 400 == 9, F.lit(6.0))
-         .when(kl % 400 == 10, F.lit(0.0))
-         .when(kl % 400 == 11, F.lit(-1.0))
+         .when(kl % 9967 == 9, F.lit(6.0))
+         .when(kl % 9967 == 10, F.lit(0.0))
+         .when(kl % 9967 == 11, F.lit(-1.0))
          .otherwise(_rating()).alias("customer_rating"),
         (F.col("l_returnflag") == "R").alias("return_flag"),
         F.when(kl % 50 == 8, None).otherwise(_ship_days().cast("double")).alias("shipping_days"),
+        (kl % 33 == 0).alias("_twice"),
     )
+    return rows.drop("_twice").unionByName(rows.where("_twice").drop("_twice"))

@@ -3,7 +3,7 @@
 Parsing, standardising, range checks and the derived measures are row-local,
 so they apply unchanged to a streaming DataFrame. Steps that need a global
 statistic (median date, medians, modes, IQR bounds) take it from a batch
-reference table computed once (``impute_values`` / ``iqr_bounds`` on history)
+reference table computed once (``fill_values`` / ``iqr_bounds`` on history)
 and joined as a small static side.
 """
 
@@ -20,7 +20,7 @@ def clean_rows(stream: DataFrame, fills: dict | None = None, bounds: dict | None
                p: CleaningParams = CleaningParams()) -> DataFrame:
     """Row-level cleaning of a (streaming or batch) raw sales frame.
 
-    ``fills`` maps column -> fill value (from a batch ``impute_values``);
+    ``fills`` maps column -> fill value (from a batch ``fill_values``);
     ``bounds`` maps column -> (lo, hi) (from a batch ``iqr_bounds``).
     """
     out = C.fix_invalid_values(C.standardise_categoricals(C.parse_dates(stream, "order_date", p.date_format)), p)

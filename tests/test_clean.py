@@ -73,15 +73,9 @@ def test_no_nulls_after_impute(raw):
 
 def test_imputed_values_by_hand(raw):
     df = C.fix_invalid_values(C.standardise_categoricals(C.fix_dates(C.remove_duplicates(raw))))
-    vals = {(r["column"], r["kind"]): r["value"] for r in C.impute_values(df).collect()}
-    assert float(vals[("age", "median")]) == 37.5
-    assert float(vals[("unit_price", "median")]) == 17.5
-    assert float(vals[("customer_rating", "median")]) == 4.0
-    assert float(vals[("shipping_days", "median")]) == 2.5
-    assert vals[("gender", "mode")] == "Female"
-    assert vals[("payment_method", "mode")] == "UPI"
-    assert vals[("region", "mode")] == "East"       # four-way tie, smallest wins
-    assert vals[("city", "mode")] == "Bengaluru"    # four-way tie, smallest wins
+    assert C.fill_values(df) == {"age": 37.5, "unit_price": 17.5, "customer_rating": 4.0, "shipping_days": 2.5,
+                                 "discount": 0.05, "gender": "Female", "payment_method": "UPI",
+                                 "region": "East", "city": "Bengaluru"}  # four-way ties: the smallest wins
     md = C.median_date(C.parse_dates(C.remove_duplicates(raw))).first()[0]
     assert md == datetime.date(2023, 1, 2)
 

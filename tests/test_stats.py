@@ -5,13 +5,13 @@ from tessera.functions import distributions as D
 from tessera.operators import stats as S
 
 
-def test_pvalues_reproduce_recorded_report():
+def test_pvalues_reproduce_recorded_report(spark):
     # values recorded in the reference's statistical report
     assert round(D.f_sf(1.1125, 4, 3001), 4) == 0.3487
     assert round(D.chi2_sf(2.2552, 4), 4) == 0.6889
 
 
-def test_pvalue_known_values():
+def test_pvalue_known_values(spark):
     assert abs(D.chi2_sf(3.841458820694124, 1) - 0.05) < 1e-9
     assert abs(D.t_two_sided(2.0, 10) - 0.07338803477074) < 1e-9
     assert abs(D.f_sf(4.0, 2, 10) - 1.8 ** -5) < 1e-12   # closed form for d1 = 2
@@ -78,3 +78,22 @@ def test_ks_normal_separates_normal_from_skewed(spark):
     got = {r["column"]: r for r in S.ks_normal(spark.createDataFrame(pdf), ["age", "unit_price"]).collect()}
     assert got["age"]["p_value"] > 0.01
     assert got["unit_price"]["p_value"] < 1e-6
+
+
+def test_pvalues_with_very_many_rows(spark):
+    import math
+    from statistics import NormalDist
+    n = 1e12
+    want = 2 * (1 - NormalDist().cdf(1.96))
+    assert abs(D.t_two_sided(1.96, n) - want) < 1e-7
+    x = 2.0 * 4 / 2
+    assert abs(D.f_sf(2.0, 4, n) - math.exp(-x) * (1 + x)) < 1e-7
+    r = 1.96 / math.sqrt(n)
+    assert abs(D.pearson_p(r, n) - want) < 1e-7
+    assert D.f_sf(None, 4, 9) is None and D.chi2_sf(1.0, 0) is None and D.pearson_p(0.1, 2) is None
+
+
+def test_shapiro_wilk_published_value():
+    # men's weights of the 1965 paper: W = 0.79
+    w, p = D.shapiro_wilk([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236])
+    assert abs(w - 0.7888) < 5e-4 and abs(p - 0.0067) < 5e-4
