@@ -109,7 +109,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) ->
         .where("earlier IS NOT NULL").select("doc_id", "earlier")
     pairs = star.unionByName(near).distinct()
     item = F.struct("pos", "h", "check", "words")
-    seqs = written(shared.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("seq")), "line-seqs")
+    seqs = written(shared.groupBy("doc_id").agg(F.array_sort(F.collect_set(item)).alias("seq")), "line-seqs")
     both = pairs.join(seqs.withColumnRenamed("seq", "a"), "doc_id") \
         .join(seqs.select(F.col("doc_id").alias("earlier"), F.col("seq").alias("b")), "earlier")
 

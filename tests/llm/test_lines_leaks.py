@@ -90,6 +90,14 @@ def test_line_dedup_keeps_the_first_holder_and_clean_rows(spark, documents, odd,
     assert line_dedup(empty).collect() == []
 
 
+def test_line_dedup_of_repeated_rows(spark):
+    rows = made(5, 30)
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    got = line_dedup(df).collect()
+    want = brute_lines(rows)
+    assert len(got) == 2 * len(rows) and all(r.text == want[r.doc_id] for r in got)
+
+
 def test_line_dedup_hot_line(spark):
     hot = " ".join(f"w{i}" for i in range(60))
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("own "), F.col("id").cast("string"), F.when(
