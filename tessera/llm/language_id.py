@@ -27,7 +27,7 @@ from tessera.llm.common import written
 DIM = 4096
 PER_LANG, MAX_LANGS, MIN_ROWS, CENTROIDS = 1000, 512, 3, 3
 #: A text is rejected below this share of the least cosine in the sample.
-MARGIN = 0.5
+MARGIN = 0.25
 _BLOCK = 1 << 20
 _TABLE: list[np.ndarray] = []
 
