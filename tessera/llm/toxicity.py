@@ -11,7 +11,7 @@ goes the other way, as the non-negative estimator asks. Several classifiers see
 all positives and different unlabelled rows; their mean logit is the score.
 
 Fitting uses at most about ``positives`` confirmed rows and ``unlabelled`` rows
-of all kinds, chosen by a hash of the text (equal texts count once), and the
+of all kinds, chosen by a hash of id or text (equal texts count once), and the
 ``FEATURES`` of them that separate the two samples most. Only these and their
 weights reach the driver. The class prior is the share of toxic rows
 among the learnable labels, unless it is given.
@@ -104,17 +104,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None =
     n_texts = texts.count()
     if not n_pos or not n_texts:
         return Model({}, float(np.log(prior / (1 - prior))))
-    hashed = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    ids = lab.where("toxic = 1").select("doc_id", F.lit(1).alias("p"))
-    drawn = texts.withColumn("_h", hashed).join(ids, "doc_id", "left").withColumns({
-        "p": (F.coalesce("p", F.lit(0)) == 1) & (F.col("_h") < min(1.0, positives / n_pos)),
-        "u": F.col("_h") < min(1.0, unlabelled / n_texts)}).where("p OR u")
+    # the confirmed ids are drawn first: about ``positives`` of them, whatever the number of labels, so
+    # they may be broadcast, and no text is shuffled that is not in a sample
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 30)) / float(1 << 30)
+    ids = lab.where("toxic = 1").where(part("doc_id") < min(1.0, positives / n_pos)).select("doc_id")
+    drawn = texts.join(F.broadcast(ids), "doc_id", "left_semi").withColumns({"p": F.lit(1), "u": F.lit(0)}) \
+        .unionByName(texts.where(part("text") < min(1.0, unlabelled / n_texts)).withColumns({"p": F.lit(0), "u": F.lit(1)}))
 
     def tokens(batches):
         for b in batches:
             yield pd.DataFrame({"row": b.row, "p": b.p, "u": b.u, "bag": b.bag, "words": [sorted(features(t)) for t in b.text]})
 
-    rows = drawn.select(F.xxhash64("text").cast("string").alias("row"), F.col("p").cast("int").alias("p"), F.col("u").cast("int").alias("u"), "text") \
+    rows = drawn.select(F.xxhash64("text").cast("string").alias("row"), "p", "u", "text") \
         .groupBy("row").agg(F.max("p").alias("p"), F.max("u").alias("u"), F.any_value("text").alias("text")) \
         .withColumn("bag", F.pmod(F.hash("row"), F.lit(bags)))
     sample = written(rows.mapInPandas(tokens, "row string, p int, u int, bag int, words array<string>"), "toxic-sample")
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None =
 
     def train(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("row")
-        x = [np.array([number[w] for w in ws if w in number], np.int64) for ws in b.words]
+        x = [np.array([number[w] for w in ws], np.int64) for ws in b.words]
         p = [r for r, q in zip(x, b.p) if q]
         u = [r for r, q in zip(x, b.u) if q]
         if not p or not u:
@@ -142,7 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None =
     # every classifier sees all positives and its own share of the unlabelled rows
     every = sample.where("p = 1").withColumns({"bag": F.explode(F.sequence(F.lit(0), F.lit(bags - 1))), "own": F.col("bag")})
     every = every.withColumn("u", F.when(F.col("bag") == F.col("own"), F.col("u")).otherwise(0)).select(sample.columns)
-    dealt = sample.where("p = 0").unionByName(every)
+    # only the chosen features travel to the classifiers
+    own = F.array_intersect("words", F.lit(vocab)) if vocab else F.array().cast("array<string>")
+    dealt = sample.where("p = 0").unionByName(every).withColumn("words", own)
     got = dealt.groupBy("bag").applyInPandas(train, "w binary, bias double").collect()
     if not got:
         return Model({}, float(np.log(prior / (1 - prior))))
