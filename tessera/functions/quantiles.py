@@ -18,8 +18,8 @@ the same order statistics by distributed selection, at every size alike:
 lo falls into the first bucket and hi into the last, so every pass removes at
 least one distinct value from a window: the loop ends. A hot value (a third of
 all rows equal) has a bucket with min == max as soon as it stands alone.
-Targets with the same window share its histogram. Only one number per pass (the
-open targets) reaches the driver.
+Targets with the same window share its histogram. Only the names of the open
+columns reach the driver, and the next pass reads these alone.
 """
 
 from __future__ import annotations
@@ -77,16 +77,17 @@ def percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     tkey, wkey = [*key, "prob", "side"], [*key, "lo", "hi", "below"]
 
     passes = 0
-    # one job a pass: fills the cache of the (small) target table and tells whether any target is open
-    while targets.where(F.col("lo") < F.col("hi")).count() > 0:
+    # one job a pass: fills the cache of the (small) target table and tells which columns are open
+    while still := [r[0] for r in targets.where(F.col("lo") < F.col("hi")).select("column").distinct().collect()]:
         open_ = targets.where(F.col("lo") < F.col("hi"))
+        rest = long_values(df, [c for c in cols if c in still], by)
         # halves where the width of the window overflows a double
         width = F.col("hi") - F.col("lo")
         share = F.when(width < inf, F.try_divide(F.col("v") - F.col("lo"), width)).otherwise(
             (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2))
         b = F.when(F.col("v") >= F.col("hi"), buckets - 1).otherwise(
             F.least(F.floor(share * (buckets - 1)).cast("long"), F.lit(buckets - 2)))
-        hist = (lng.join(open_.select(*wkey).distinct(), key)
+        hist = (rest.join(open_.select(*wkey).distinct(), key)
                    .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
                    .groupBy(*wkey, b.alias("bucket"))
                    .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"),
