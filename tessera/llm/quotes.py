@@ -147,18 +147,18 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.coalesce("chars", F.lit(0)).alias("quoted_chars"))
     parents = written(parents, "parents")
 
-    # pointer doubling: after k rounds a pointer has made 2^k steps
+    # pointer doubling: after k rounds a pointer has made 2^k steps; only those that have not
+    # come to a root go on, so a few long conversations do not keep all rows busy
+    root = F.col("reply_to").isNull()
     at = parents.select("conv_id", "turn", F.coalesce("reply_to", "turn").alias("up"),
-                        F.col("reply_to").isNotNull().cast("long").alias("depth"))
-    steps = None
-    while True:
-        up = at.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        at = written(at.join(up, ["conv_id", "up"]).select(
-            "conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth")), "roots")
-        now = at.agg(F.sum("depth")).first()[0]
-        if now == steps:
-            break
-        steps = now
+                        (~root).cast("long").alias("depth"), root.alias("done"))
+    while not at.where("NOT done").isEmpty():
+        up = at.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"),
+                       F.col("depth").alias("more"), F.col("done").alias("there"))
+        stepped = at.where("NOT done").join(up, ["conv_id", "up"]).select(
+            "conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
+            F.col("there").alias("done"))
+        at = written(at.where("done").unionByName(stepped), "roots")
     roots = at.select("conv_id", "turn", F.col("up").alias("root_turn"), "depth")
     links = parents.join(roots, ["conv_id", "turn"])
     return parsed.join(links, ["conv_id", "turn"], "left").select(
