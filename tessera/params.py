@@ -40,7 +40,7 @@ class ForecastParams:
     random_state: int = 42
     max_bins: int = 32
     max_memory_mb: int = 1024      # node statistics a pass may hold: one pass per tree level
-    fit_partitions: int = 2        # of the daily frame (days x series); raise it with the series
+    fit_partitions: int = 8        # of the daily frame (days x series); raise it with the series
     band: float = 0.15
     strict_features: bool = False
 

@@ -51,7 +51,9 @@ def test_cleaning(raw):
     got.issues.collect()
 
 
-def test_statistics_and_marts(raw):
+@pytest.mark.parametrize("case", ["nulls", "constant"])
+def test_statistics_and_marts(spark, case):
+    raw = spark.createDataFrame(CASES[case], SCHEMA)
     clean = materialize(C.clean_sales(raw).clean)  # the operators are planned over a table, not over the whole chain
     for op in (S.describe, S.anova, S.anova_test, S.group_means, S.contingency, S.chi_square, S.chi_square_test, S.pearson,
                S.pearson_test, S.corr_matrix, S.abc, S.repeat_customers, S.return_rate, S.linear_fit, S.jarque_bera,
