@@ -5,12 +5,21 @@ character n-grams of one to three letters are hashed to ``DIM`` counts, weighted
 by inverse document frequency and normalised to length one. Each language has
 several centroids, found by spherical k-means in a task of its own. A text gets
 the language of the centroid with the largest cosine; it is rejected when it is
-farther from that centroid than any text of the fitting sample was, by a margin.
+farther from that centroid than texts of this language and length are.
+
+How far those are is measured over all rows that may be learned from, not over
+the sample, where the nearest centroid is of the row's own language: the ``LOW`` quantile of their cosines, for each language and band of
+length (powers of two of the number of n-grams, as short texts have low cosines;
+one band for those of about one word). Of n rows the floor is this quantile
+times n / (n + ``TRUST``), so that a few rows reject little. A band in which a
+language has fewer than ``ENOUGH`` rows takes those of all languages, and, as
+long as these are too few, those of shorter bands, down to one word.
 
 Fitting uses a sample of about ``per_lang`` rows of each of at most
 ``MAX_LANGS`` languages (those with the most rows, at least ``MIN_ROWS`` each),
 chosen by a hash of doc_id; whole texts are read. Only counts by language, the
-document frequencies and the centroids reach the driver: all bounded.
+document frequencies, the centroids and a quantile for each language and band
+reach the driver: all bounded.
 """
 
 from __future__ import annotations
@@ -26,8 +35,10 @@ from tessera.llm.common import written
 
 DIM = 4096
 PER_LANG, MAX_LANGS, MIN_ROWS, CENTROIDS = 1000, 512, 3, 3
-#: A text is rejected below this share of the least cosine in the sample.
-MARGIN = 0.25
+#: Quantile of the cosines that the floor starts from; rows at which half of it counts; rows that do for a band.
+LOW, TRUST, ENOUGH = 0.001, 20, 50
+#: Bands of length; texts of fewer than 2^SHORT n-grams (about 15 letters) are one band.
+BANDS, SHORT = 40, 6
 _BLOCK = 1 << 20
 _TABLE: list[np.ndarray] = []
 
@@ -84,11 +95,16 @@ def vector(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / max(float(np.linalg.norm(v)), 1e-12)
 
 
+def band(count: np.ndarray) -> int:
+    """Band of length of a text with these counts."""
+    return min(BANDS - 1, max(SHORT, int(np.log2(max(1.0, float(count.sum(dtype=np.float64)))))) - SHORT)
+
+
 @dataclass
 class Model:
     langs: list[str]          # of each centroid
     centroids: np.ndarray     # rows of length one
-    floor: np.ndarray         # the cosine below which its language is rejected
+    floor: np.ndarray         # by centroid and band: the cosine below which its language is rejected
     idf: np.ndarray
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
@@ -99,7 +115,7 @@ class Model:
         sims = self.centroids @ vector(c, self.idf)
         k = int(np.argmax(sims))
         s = float(min(1.0, max(0.0, sims[k])))
-        return self.langs[k], s, s < self.floor[k]
+        return self.langs[k], s, bool(s < self.floor[k, band(c)])
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -116,23 +132,53 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
-def _group(k: int, idf: np.ndarray, margin: float):
+def _group(k: int, idf: np.ndarray):
     def run(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["doc_id", "counts"])
         x = np.stack([vector(np.frombuffer(c, np.float32), idf) for c in b["counts"]])
         c = _kmeans(x, k)
-        floor = margin * float(np.max(x @ c.T, axis=1).min())
-        return pd.DataFrame({"lang": b.lang.iloc[0], "centroid": [r.astype(np.float32).tobytes() for r in c], "floor": floor})
+        return pd.DataFrame({"lang": b.lang.iloc[0], "centroid": [r.astype(np.float32).tobytes() for r in c]})
     return run
 
 
-def fit(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, centroids: int = CENTROIDS, margin: float = MARGIN) -> Model:
+def _floors(rows: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.ndarray, low: float) -> dict[str, np.ndarray]:
+    """For each language its floors by band, from the cosines of all ``rows`` that are told right."""
+    def cosines(batches):
+        for b in batches:
+            got = []
+            for lang, t in zip(b.lang, b.text):
+                if (c := counts(t)) is not None:
+                    sims = centroids @ vector(c, idf)
+                    k = int(np.argmax(sims))
+                    if langs[k] == lang:
+                        got.append((lang, band(c), float(sims[k])))
+            yield pd.DataFrame(got, columns=["lang", "band", "cosine"])
+
+    found = rows.select("lang", "text").mapInPandas(cosines, "lang string, band int, cosine double") \
+        .rollup("band", "lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("cosine", low, 10000).alias("q")) \
+        .where("band IS NOT NULL").collect()
+    at = {(r.lang, r.band): (r.n, r.q) for r in found}  # of all languages where lang is null
+    out = {}
+    for x in set(langs):
+        floor = np.zeros(BANDS)
+        for k in range(BANDS):
+            n, q, j = 0, 1.0, k
+            while n < ENOUGH and j >= 0:
+                one = at.get((x, j), (0, 1.0))
+                m, least = one if one[0] >= ENOUGH else at.get((None, j), (0, 1.0))
+                n, q, j = n + m, min(q, least), j - 1
+            floor[k] = q * n / (n + TRUST)
+        out[x] = floor
+    return out
+
+
+def fit(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, centroids: int = CENTROIDS, low: float = LOW) -> Model:
     """Learn from text and non-null lang of the rows for which ``learn`` holds."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     n = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS)
          .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
     if not n:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros(0), np.ones(DIM))
+        return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, BANDS)), np.ones(DIM))
     share = F.element_at(F.create_map(*[F.lit(v) for lang, k in n.items() for v in (lang, min(1.0, per_lang / k))]), F.col("lang"))
     drawn = rows.where(F.col("lang").isin(*n) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share * (1 << 30)))
 
@@ -156,10 +202,14 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, centroids: int
     seen = sum(p.n for p in parts)
     df = sum((np.frombuffer(p.df) for p in parts), np.zeros(DIM))
     idf = (np.log((1 + seen) / (1 + df)) + 1).astype(np.float32)
-    got = sorted(sample.groupBy("lang").applyInPandas(_group(centroids, idf, margin), "lang string, centroid binary, floor double")
+    got = sorted(sample.groupBy("lang").applyInPandas(_group(centroids, idf), "lang string, centroid binary")
                  .collect(), key=lambda r: (r.lang, bytes(r.centroid)))
     c = np.stack([np.frombuffer(r.centroid, np.float32) for r in got]) if got else np.zeros((0, DIM), np.float32)
-    return Model([r.lang for r in got], c, np.array([r.floor for r in got]), idf)
+    langs = [r.lang for r in got]
+    if not langs:
+        return Model([], c, np.zeros((0, BANDS)), idf)
+    floors = _floors(rows, langs, c, idf, low)
+    return Model(langs, c, np.array([floors[x] for x in langs]), idf)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -28,6 +28,51 @@ def test_languages_held_out(spark):
     assert out[1].lang_pred in {"en", "de", "fr", "es"}
 
 
+GIBBERISH = {
+    "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+    "swahili": "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri.",
+    "vietnamese": "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi.",
+    "code": "static int foo(struct bar *p, size_t n) { for (int i = 0; i < n; i++) if (!p[i].x) return memcpy(&p[i], buf, n); }"}
+
+
+def test_languages_reject_gibberish_and_unseen_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language_id.fit(docs, language_rows())
+    rng = np.random.default_rng(1)
+    words = lambda n, letters, size: " ".join("".join(rng.choice(list(letters), size)) for _ in range(n))
+    bad = GIBBERISH | {"az": words(60, "abcdefghijklmnopqrstuvwxyz", 6), "few": words(8, "abcdefghijklmnopqrstuvwxyz", 6),
+                       "consonants": words(40, "bcdfghjklmnpqrstvwxz", 6), "hex": words(1, "0123456789abcdef", 400),
+                       "base64": words(1, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", 400)}
+    assert {k for k, t in bad.items() if not model.predict(t)[2]} == set()
+    got = language_id.identify(docs, model).where(fold(4) == 2).select("text", "rejected").collect()
+    short = [r.rejected for r in got if len(r.text) < 40]
+    assert sum(r.rejected for r in got) <= 0.003 * len(got) and len(short) > 20 and not any(short)  # one word over and over
+    clean = ["This.", "Nicht.", "Éaux.", "All human beings are born free and equal in dignity and rights.",
+             "Alle Menschen sind frei und gleich an Würde und Rechten geboren."]
+    assert not any(model.predict(t)[2] for t in clean)
+
+
+def test_language_floor_of_a_band_comes_from_all_rows():
+    """The more rows, the nearer to the quantile; few rows: all languages, then shorter bands; no rows, no floor."""
+    class Rows:  # stands for the aggregate
+        def __init__(self, found):
+            self.found = found
+
+        def __getattr__(self, _):
+            return lambda *a: self
+
+        def collect(self):
+            return self.found
+
+    from types import SimpleNamespace as R
+    found = [R(lang="en", band=2, n=970, q=0.5), R(lang=None, band=2, n=2970, q=0.2), R(lang="en", band=1, n=3, q=0.9),
+             R(lang=None, band=1, n=90, q=0.4), R(lang="en", band=3, n=10, q=0.9), R(lang=None, band=3, n=20, q=0.8)]
+    floor = language_id._floors(Rows(found), ["en"], np.zeros((1, 2)), np.ones(2), 0.1)["en"]
+    assert np.allclose(floor[:5], [0, 0.4 * 90 / 110, 0.5 * 970 / 990, 0.5 * 990 / 1010, 0.5 * 990 / 1010])
+
+
 def test_language_odd_rows(odd, empty, clash):
     model = language_id.fit(odd, F.lit(True))
     rows = language_id.identify(clash(odd), model).collect()
