@@ -1,38 +1,41 @@
-"""Line deduplication by pairwise alignment.
-
-1. Lines that at least two documents share are found by hash. The documents
-   that hold a line are linked by it: each later one to the first holder, and,
-   for a rare line (at most ``RARE`` occurrences), to the holder just before
-   it. So the pairs grow with the occurrences, never with their square, and
-   no frequent line is left out: it links to its first holder.
-2. The two line sequences of each pair, restricted to shared lines, are aligned
-   by patience diff: lines that are unique in both are the anchors, the longest
-   increasing run of them is kept, and each is extended to equal neighbours.
-3. A common block of at least ``min_words`` words is deleted from the later
-   document (the larger doc_id). The first holder of a line never loses it, so
-   every deleted line stays in some earlier document.
-
-A deleted line also equals its partner in a second checksum.
+"""Line deduplication: passages that an earlier document holds are deleted from the later one.
+
+A passage is a block of consecutive lines of at least ``min_words`` words, none
+of them blank. Two documents share it if both hold its lines in this order
+without others between; the later one (the larger doc_id) loses it, wherever,
+in whatever order and however often it holds it, and however many copies there
+are. So every deleted line stays in some earlier document.
+
+1. For each line the shortest block of ``min_words`` words that begins with it,
+   and the one that ends with it, get a digest of 128 bits. A passage is the
+   union of such blocks inside it: what is shared by passages is shared by these.
+2. The first holder of each digest is found by an aggregate. A later holder
+   loses the lines of the block.
+
+Both are linear in the lines: no pair of documents is formed, and a line that a
+million documents hold costs no more for each of them than a rare one.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from hashlib import blake2b
+from struct import unpack
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import with_group, written
 
-#: Occurrences up to which a line counts as rare.
-RARE = 64
 MIN_WORDS = 5
+#: Rows of a batch of blocks.
+ROWS = 1 << 16
 
 
 def patience(a: list, b: list) -> list[tuple[int, int, int]]:
-    """Common blocks (start in a, start in b, length), increasing in both.
+    """Common blocks (start in a, start in b, length), increasing in both; not used for deletions.
 
     Anchors are items unique in both lists; of these the longest increasing
     run; each block is then extended over equal neighbours.
@@ -69,61 +72,54 @@ def patience(a: list, b: list) -> list[tuple[int, int, int]]:
     return out
 
 
-def _common(a, b, min_words: int) -> list[int]:
-    """Line numbers to delete from the later sequence ``a``, given the earlier ``b``.
+def words(line: str) -> int:
+    """Words of a line, 0 for a blank one: spaces + 1."""
+    return line.count(" ") + 1 if line.strip(" ") else 0
 
-    Items are (line number, hash, checksum, words); a block ends where lines
-    that no other document has stand between its lines.
-    """
-    gone = []
-    for i, j, n in patience([x["h"] for x in a], [x["h"] for x in b]):
-        block, last = [], None
-        for k in range(n + 1):
-            x, y = (a[i + k], b[j + k]) if k < n else (None, None)
-            joined = x is not None and (last is None or x["pos"] == last[0]["pos"] + 1 and y["pos"] == last[1]["pos"] + 1)
-            if not joined:
-                if sum(q["words"] for q, _ in block) >= min_words:
-                    gone += [q["pos"] for q, r in block if q["check"] == r["check"]]
-                block = []
-            if x is not None:
-                block.append((x, y))
-                last = (x, y)
-    return gone
-
-
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+
+def blocks(lines: list[str], min_words: int) -> set[tuple[int, int]]:
+    """(first line, line after the last) of the shortest blocks that begin or end with each line."""
+    n, out = [words(x) for x in lines], set()
+    for at in range(len(lines)):
+        for step in (1, -1):
+            k, total = at, 0
+            while 0 <= k < len(lines) and n[k]:
+                total += n[k]
+                if total >= min_words:
+                    out.add((min(at, k), max(at, k) + 1))
+                    break
+                k += step
+    return out
+
+
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, gone): for each document that loses lines, their numbers from 0."""
-    line = F.explode(F.transform(F.split("text", "\n"), lambda x, i: F.struct(
-        i.alias("pos"), F.xxhash64(x).alias("h"), F.crc32(x).alias("check"),
-        (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("words"), (F.length(F.trim(x)) > 0).alias("some"))))
-    lines = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long"), line.alias("l")).select("doc_id", "l.*").where("some").drop("some")
-    shared = with_group(
-        lines, ["h"], "doc_id", {"lo": F.min("doc_id"), "hi": F.max("doc_id"), "n": F.count(F.lit(1))},
-        {"first": F.min("lo"), "hi": F.max("hi"), "n": F.sum("n")},
-        keep=lambda g: g.where("first < hi").drop("hi"))
-    shared = written(shared, "shared-lines")
-    star = shared.where("doc_id <> first").select("doc_id", F.col("first").alias("earlier"))
-    near = shared.where(F.col("n") <= rare).select("h", "doc_id").distinct() \
-        .withColumn("earlier", F.lag("doc_id").over(Window.partitionBy("h").orderBy("doc_id"))) \
-        .where("earlier IS NOT NULL").select("doc_id", "earlier")
-    pairs = star.unionByName(near).distinct()
-    item = F.struct("pos", "h", "check", "words")
-    seqs = written(shared.groupBy("doc_id").agg(F.array_sort(F.collect_set(item)).alias("seq")), "line-seqs")
-    both = pairs.join(seqs.withColumnRenamed("seq", "a"), "doc_id") \
-        .join(seqs.select(F.col("doc_id").alias("earlier"), F.col("seq").alias("b")), "earlier")
-
-    def align(batches):
-        for t in batches:
-            gone = [_common(a, b, min_words) for a, b in zip(t.a, t.b)]
-            yield pd.DataFrame({"doc_id": t.doc_id, "gone": gone})
-
-    found = both.select("doc_id", "a", "b").mapInPandas(align, "doc_id long, gone array<int>").where(F.size("gone") > 0)
-    return found.select("doc_id", F.explode("gone").alias("pos")).distinct() \
+    names = ["doc_id", "lo", "hi", "h", "g"]
+
+    def cut(batches):
+        for b in batches:
+            out = []
+            for d, t in zip(b.doc_id, b.text):
+                lines = t.split("\n")
+                for lo, hi in blocks(lines, min_words):
+                    digest = blake2b("\n".join(lines[lo:hi]).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    out.append((d, lo, hi, *unpack("<qq", digest)))
+                if len(out) >= ROWS:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
+
+    rows = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    held = written(rows.mapInPandas(cut, "doc_id long, lo int, hi int, h long, g long"), "line-blocks")
+    later = with_group(
+        held, ["h", "g"], "doc_id", {"least": F.min("doc_id"), "most": F.max("doc_id")},
+        {"first": F.min("least"), "last": F.max("most")}, keep=lambda x: x.where("first < last").drop("last")) \
+        .where("doc_id > first")
+    return later.select("doc_id", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("pos")).distinct() \
         .groupBy("doc_id").agg(F.array_sort(F.collect_list("pos")).alias("gone"))
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, rare: int | None = None) -> DataFrame:
     """``docs`` with lines of earlier documents deleted from ``text``, and removed_lines (their numbers).
 
     Every row stays; all other columns come along. Defined cases: rows with a
@@ -132,10 +128,11 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) ->
     deleted becomes empty; rows that repeat a doc_id are
     cleaned alike, each by its own lines, if their texts are equal (rows of one
     doc_id with different texts are outside the data model: the id is the
-    document); a column named removed_lines is replaced.
+    document); a column named removed_lines is replaced. ``rare`` has no effect:
+    no line is treated otherwise for its number of copies.
     """
     d = docs.drop("removed_lines")
-    gone = deletions(d, min_words, rare).withColumnsRenamed({"doc_id": "_gone_id", "gone": "_gone"})
+    gone = deletions(d, min_words).withColumnsRenamed({"doc_id": "_gone_id", "gone": "_gone"})
     text = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     out = d.join(gone, F.col("doc_id") == F.col("_gone_id"), "left")
     cleaned = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text)
