@@ -1,9 +1,33 @@
-"""Every block of lines that an earlier document holds goes."""
+"""Every block of lines that an earlier document holds goes, by loops over all earlier documents."""
+
+import random
 
 import pytest
 
 from tessera.llm.line_dedup import line_dedup
 
+from .test_lines_leaks import made
+
+
+def whole(rows, min_words=5):
+    """Text of each document without its common substrings of lines with any earlier document."""
+    docs = {d: t.split("\n") for d, t in rows}
+    out = {}
+    for d, a in docs.items():
+        gone = set()
+        for e, b in docs.items():
+            if e >= d:
+                continue
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and a[i + n].strip():
+                        n += 1
+                    if sum(len(x.split()) for x in a[i:i + n]) >= min_words:
+                        gone |= set(range(i, i + n))
+        out[d] = "\n".join(x for i, x in enumerate(a) if i not in gone)
+    return out
+
 
 def cleaned(spark, rows, **more):
     return {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), **more).collect()}
@@ -17,3 +41,26 @@ def test_a_passage_of_short_lines_goes_at_any_number_of_copies(spark, copies):
     got = cleaned(spark, rows)
     assert got[100] == rows[30][1] and all(got[k] == t for k, t in rows[:30])
     assert all(got[100 + k] == f"own {k}\nend {k}" for k in range(1, copies))
+
+
+def blocks_made(seed):
+    """Short lines, passages that documents hold twice and in other orders."""
+    rnd = random.Random(seed)
+    short = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 3))) for _ in range(12)]
+    passages = [[rnd.choice(short) for _ in range(rnd.randint(2, 6))] for _ in range(6)]
+    rows = []
+    for d in range(40):
+        ls = [f"own {d}"]
+        for _ in range(rnd.randint(1, 4)):
+            ls += rnd.choice(passages) if rnd.random() < 0.7 else [rnd.choice(short), f"own {d} {len(ls)}"]
+        rows.append((d, "\n".join(ls)))
+    return rows
+
+
+def test_all_blocks_of_all_earlier_documents_go(spark):
+    long = " ".join(f"w{k}" for k in range(50))
+    twice = [(0, f"one two three four five six\n{long}"), (1, f"{long}\nmine\n{long}"), (2, f"{long}\n{long}"),
+             (3, f"{long}\none two three four five six")]
+    assert cleaned(spark, twice) == {0: twice[0][1], 1: "mine", 2: "", 3: ""} == whole(twice)
+    for rows in (made(64), made(7), *map(blocks_made, range(4))):
+        assert cleaned(spark, rows) == whole(rows)
