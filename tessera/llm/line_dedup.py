@@ -1,7 +1,7 @@
 """Line deduplication: passages that an earlier document holds are deleted from the later one.
 
-A passage is a block of consecutive lines of at least ``min_words`` words, none
-of them blank. Two documents share it if both hold its lines in this order
+A passage is a block of consecutive lines of at least ``min_words`` words (see
+``words``), none of them blank (nothing but Unicode white space). Two documents share it if both hold its lines in this order
 without others between; the later one (the larger doc_id) loses it, wherever,
 in whatever order and however often it holds it, and however many copies there
 are. So every deleted line stays in some earlier document.
@@ -18,6 +18,7 @@ million documents hold costs no more for each of them than a rare one.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from hashlib import blake2b
@@ -30,6 +31,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import with_group, written
 
 MIN_WORDS = 5
+#: Letters of scripts without spaces between words.
+_PAIRS = re.compile("[\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_FOURS = re.compile("[\u0e01-\u0e4e\u0e81-\u0ece\u1000-\u109f\u1780-\u17d3]")
 #: Rows of a batch of blocks.
 ROWS = 1 << 16
 
@@ -73,8 +77,16 @@ def patience(a: list, b: list) -> list[tuple[int, int, int]]:
 
 
 def words(line: str) -> int:
-    """Words of a line, 0 for a blank one: spaces + 1."""
-    return line.count(" ") + 1 if line.strip(" ") else 0
+    """Words of a line, 0 for a blank one.
+
+    Runs between Unicode white space; in scripts that put none between words, two
+    letters of Chinese or Japanese or four of Thai, Lao, Burmese or Khmer count as one.
+    """
+    if line.isascii() or not (_PAIRS.search(line) or _FOURS.search(line)):
+        return len(line.split())
+    rest, pairs = _PAIRS.subn(" ", line)
+    rest, fours = _FOURS.subn(" ", rest)
+    return max(1, (pairs + 1) // 2 + (fours + 3) // 4 + sum(any(map(str.isalnum, x)) for x in rest.split()))
 
 
 def blocks(lines: list[str], min_words: int) -> set[tuple[int, int]]:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tessera.llm.line_dedup import line_dedup
+from tessera.llm.line_dedup import line_dedup, words
 
 from .test_lines_leaks import made
 
@@ -64,3 +64,13 @@ def test_all_blocks_of_all_earlier_documents_go(spark):
     assert cleaned(spark, twice) == {0: twice[0][1], 1: "mine", 2: "", 3: ""} == whole(twice)
     for rows in (made(64), made(7), *map(blocks_made, range(4))):
         assert cleaned(spark, rows) == whole(rows)
+
+
+def test_words_of_scripts_without_spaces_and_of_other_white_space(spark):
+    assert [words(x) for x in ("", " \t\r", "\u3000", "a  b ", "a\tb\xa0c\u3000d", "- x", "é ü", "。")] == [0, 0, 0, 2, 4, 2, 2, 1]
+    lines = ["这是一个关于里昂花园的问题，没有人浇水。", "これは庭についての質問です。", "นี่คือคำถามเกี่ยวกับสวนในเมือง", "one\ttwo\tthree\tfour\tfive",
+             "one\xa0two\xa0three\xa0four\xa0five"]
+    for x in lines:
+        assert words(x) >= 5 and cleaned(spark, [(1, f"first\n{x}"), (2, f"{x}\nsecond")]) == {1: f"first\n{x}", 2: "second"}
+    for x in ("你好。", "one      two", "one two three four", "\t\t\t\t\t\tone"):  # fewer than five words
+        assert cleaned(spark, [(1, x), (2, f"{x}\nsecond")])[2] == f"{x}\nsecond"
