@@ -3,7 +3,9 @@
 Lines that start with ``>`` are quotations; their nesting depth is the number of
 marks. Each maximal run of one depth is a passage. Passages, their paragraphs
 and their lines are normalised and hashed, and joined by (conversation, hash)
-to the same units of what messages say themselves (depth 0). A message answers
+to the same units of what messages say themselves (depth 0). A whole quoted
+passage counts at any length; only its paragraphs and lines of fewer than
+``LEAST`` characters do not count by themselves. A message answers
 the earlier message whose own words it quotes at the least depth, by the
 largest number of characters. Without such a link it answers the message before
 it. Depth and root of each message follow from pointer doubling; ordering a
@@ -26,7 +28,7 @@ from tessera.llm.common import written
 _MARK = re.compile(r"^(?:[ \t]?>)+[ \t]?")
 _ATTRIBUTION = re.compile(r"^.{0,200}\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.I)
 _NOISE = re.compile(r"[\W_]+")
-#: Units of fewer letters and digits are too common to identify an original.
+#: Parts of a quoted passage of fewer characters are too common to identify an original.
 LEAST = 12
 #: Turns of a block in which the message before is looked up.
 BLOCK = 4096
@@ -59,10 +61,14 @@ def own_text(runs: list[tuple[int, str]]) -> str:
     return "\n".join(p for d, p in runs if d == 0).strip()
 
 
-def units(passage: str) -> set[str]:
-    """The passage, its paragraphs and its lines, normalised; short ones left out."""
-    parts = {passage, *re.split(r"\n\s*\n", passage), *passage.split("\n")}
-    return {u for u in map(normalised, parts) if len(u) >= LEAST}
+def units(passage: str, least: int = LEAST) -> set[str]:
+    """The passage at any length, and its paragraphs and lines from ``least`` characters on, normalised.
+
+    A passage without letters or digits ("👍", "?!") stands for itself, lower-cased, with single spaces.
+    """
+    parts = {*re.split(r"\n\s*\n", passage), *passage.split("\n")}
+    whole = normalised(passage) or " ".join(passage.lower().split())
+    return {u for u in map(normalised, parts) if len(u) >= max(1, least)} | ({whole} if whole else set())
 
 
 def _parsed(batches):
@@ -71,7 +77,7 @@ def _parsed(batches):
         for conv, turn, role, text in zip(b.conv_id, b.turn, b.role, b.text):
             runs = parse(text or "")
             own = own_text(runs)
-            said = {*units(own), *(u for d, p in runs if d == 0 for u in units(p))}
+            said = {*units(own, 1), *(u for d, p in runs if d == 0 for u in units(p, 1))}
             quoted = {}
             for d, p in runs:
                 if d:
@@ -118,7 +124,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
     Defined cases: a null text is empty; rows with a null conv_id or turn come
     back parsed, unlinked, with a null root; rows that repeat (conv_id, turn)
-    each come back, their words and quotations count together; of originals
+    each come back, their words and quotations count together; a short passage
+    may be a whole message or one line or paragraph of it; of originals
     quoted at the same depth and length the latest is answered; a message links
     only to earlier turns, so there are no cycles; other columns are not read.
     """

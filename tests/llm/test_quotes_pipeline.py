@@ -38,6 +38,17 @@ def test_links_follow_quotations(spark):
     assert got[2, 9].text == "" and len(got) == len(rows)
 
 
+def test_short_messages_are_linked(spark):
+    rows = [(1, 0, "user", "Yes, sure"), (1, 1, "assistant", A), (1, 2, "user", "> Yes, sure\nThen do it."),
+            (2, 0, "user", "请问花园在哪里呢？"), (2, 1, "assistant", B), (2, 2, "user", "> 请问花园在哪里呢？\n里昂"),
+            (3, 0, "user", f"No.\n{A}"), (3, 1, "assistant", B), (3, 2, "user", "> No.\nWhy not?"),
+            (4, 0, "user", "\U0001f44d"), (4, 1, "assistant", B), (4, 2, "user", "> \U0001f44d\nGreat."),
+            (5, 0, "user", f"ok\n{A}"), (5, 1, "assistant", C), (5, 2, "user", f"ok\n{B}"), (5, 3, "user", f"> ok\n> {A}\nWell")]
+    got = links(spark, rows)
+    assert {k: (r.reply_to, r.linked) for k, r in got.items() if k[1] == 2 and k[0] < 5} == {(c, 2): (0, True) for c in (1, 2, 3, 4)}
+    assert got[5, 3].reply_to == 0 and got[1, 2].quoted_chars == 8 and got[4, 2].quoted_chars == 1
+
+
 def test_a_long_conversation_and_repeats(spark, monkeypatch):
     import tessera.llm.quotes as Q
     monkeypatch.setattr(Q, "BLOCK", 8)
