@@ -14,6 +14,7 @@ from tessera.llm.quotes import link_quotes
 from tessera.llm.simhash import simhash_groups
 from tessera.llm.token_counts import token_counts
 from tessera.llm.warc import warc_round_trip
+from tessera.llm.whitening import whiten
 
 
 def tokenizer_file(name: str) -> str:
@@ -82,6 +83,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           tokenizer_file("byte_bpe_50k.tiktoken"), limit=2048)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), k=4)
+
+
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
     return url_filters.url_filter(table(spark, sf_dir, "pages"), rules)
@@ -89,5 +94,6 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quotation_linking, op2_exact_dedup, op3_language_id, op4_line_dedup, op5_toxicity, op6_simhash,
-    op7_token_counts, op8_decontamination, op9_warc, op10_best_fit_packing, op13_url_filters)}
+    op7_token_counts, op8_decontamination, op9_warc, op10_best_fit_packing, op11_embedding_whitening,
+    op13_url_filters)}
 ORACLE = {"op2_exact_dedup": _dedup.SQL, "op13_url_filters": url_filters.SQL}
