@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup as _dedup
-from tessera.llm import language_id, line_dedup, toxicity, url_filters
+from tessera.llm import language_id, lexical_search, line_dedup, toxicity, url_filters
 from tessera.llm.common import table
 from tessera.llm.decontaminate import contaminated
 from tessera.llm.packing import pack_documents
@@ -87,13 +87,17 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), k=4)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, url_filters.RULES))} AS r(host, path, verdict)")
     return url_filters.url_filter(table(spark, sf_dir, "pages"), rules)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_quotation_linking, op2_exact_dedup, op3_language_id, op4_line_dedup, op5_toxicity, op6_simhash,
     op7_token_counts, op8_decontamination, op9_warc, op10_best_fit_packing, op11_embedding_whitening,
-    op13_url_filters)}
-ORACLE = {"op2_exact_dedup": _dedup.SQL, "op13_url_filters": url_filters.SQL}
+    op12_lexical_search, op13_url_filters)}
+ORACLE = {"op2_exact_dedup": _dedup.SQL, "op12_lexical_search": lexical_search.SQL, "op13_url_filters": url_filters.SQL}
