@@ -6,34 +6,14 @@ import pytest
 
 from tessera.llm.line_dedup import line_dedup, words
 
-from .test_lines_leaks import made
-
-
-def whole(rows, min_words=5):
-    """Text of each document without its common substrings of lines with any earlier document."""
-    docs = {d: t.split("\n") for d, t in rows}
-    out = {}
-    for d, a in docs.items():
-        gone = set()
-        for e, b in docs.items():
-            if e >= d:
-                continue
-            for i in range(len(a)):
-                for j in range(len(b)):
-                    n = 0
-                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and a[i + n].strip():
-                        n += 1
-                    if sum(len(x.split()) for x in a[i:i + n]) >= min_words:
-                        gone |= set(range(i, i + n))
-        out[d] = "\n".join(x for i, x in enumerate(a) if i not in gone)
-    return out
+from .test_lines_leaks import made, whole
 
 
 def cleaned(spark, rows, **more):
     return {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), **more).collect()}
 
 
-@pytest.mark.parametrize("copies", [60, 70, 500])
+@pytest.mark.parametrize("copies", [60, 70, 5000])
 def test_a_passage_of_short_lines_goes_at_any_number_of_copies(spark, copies):
     lines = [f"left{k} right{k}" for k in range(30)]
     rows = [(k, f"{x}\nalone {k}") for k, x in enumerate(lines)]  # each line occurs earlier elsewhere
@@ -66,6 +46,14 @@ def test_all_blocks_of_all_earlier_documents_go(spark):
         assert cleaned(spark, rows) == whole(rows)
 
 
+def test_a_holder_of_many_later_ones_is_met_in_chunks(spark, monkeypatch):
+    from tessera.llm import line_dedup as module
+    monkeypatch.setattr(module, "CHUNK", 8)
+    rows = [(d, "\n".join([f"own line {d}", "one two three four five", "six seven", "eight nine ten", f"end {d}"][:3 + d % 3])) for d in range(300)]
+    for rare in (1, 16, 1000):
+        assert cleaned(spark, rows, rare=rare) == whole(rows)
+
+
 def test_words_of_scripts_without_spaces_and_of_other_white_space(spark):
     assert [words(x) for x in ("", " \t\r", "\u3000", "a  b ", "a\tb\xa0c\u3000d", "- x", "é ü", "。")] == [0, 0, 0, 2, 4, 2, 2, 1]
     lines = ["这是一个关于里昂花园的问题，没有人浇水。", "これは庭についての質問です。", "นี่คือคำถามเกี่ยวกับสวนในเมือง", "one\ttwo\tthree\tfour\tfive",

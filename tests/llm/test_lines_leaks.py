@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate as D
-from tessera.llm.line_dedup import line_dedup, patience
+from tessera.llm.line_dedup import Earlier, line_dedup, patience, recursive_patience
 
 
 @settings(max_examples=300, deadline=None)
@@ -21,35 +21,40 @@ def test_patience_blocks_are_common_and_increasing(a, b):
         assert patience(a, b) == [(0, 0, len(a))]
 
 
-def brute_lines(rows, min_words=5, rare=64):
-    """The operator's rule with plain loops: pairs by shared lines, patience, blocks."""
-    docs = {d: t.split("\n") for d, t in rows if d is not None and t is not None}
-    where = {}
-    for d, ls in docs.items():
-        for x in ls:
-            if x.strip(" "):
-                where.setdefault(x, []).append(d)
-    shared = {x: sorted(set(ds)) for x, ds in where.items() if len(set(ds)) > 1}
-    pairs = set()
-    for x, ds in shared.items():
-        pairs |= {(d, ds[0]) for d in ds[1:]}
-        if len(where[x]) <= rare:
-            pairs |= set(zip(ds[1:], ds))
-    gone = {d: set() for d in docs}
-    for late, early in pairs:
-        a = [(i, x) for i, x in enumerate(docs[late]) if x in shared]
-        b = [(i, x) for i, x in enumerate(docs[early]) if x in shared]
-        for i, j, n in patience([x for _, x in a], [x for _, x in b]):
-            runs = [[0]]
-            for k in range(1, n):
-                if a[i + k][0] == a[i + k - 1][0] + 1 and b[j + k][0] == b[j + k - 1][0] + 1:
-                    runs[-1].append(k)
-                else:
-                    runs.append([k])
-            for r in runs:
-                if sum(a[i + k][1].count(" ") + 1 for k in r) >= min_words:
-                    gone[late] |= {a[i + k][0] for k in r}
-    return {d: "\n".join(x for i, x in enumerate(ls) if i not in gone[d]) for d, ls in docs.items()}
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=25), st.lists(st.integers(0, 6), max_size=25))
+def test_alignment_finds_every_common_block(a, b):
+    """Line 0 is blank, line k has k words; blocks of five words, against all pairs of substrings."""
+    found = recursive_patience(a, b)
+    assert all(a[i:i + n] == b[j:j + n] for i, j, n in found)
+    assert sum(n for *_, n in found) == len({i + k for i, _, n in found for k in range(n)}) == len({j + k for _, j, n in found for k in range(n)})
+    want = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] > 0:
+                n += 1
+            if sum(a[i:i + n]) >= 5:
+                want |= set(range(i, i + n))
+    assert Earlier(b, b, 5).common(a, a) == want
+
+
+def whole(rows, min_words=5):
+    """Each document without its common substrings of lines, of ``min_words`` words at least, with any earlier document."""
+    out, where = {}, {}
+    for d, t in sorted({r for r in rows if None not in r}):
+        a, gone = t.split("\n"), set()
+        for i, x in enumerate(a):
+            for b, j in where.get(x, ()):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and a[i + n].strip():
+                    n += 1
+                if sum(len(y.split()) for y in a[i:i + n]) >= min_words:
+                    gone |= set(range(i, i + n))
+        for j, x in enumerate(a):
+            where.setdefault(x, []).append((a, j))
+        out[d] = "\n".join(x for i, x in enumerate(a) if i not in gone)
+    return out
 
 
 def made(seed, n=60):
@@ -70,13 +75,13 @@ def made(seed, n=60):
 def test_line_dedup_equals_brute_force(spark, rare):
     rows = made(rare)
     got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), rare=rare)
-    assert {r.doc_id: r.text for r in got.collect()} == brute_lines(rows, rare=rare)
+    assert {r.doc_id: r.text for r in got.collect()} == whole(rows)
 
 
 def test_line_dedup_keeps_the_first_holder_and_clean_rows(spark, documents, odd, clash, empty):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     got = {r.doc_id: r for r in line_dedup(documents).collect()}
-    assert {d: r.text for d, r in got.items()} == brute_lines(rows)
+    assert {d: r.text for d, r in got.items()} == whole(rows)
     assert got[rows[0][0]] is not None and len(got) == len(rows)
     left = set()
     for d, t in sorted(rows):
@@ -94,7 +99,7 @@ def test_line_dedup_of_repeated_rows(spark):
     rows = made(5, 30)
     df = spark.createDataFrame(rows * 2, "doc_id long, text string")
     got = line_dedup(df).collect()
-    want = brute_lines(rows)
+    want = whole(rows)
     assert len(got) == 2 * len(rows) and all(r.text == want[r.doc_id] for r in got)
 
 

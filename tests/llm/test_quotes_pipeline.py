@@ -7,7 +7,7 @@ from tessera.llm.queries import QUERIES, tokenizer_file
 from tessera.llm.quotes import link_quotes, parse
 
 from .test_dedup_simhash import brute_fingerprint, brute_groups
-from .test_lines_leaks import brute_lines
+from .test_lines_leaks import whole
 
 A, B, C = "The first question is about the gardens of Lyon.", "Nobody waters the gardens after midnight.", "So the gardens dry out entirely."
 
@@ -91,7 +91,7 @@ def test_every_stage_equals_its_brute_force(spark, stages):
     before, after, _ = stages["language"]
     assert len(after) >= 0.98 * len(before) and {r.doc_id for r in after} <= {r.doc_id for r in before}
     before, after, _ = stages["line_dedup"]
-    assert {r.doc_id: r.text for r in after} == brute_lines([(r.doc_id, r.text) for r in before])
+    assert {r.doc_id: r.text for r in after} == whole([(r.doc_id, r.text) for r in before])
     assert all(r.n_chars == len(r.text) for r in after)
     before, after, _ = stages["near_dedup"]
     comp = brute_groups([(r.doc_id, r.text) for r in before])
