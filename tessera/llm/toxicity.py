@@ -20,10 +20,12 @@ among the learnable labels, unless it is given.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ from tessera.llm.common import written
 POSITIVES, UNLABELLED, FEATURES, BAGS = 5_000, 20_000, 4_096, 4
 #: A word or beginning is a feature if its share among positives exceeds that among unlabelled rows by so many deviations.
 LEAST_Z = 4.0
+#: Features after which a batch of rows is passed on, and rows of the samples for each task.
+HELD, TASK_ROWS = 1 << 15, 1_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -46,6 +50,24 @@ def features(text: str) -> set[str]:
     return {"=" + w for w in own} | {w[:k] for w in own for k in range(3, min(7, len(w)) + 1)}
 
 
+def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row, p, u, bag of each row with the sorted features of its text.
+
+    A batch ends when its rows have ``HELD`` features, so it holds that many and
+    those of one text more, whatever the number and the length of the texts.
+    """
+    for b in batches:
+        lo, ends, found = 0, [0], []
+        for i in range(b.num_rows):
+            found += sorted(features(b.column("text")[i].as_py()))
+            ends.append(len(found))
+            if len(found) >= HELD or i == b.num_rows - 1:
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.string()))
+                cols = [b.column(c).slice(lo, i + 1 - lo) for c in ("row", "p", "u", "bag")]
+                yield pa.RecordBatch.from_arrays([*cols, lists], names=["row", "p", "u", "bag", "words"])
+                lo, ends, found = i + 1, [0], []
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
@@ -111,14 +133,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None =
     drawn = texts.join(F.broadcast(ids), "doc_id", "left_semi").withColumns({"p": F.lit(1), "u": F.lit(0)}) \
         .unionByName(texts.where(part("text") < min(1.0, unlabelled / n_texts)).withColumns({"p": F.lit(0), "u": F.lit(1)}))
 
-    def tokens(batches):
-        for b in batches:
-            yield pd.DataFrame({"row": b.row, "p": b.p, "u": b.u, "bag": b.bag, "words": [sorted(features(t)) for t in b.text]})
-
+    # a fixed number of rows for a task: a shuffle's own number may fold into one
+    parts = max(1, int(min(positives, n_pos) + min(unlabelled, n_texts)) // TASK_ROWS)
     rows = drawn.select(F.xxhash64("text").cast("string").alias("row"), "p", "u", "text") \
-        .groupBy("row").agg(F.max("p").alias("p"), F.max("u").alias("u"), F.any_value("text").alias("text")) \
+        .groupBy("row").agg(F.max("p").alias("p"), F.max("u").alias("u"), F.any_value("text").alias("text")).repartition(parts, "row") \
         .withColumn("bag", F.pmod(F.hash("row"), F.lit(bags)))
-    sample = written(rows.mapInPandas(tokens, "row string, p int, u int, bag int, words array<string>"), "toxic-sample")
+    sample = written(rows.mapInArrow(tokens, "row string, p int, u int, bag int, words array<string>"), "toxic-sample")
     k = sample.agg(F.sum("p").alias("p"), F.sum("u").alias("u")).first()
     if not k.p or not k.u:
         return Model({}, float(np.log(prior / (1 - prior))))

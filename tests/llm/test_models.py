@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import language_id, toxicity
@@ -110,6 +111,33 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
 
 
+def test_toxicity_batches_are_bounded_by_features():
+    """10,000 texts and one of 20 MB: no batch holds more than the bound and one text."""
+    import pyarrow as pa
+    texts = [f"some words of text number {'abcdefghij'[i % 10] * 5} and{'x' * (i % 50)}" for i in range(10_000)]
+    texts.insert(5_000, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(4_000_000)))
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"row": [str(i) for i in range(n)], "p": [0] * n, "u": [1] * n, "bag": [0] * n, "text": texts})
+    rows, most = 0, 0
+    for out in toxicity.tokens(iter([batch])):
+        sizes = out.column("words").value_lengths().to_pylist()
+        assert sum(sizes[:-1]) < toxicity.HELD
+        assert out.column("words")[0].as_py() == sorted(toxicity.features(texts[rows]))
+        rows, most = rows + out.num_rows, max(most, out.nbytes)
+    assert rows == n and most < 4 << 20
+
+
+def test_toxicity_counts_equal_texts_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(["good", "fine", "warm", "sunny", "river", "stone"], 6)) + (" vile" if i % 7 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(0, 400, 2)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    copies = docs.unionByName(docs.where("doc_id < 30").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("k"))
+    a, b = (toxicity.fit(d, labels, F.lit(True)) for d in (docs, copies))
+    assert a.weights.keys() == b.weights.keys() and "=vile" in a.weights
+    assert a.bias == pytest.approx(b.bias) and all(b.weights[w] == pytest.approx(v) for w, v in a.weights.items())
+
+
 def test_toxicity_odd_rows(spark, odd, empty, clash):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (6, 0), (99, 1)], "doc_id long, toxic int")
     model = toxicity.fit(clash(odd), labels, F.lit(True))
