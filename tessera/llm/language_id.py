@@ -4,22 +4,27 @@ A text is lower-cased; everything that is no letter becomes a single space. Its
 character n-grams of one to three letters are hashed to ``DIM`` counts, weighted
 by inverse document frequency and normalised to length one. Each language has
 several centroids, found by spherical k-means in a task of its own. A text gets
-the language of the centroid with the largest cosine; it is rejected when it is
-farther from that centroid than texts of this language and length are.
-
-How far those are is measured over all rows that may be learned from, not over
-the sample, where the nearest centroid is of the row's own language: the ``LOW`` quantile of their cosines, for each language and band of
-length (powers of two of the number of n-grams, as short texts have low cosines;
-one band for those of about one word). Of n rows the floor is this quantile
-times n / (n + ``TRUST``), so that a few rows reject little. A band in which a
-language has fewer than ``ENOUGH`` rows takes those of all languages, and, as
-long as these are too few, those of shorter bands, down to one word.
-
-Fitting uses a sample of about ``per_lang`` rows of each of at most
-``MAX_LANGS`` languages (those with the most rows, at least ``MIN_ROWS`` each),
-chosen by a hash of doc_id; whole texts are read. Only counts by language, the
-document frequencies, the centroids and a quantile for each language and band
-reach the driver: all bounded.
+the language of the centroid with the largest cosine, of equal ones the first
+language by name. It is rejected when it is farther from that centroid than
+texts of this language and length are, or when the best centroid of another
+language is nearer, in proportion, than it is to them: a language that was not
+learned lies between those that were.
+
+How far and how near those are is measured over all rows that may be learned
+from, not over the sample, where the nearest centroid is of the row's own
+language: the ``LOW``/2 quantile of their cosines and the 1 - ``LOW``/4 quantile of
+the second language's share of it, for each language and band of length (powers
+of two of the number of n-grams, as short texts have low cosines; one band for
+those of about one word). With n rows the bounds count for n / (n + ``TRUST``)
+and n / (n + ``TRUST_NEAR``), so that a few rows reject little. A band in which a language has fewer than
+``ENOUGH`` rows takes those of all languages, and, as long as these are too few,
+those of shorter bands, down to one word.
+
+Fitting uses a sample of about ``per_lang`` rows of each language, chosen by a
+hash of doc_id; whole texts are read, and every language with a row that may be
+learned from is learned. Only counts by language, the document frequencies, the
+centroids (48 KB for a language) and two quantiles for each language and band
+reach the driver: they grow with the languages, not with the rows.
 """
 
 from __future__ import annotations
@@ -34,9 +39,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 
 DIM = 4096
-PER_LANG, MAX_LANGS, MIN_ROWS, CENTROIDS = 1000, 512, 3, 3
-#: Quantile of the cosines that the floor starts from; rows at which half of it counts; rows that do for a band.
-LOW, TRUST, ENOUGH = 0.001, 20, 50
+PER_LANG, CENTROIDS = 1000, 3
+#: Share of rows beyond the bounds (half of it below the floor, a quarter beyond the second); rows at which half of each counts; rows that do for a band.
+LOW, TRUST, TRUST_NEAR, ENOUGH = 0.001, 20, 200, 50
 #: Bands of length; texts of fewer than 2^SHORT n-grams (about 15 letters) are one band.
 BANDS, SHORT = 40, 6
 _BLOCK = 1 << 20
@@ -105,17 +110,29 @@ class Model:
     langs: list[str]          # of each centroid
     centroids: np.ndarray     # rows of length one
     floor: np.ndarray         # by centroid and band: the cosine below which its language is rejected
+    near: np.ndarray          # likewise: the share of the second language above which it is
     idf: np.ndarray
 
+    def __post_init__(self):
+        # centroids are ordered by language
+        self.starts = [i for i, x in enumerate(self.langs) if not i or x != self.langs[i - 1]]
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, cosine, rejected); ``und`` without a letter."""
         c = counts(text) if text else None
         if c is None or not self.langs:
             return "und", 0.0, True
-        sims = self.centroids @ vector(c, self.idf)
-        k = int(np.argmax(sims))
-        s = float(min(1.0, max(0.0, sims[k])))
-        return self.langs[k], s, bool(s < self.floor[k, band(c)])
+        k, s, second = nearest(self.centroids @ vector(c, self.idf), self.starts)
+        at = band(c)
+        return self.langs[k], s, bool(s < self.floor[k, at] or second > self.near[k, at])
+
+
+def nearest(sims: np.ndarray, starts: list[int]) -> tuple[int, float, float]:
+    """The nearest centroid, its cosine (0 to 1), and the share of it that the best of another language has."""
+    k = int(np.argmax(sims))
+    s = float(min(1.0, max(0.0, sims[k])))
+    best = np.sort(np.maximum.reduceat(sims, starts))
+    return k, s, min(1.0, max(0.0, float(best[-2])) / s) if len(starts) > 1 and s else 0.0
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -141,46 +158,48 @@ def _group(k: int, idf: np.ndarray):
     return run
 
 
-def _floors(rows: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.ndarray, low: float) -> dict[str, np.ndarray]:
-    """For each language its floors by band, from the cosines of all ``rows`` that are told right."""
+def _bounds(rows: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.ndarray, low: float) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each language its floors and second shares by band, from all ``rows`` that are told right."""
+    starts = Model(langs, centroids, None, None, idf).starts
+
     def cosines(batches):
         for b in batches:
             got = []
             for lang, t in zip(b.lang, b.text):
                 if (c := counts(t)) is not None:
-                    sims = centroids @ vector(c, idf)
-                    k = int(np.argmax(sims))
+                    k, s, second = nearest(centroids @ vector(c, idf), starts)
                     if langs[k] == lang:
-                        got.append((lang, band(c), float(sims[k])))
-            yield pd.DataFrame(got, columns=["lang", "band", "cosine"])
+                        got.append((lang, band(c), s, second))
+            yield pd.DataFrame(got, columns=["lang", "band", "cosine", "second"])
 
-    found = rows.select("lang", "text").mapInPandas(cosines, "lang string, band int, cosine double") \
-        .rollup("band", "lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("cosine", low, 10000).alias("q")) \
+    found = rows.select("lang", "text").mapInPandas(cosines, "lang string, band int, cosine double, second double") \
+        .rollup("band", "lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("cosine", low / 2, 10000).alias("q"),
+                                    F.percentile_approx("second", 1 - low / 4, 10000).alias("r")) \
         .where("band IS NOT NULL").collect()
-    at = {(r.lang, r.band): (r.n, r.q) for r in found}  # of all languages where lang is null
+    at = {(r.lang, r.band): (r.n, r.q, r.r) for r in found}  # of all languages where lang is null
     out = {}
     for x in set(langs):
-        floor = np.zeros(BANDS)
+        floor, near = np.zeros(BANDS), np.ones(BANDS)
         for k in range(BANDS):
-            n, q, j = 0, 1.0, k
+            n, q, r, j = 0, 1.0, 0.0, k
             while n < ENOUGH and j >= 0:
-                one = at.get((x, j), (0, 1.0))
-                m, least = one if one[0] >= ENOUGH else at.get((None, j), (0, 1.0))
-                n, q, j = n + m, min(q, least), j - 1
-            floor[k] = q * n / (n + TRUST)
-        out[x] = floor
+                one = at.get((x, j), (0, 1.0, 0.0))
+                m, least, most = one if one[0] >= ENOUGH else at.get((None, j), (0, 1.0, 0.0))
+                n, q, r, j = n + m, min(q, least), max(r, most), j - 1
+            floor[k], near[k] = q * n / (n + TRUST), 1 - (1 - r) * n / (n + TRUST_NEAR)
+        out[x] = floor, near
     return out
 
 
 def fit(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, centroids: int = CENTROIDS, low: float = LOW) -> Model:
     """Learn from text and non-null lang of the rows for which ``learn`` holds."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    n = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS)
-         .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    n = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    none = np.zeros((0, BANDS))
     if not n:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, BANDS)), np.ones(DIM))
-    share = F.element_at(F.create_map(*[F.lit(v) for lang, k in n.items() for v in (lang, min(1.0, per_lang / k))]), F.col("lang"))
-    drawn = rows.where(F.col("lang").isin(*n) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share * (1 << 30)))
+        return Model([], np.zeros((0, DIM), np.float32), none, none, np.ones(DIM))
+    share = F.element_at(F.create_map(*[F.lit(v) for lang, k in sorted(n.items()) for v in (lang, min(1.0, per_lang / k))]), F.col("lang"))
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share * (1 << 30))
 
     def count(batches):
         for b in batches:
@@ -207,9 +226,9 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = PER_LANG, centroids: int
     c = np.stack([np.frombuffer(r.centroid, np.float32) for r in got]) if got else np.zeros((0, DIM), np.float32)
     langs = [r.lang for r in got]
     if not langs:
-        return Model([], c, np.zeros((0, BANDS)), idf)
-    floors = _floors(rows, langs, c, idf, low)
-    return Model(langs, c, np.array([floors[x] for x in langs]), idf)
+        return Model([], c, none, none, idf)
+    bounds = _bounds(rows, langs, c, idf, low)
+    return Model(langs, c, np.array([bounds[x][0] for x in langs]), np.array([bounds[x][1] for x in langs]), idf)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
