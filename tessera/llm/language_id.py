@@ -12,7 +12,7 @@ learned lies between those that were.
 
 How far and how near those are is measured over all rows that may be learned
 from, not over the sample, where the nearest centroid is of the row's own
-language: the ``LOW``/2 quantile of their cosines and the 1 - ``LOW``/4 quantile of
+language: the ``LOW``/2 quantile of their cosines and the 1 - ``LOW``/2 quantile of
 the second language's share of it, for each language and band of length (powers
 of two of the number of n-grams, as short texts have low cosines; one band for
 those of about one word). With n rows the bounds count for n / (n + ``TRUST``)
@@ -40,8 +40,10 @@ from tessera.llm.common import written
 
 DIM = 4096
 PER_LANG, CENTROIDS = 1000, 3
-#: Share of rows beyond the bounds (half of it below the floor, a quarter beyond the second); rows at which half of each counts; rows that do for a band.
-LOW, TRUST, TRUST_NEAR, ENOUGH = 0.001, 20, 200, 50
+#: Share of rows beyond the bounds , half beyond each; rows at which half of each counts; rows that do for a band.
+LOW, TRUST, TRUST_NEAR, ENOUGH = 0.001, 20, 50, 50
+#: Share of the way from 1 to the quantile at which the second language is too near.
+SOFT = 0.85
 #: Bands of length; texts of fewer than 2^SHORT n-grams (about 15 letters) are one band.
 BANDS, SHORT = 40, 6
 _BLOCK = 1 << 20
@@ -174,7 +176,7 @@ def _bounds(rows: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.nd
 
     found = rows.select("lang", "text").mapInPandas(cosines, "lang string, band int, cosine double, second double") \
         .rollup("band", "lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("cosine", low / 2, 10000).alias("q"),
-                                    F.percentile_approx("second", 1 - low / 4, 10000).alias("r")) \
+                                    F.percentile_approx("second", 1 - low / 2, 10000).alias("r")) \
         .where("band IS NOT NULL").collect()
     at = {(r.lang, r.band): (r.n, r.q, r.r) for r in found}  # of all languages where lang is null
     out = {}
@@ -186,7 +188,7 @@ def _bounds(rows: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.nd
                 one = at.get((x, j), (0, 1.0, 0.0))
                 m, least, most = one if one[0] >= ENOUGH else at.get((None, j), (0, 1.0, 0.0))
                 n, q, r, j = n + m, min(q, least), max(r, most), j - 1
-            floor[k], near[k] = q * n / (n + TRUST), 1 - (1 - r) * n / (n + TRUST_NEAR)
+            floor[k], near[k] = q * n / (n + TRUST), 1 - (1 - r) * SOFT * n / (n + TRUST_NEAR)
         out[x] = floor, near
     return out
 
