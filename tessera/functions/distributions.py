@@ -1,12 +1,4 @@
-"""Distribution tails for test statistics.
-
-The regularised beta and gamma functions are those of the math library that
-Spark itself ships in the JVM; they are called from the driver on the few rows
-of a finished test statistic, so no Python worker runs for a p-value. Beyond
-``MANY`` degrees of freedom the limits are used (normal for t, chi-square for
-F): they differ by less than one over the degrees of freedom, where the beta
-function of such arguments loses its digits.
-"""
+"""The Shapiro-Wilk test of a bounded sample (tails as columns are in ``special``)."""
 
 from __future__ import annotations
 
@@ -14,69 +6,7 @@ import math
 from statistics import NormalDist
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
-
-
-MANY = 1e7
-
-
-def _jvm(spark: SparkSession | None):
-    return (spark or SparkSession.active()).sparkContext._jvm.org.apache.commons.math3.special
-
-
-def _lower_beta(x: float, a: float, b: float, spark=None) -> float:
-    return 0.0 if x <= 0 else 1.0 if x >= 1 else float(_jvm(spark).Beta.regularizedBeta(float(x), float(a), float(b)))
-
-
-def f_sf(f: float, d1: float, d2: float, spark=None) -> float | None:
-    """P(F > f) for F(d1, d2); None if it is not defined."""
-    if f is None or not np.isfinite(f) or d1 <= 0 or d2 <= 0:
-        return None
-    if f <= 0:
-        return 1.0
-    if d2 > MANY:
-        return chi2_sf(d1 * f, d1, spark)
-    return 1.0 - _lower_beta(d1 * f / (d2 + d1 * f), d1 / 2.0, d2 / 2.0, spark)
-
-
-def chi2_sf(x: float, k: float, spark=None) -> float | None:
-    """P(X > x) for chi-square with k degrees of freedom."""
-    if x is None or not np.isfinite(x) or k <= 0:
-        return None
-    return 1.0 if x <= 0 else float(_jvm(spark).Gamma.regularizedGammaQ(k / 2.0, x / 2.0))
-
-
-def t_two_sided(t: float, df: float, spark=None) -> float | None:
-    """Two-sided tail of Student's t."""
-    if t is None or df <= 0 or math.isnan(t):
-        return None
-    if math.isinf(t):
-        return 0.0
-    if df > MANY:
-        return math.erfc(abs(t) / math.sqrt(2.0))
-    return 1.0 - _lower_beta(t * t / (df + t * t), 0.5, df / 2.0, spark)
-
-
-def pearson_p(r: float, n: float, spark=None) -> float | None:
-    """Two-sided p of Pearson r with n pairs (t test, n - 2 df)."""
-    if r is None or n is None or n < 3 or not np.isfinite(r):
-        return None
-    if abs(r) >= 1.0:
-        return 0.0
-    return t_two_sided(r * math.sqrt((n - 2.0) / (1.0 - r * r)), n - 2.0, spark)
-
-
-def with_p(stats: DataFrame, p, schema: str) -> DataFrame:
-    """``stats``, a frame of a few finished statistics, as rows that ``p(row, spark)`` makes."""
-    spark = stats.sparkSession
-    return spark.createDataFrame([p(r, spark) for r in stats.collect()], schema)
-
-
-def rounded(x: float | None, digits: int = 4) -> float | None:
-    return None if x is None else float(np.rint(x * 10 ** digits) / 10 ** digits)
-
 
-# -------------------------------------------------------------- Shapiro-Wilk
 _ND = NormalDist()
 
 

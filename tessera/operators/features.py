@@ -91,13 +91,16 @@ def dominant(sales: DataFrame, key: str, out: str, date: str = "order_date",
 
 
 def features(sales: DataFrame, date: str = "order_date", series: Sequence[str] = ()) -> DataFrame:
-    """M6: daily + calendar + lags + rolling + encoders, nulls -> 0."""
+    """M6: daily + calendar + lags + rolling + encoders, nulls -> 0.
+
+    A column that tells the series apart is constant within each: it gets no encoder.
+    """
     d = daily(sales, date, series)
     d = rolling(lags(calendar(d, date), date=date, series=series), date=date, series=series)
-    cat = dominant(sales, "product_category", "category_enc", date, series).drop("product_category")
-    reg = dominant(sales, "region", "region_enc", date, series).drop("region")
     keys = [*series, date]
-    d = d.join(cat, keys, "left").join(reg, keys, "left")
+    for key, out in (("product_category", "category_enc"), ("region", "region_enc")):
+        if key not in series:
+            d = d.join(dominant(sales, key, out, date, series).drop(key), keys, "left")
     num = [c for c in d.columns if c not in keys]
     return d.fillna(0, subset=num)
 

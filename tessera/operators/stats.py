@@ -2,22 +2,24 @@
 
 All moments are algebraic aggregates (partial per task, merged once), so they
 run in one pass with bounded state whatever the skew. Test statistics are
-formed on the small aggregated frames; p-values of the finished statistics come
-from ``tessera.functions.distributions`` on the driver.
+formed on the small aggregated frames, and their p-values are column
+expressions of ``tessera.functions.special`` beside them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import distributions as D
 from tessera.functions.numeric import money_sum, round_half_even
 from tessera.functions.quantiles import long_values, percentiles
+from tessera.functions.special import anderson_darling_p, chi2_sf, f_sf, lilliefors_p, ln_normal_sf, pearson_p
 from tessera.functions.windows import running_sum
 from tessera.params import AbcParams
+from tessera.session import materialize
 
 # The columns of the descriptive table and of the normality tests.
 DESC_COLS = ("age", "unit_price", "discount", "total_sales", "customer_rating", "quantity", "shipping_days")
@@ -76,11 +78,15 @@ def _anova(df: DataFrame, value: str = "total_sales", group: str = "region") ->
 
 def anova_test(df: DataFrame, value: str = "total_sales", group: str = "region") -> DataFrame:
     """A3 with p; without a second group or any spread within groups, p is null."""
-    def row(r, spark):
-        p = D.f_sf(r["_f"], r["df_between"], r["df_within"], spark)
-        return r["f_stat"], r["df_between"], r["df_within"], D.rounded(p), None if p is None else p < 0.05
-    return D.with_p(_anova(df, value, group), row,
-                    "f_stat double, df_between long, df_within long, p_value double, significant boolean")
+    p = f_sf(F.col("_f"), F.col("df_between"), F.col("df_within"))
+    return _with_p(_anova(df, value, group), p, ["f_stat", "df_between", "df_within"])
+
+
+def _with_p(stats: DataFrame, p: Column, cols: Sequence[str], significant: bool = True) -> DataFrame:
+    """``cols`` of a frame of statistics with p_value (4 places) and whether it is below 0.05."""
+    out = stats.withColumn("_p", p).select(*cols, "_p")
+    return out.select(*cols, round_half_even(F.col("_p"), 4).alias("p_value"),
+                      *([(F.col("_p") < 0.05).alias("significant")] if significant else []))
 
 
 def group_means(df: DataFrame, value: str = "total_sales", group: str = "region") -> DataFrame:
@@ -132,10 +138,7 @@ def _chi_square(df: DataFrame, a: str = "payment_method", b: str = "gender") ->
 
 def chi_square_test(df: DataFrame, a: str = "payment_method", b: str = "gender") -> DataFrame:
     """A6 with p; without two values of both columns p is null."""
-    def row(r, spark):
-        p = D.chi2_sf(r["_chi2"], r["dof"] or 0, spark)
-        return r["chi2_stat"], r["dof"], D.rounded(p), None if p is None else p < 0.05
-    return D.with_p(_chi_square(df, a, b), row, "chi2_stat double, dof long, p_value double, significant boolean")
+    return _with_p(_chi_square(df, a, b), chi2_sf(F.col("_chi2"), F.col("dof")), ["chi2_stat", "dof"])
 
 
 # ------------------------------------------------------------------ A7, A8
@@ -171,9 +174,7 @@ def _pearson(df: DataFrame, cols: Sequence[str] = DESC_COLS, listwise: bool = Tr
 
 def pearson_test(df: DataFrame, cols: Sequence[str] = DESC_COLS) -> DataFrame:
     """A7 with p; a constant column has a null r and a null p."""
-    def row(r, spark):
-        return r["c1"], r["c2"], r["n"], r["r"], D.rounded(D.pearson_p(r["_r"], r["n"], spark))
-    return D.with_p(_pearson(df, cols), row, "c1 string, c2 string, n long, r double, p_value double")
+    return _with_p(_pearson(df, cols), pearson_p(F.col("_r"), F.col("n")), ["c1", "c2", "n", "r"], significant=False)
 
 
 def corr_matrix(df: DataFrame, cols=("age", "quantity", "unit_price", "discount", "total_sales",
@@ -301,26 +302,48 @@ def jarque_bera(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
                     round_half_even(F.exp(-jb / 2.0), 4).alias("p_value"))
 
 
-def ks_normal(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
-    """Full-data normality companion: one-sample Kolmogorov-Smirnov test of
-    each column against a normal with the column's mean and sample std
-    (Spark ML's test sorts the column distributed by range, no sample)."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
+def normality_full(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
+    """A2 over all rows: Anderson-Darling and Lilliefors tests of each column.
 
+    Both compare the ranks of all values with a normal of the column's own mean
+    and standard deviation, so their p-values are those for estimated parameters
+    (a plain Kolmogorov-Smirnov p is far too large then). Equal values fall
+    together with their count; their ranks come from running totals over range
+    slices, so no column is sorted in one task. Nulls and NaN are left out; a
+    column of fewer than five values, without spread, or with an infinite value
+    has null results.
+    """
     cols = _present(df, cols)
-    m = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))]).first()
-    out = None
-    for c in cols:
-        if m[f"s_{c}"] is None or m[f"s_{c}"] <= 0:  # fewer than two values, or all equal: nothing to test
-            part = df.sparkSession.createDataFrame([(c, None, None)], "column string, ks_stat double, p_value double")
-            out = part if out is None else out.unionByName(part)
-            continue
-        x = df.select(F.col(c).cast("double").alias(c)).where(F.col(c).isNotNull() & ~F.isnan(c))
-        r = KolmogorovSmirnovTest.test(x, c, "norm", float(m[f"m_{c}"]), float(m[f"s_{c}"]))
-        part = r.select(F.lit(c).alias("column"), round_half_even(F.col("statistic"), 4).alias("ks_stat"),
-                        round_half_even(F.col("pValue"), 4).alias("p_value"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    counts = materialize(long_values(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c")))
+    ranked = running_sum(counts, "c", [F.col("v")], "upto", partition_by=["column"])
+    # moments round the least value, as sums of counts: no second pass over the rows
+    m = counts.groupBy("column").agg(F.sum("c").alias("n"), F.min("v").alias("x0"), F.max("v").alias("x1"))
+    off = counts.join(F.broadcast(m), "column").withColumn("u", F.col("v") - F.col("x0"))  # one row per column
+    m = off.groupBy("column", "n", "x0", "x1").agg((F.sum(F.col("c") * F.col("u")) / F.first("n")).alias("mu"))
+    dev = F.col("v") - F.col("x0") - F.col("mu")
+    m = counts.join(F.broadcast(m), "column").groupBy("column", "n", "x0", "x1", "mu").agg(
+        F.sqrt(F.sum(F.col("c") * dev * dev) / (F.first("n") - 1)).alias("sd"))
+    ok = (F.col("n") >= 5) & (F.col("sd") > 0) & (F.col("x1") < float("inf")) & (F.col("x0") > -float("inf"))
+    x = ranked.join(F.broadcast(m.withColumn("ok", ok)), "column").withColumn("z", F.when(F.col("ok"), dev / F.col("sd")))
+    x = x.withColumns({"above": ln_normal_sf(F.col("z")), "under": ln_normal_sf(-F.col("z"))})
+    n, c, hi = (F.col(k).cast("double") for k in ("n", "c", "upto"))
+    lo = hi - c
+    # ranks lo+1 .. hi of equal values: their weights 2i - 1 add up to hi^2 - lo^2, those from the other end likewise
+    a2 = -F.first(n) - F.sum(c * (lo + hi) * F.col("under") + c * (2 * n - lo - hi) * F.col("above")) / F.first(n)
+    cdf = F.exp("under")
+    d = F.max(F.greatest(hi / n - cdf, cdf - lo / n))
+    out = x.groupBy("column").agg(F.first("n").alias("n"), a2.alias("a2"), d.alias("d"))
+    out = out.withColumns({"pa": anderson_darling_p(F.col("a2"), F.col("n")), "pl": lilliefors_p(F.col("d"), F.col("n"))})
+    known = F.col("a2").isNotNull()
+    return out.select("column", "n", round_half_even(F.col("a2"), 4).alias("ad_stat"),
+                      F.when(known, round_half_even(F.col("pa"), 4)).alias("ad_p"), round_half_even(F.col("d"), 6).alias("lf_stat"),
+                      F.when(known, round_half_even(F.col("pl"), 4)).alias("lf_p"),
+                      F.when(known, F.when(F.col("pa") > 0.05, "Yes").otherwise("No")).alias("normal"))
+
+
+def ks_normal(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFrame:
+    """The Kolmogorov-Smirnov distance of each column to its own normal, with its Lilliefors p."""
+    return normality_full(df, cols).select("column", F.col("lf_stat").alias("ks_stat"), F.col("lf_p").alias("p_value"))
 
 
 def run_analysis(df: DataFrame, p: AbcParams = AbcParams()) -> dict[str, DataFrame]:

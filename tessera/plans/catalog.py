@@ -210,13 +210,12 @@ QUERIES["forecast_daily"] = _daily_forecast
 def _by_region(spark, sf_dir):
     """M12 in its parallel form: one forest over all regions' days, a forecast for each region."""
     s = sales(spark, sf_dir).where("region IS NOT NULL")
-    feat = M.features(s, series=("region",)).drop("region_enc")
-    return FC.forecast_daily(FC.fit(feat, ForecastParams(n_estimators=50), series=("region",)), s)
+    return FC.forecast_daily(FC.fit(M.features(s, series=("region",)), series=("region",)), s)
 
 
 def _strict(spark, sf_dir):
     """M8 without same-day features: test metrics of what is known the day before."""
-    fc = FC.fit(M.features(sales(spark, sf_dir)), ForecastParams(strict_features=True, n_estimators=50))
+    fc = FC.fit(M.features(sales(spark, sf_dir)), ForecastParams(strict_features=True))
     return FC.metrics_of(FC.evaluation(fc))
 
 
@@ -300,6 +299,7 @@ QUERIES["forecast_band"] = lambda spark, sf_dir: FC.empirical_band(fitted(spark,
                                                                    _daily_forecast(spark, sf_dir))
 QUERIES["geo_consistency"] = lambda spark, sf_dir: Q.geo_consistency(cleaned(spark, sf_dir).clean)
 _on_sales("ks_normal", S.ks_normal)
+_on_sales("normality_full", S.normality_full)
 
 # ---------------------------------------------------------------- the same operators over raw rows (nulls, copies, outliers) and cleaned rows
 for _name, _op in {"describe": S.describe, "pearson": S.pearson, "corr_matrix": S.corr_matrix, "contingency": S.contingency,

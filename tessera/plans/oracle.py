@@ -478,6 +478,56 @@ p AS (SELECT x, dof, exp(-x / 2) * (SELECT sum(pow(s.x / 2, i) / gamma(i + 1)) F
 SELECT {r2('x', 4)} AS chi2_stat, CAST(dof AS BIGINT) AS dof, {r2('p', 4)} AS p_value, p < 0.05 AS significant
 FROM p WHERE dof % 2 = 0""")
 
+# Student's t as the continued fraction of the incomplete beta function, from its last term back
+_FRACTION = """list_reduce(list_concat([1.0], list_transform(range(CAST(200 + 12 * sqrt(greatest(a, b)) AS BIGINT), 0, -1),
+  lambda i: CASE WHEN i % 2 = 0 THEN (i // 2) * (b - i // 2) * x / ((a + i - 1) * (a + i))
+                 ELSE -(a + i // 2) * (a + b + i // 2) * x / ((a + i - 1) * (a + i)) END)), lambda f, d: 1.0 + d / f)"""
+register("pearson_test", "WITH c AS (SELECT * FROM sales WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _DESC) + "),\ns AS ("
+         + " UNION ALL ".join(f"SELECT '{x}' AS c1, '{y}' AS c2, count(*) AS n, corr({x}, {y}) AS r FROM c" for x, y in _pairs(_DESC)) + f"""),
+t AS (SELECT *, r * r AS x0, 0.5 AS a0, (n - 2) / 2.0 AS b0 FROM s),
+q AS (SELECT *, x0 < (a0 + 1) / (a0 + b0 + 2) AS low FROM t),
+u AS (SELECT *, CASE WHEN low THEN x0 ELSE 1 - x0 END AS x, CASE WHEN low THEN a0 ELSE b0 END AS a,
+             CASE WHEN low THEN b0 ELSE a0 END AS b FROM q),
+w AS (SELECT *, exp(a * ln(x) + b * ln(1 - x) + lgamma(a + b) - lgamma(a) - lgamma(b)) / a / {_FRACTION} AS i FROM u)
+SELECT c1, c2, n, {r2('r', 3)} AS r, {r2('CASE WHEN low THEN 1 - i ELSE i END', 4)} AS p_value FROM w""")
+
+
+def _ln_normal_sf(z: str) -> str:
+    """ln P(Z > z): power series within 2.5 deviations, Mills' continued fraction beyond."""
+    series, fraction = "1.0", "u"
+    for k in range(32, 0, -1):
+        series = f"(1 + {z} * {z} / {2 * k + 1} * {series})"
+    for k in range(50, 0, -1):
+        fraction = f"(u + {k} / {fraction})"
+    far = f"(-u * u / 2 - 0.5 * ln(2 * pi()) - ln({fraction}))"
+    return (f"CASE WHEN {z} > 2.5 THEN {far} WHEN {z} < -2.5 THEN ln(1 - exp({far})) "
+            f"ELSE ln(0.5 - {z} * {series} * exp(-{z} * {z} / 2) / sqrt(2 * pi())) END")
+
+
+_NORMAL = ("age", "unit_price", "total_sales", "customer_rating", "discount")
+_POLY = {0.5: (2.76773, -19.828315, 80.709644, -138.55152, 81.218052), 0.9: (-4.901232, 40.662806, -97.490286, 94.029866, -32.355711),
+         1.31: (6.198765, -19.558097, 23.186922, -12.234627, 2.423045)}
+_RANKS = f"""
+WITH l AS ({' UNION ALL '.join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM sales WHERE {c} IS NOT NULL" for c in _NORMAL)}),
+m AS (SELECT col, count(*) AS n, avg(v) AS mu, stddev_samp(v) AS sd FROM l GROUP BY col),
+r AS (SELECT col, n, (v - mu) / sd AS z, row_number() OVER (PARTITION BY col ORDER BY v) AS i, count(*) OVER (PARTITION BY col ORDER BY v) AS hi,
+             count(*) OVER (PARTITION BY col, v) AS c FROM l JOIN m USING (col)),
+e AS (SELECT *, greatest(abs(z), 2.5) AS u FROM r),
+f AS (SELECT *, {_ln_normal_sf('z')} AS above, {_ln_normal_sf('(-z)')} AS under FROM e),
+s AS (SELECT col, any_value(n) AS n, -any_value(n) - sum((2 * i - 1) * under + (2 * n + 1 - 2 * i) * above) / any_value(n) AS a2,
+             max(greatest(CAST(hi AS DOUBLE) / n - exp(under), exp(under) - CAST(hi - c AS DOUBLE) / n)) AS d FROM f GROUP BY col),
+t AS (SELECT *, a2 * (1 + 0.75 / n + 2.25 / (CAST(n AS DOUBLE) * n)) AS a, CASE WHEN n > 100 THEN d * pow(n / 100.0, 0.49) ELSE d END AS kd,
+             least(n, 100.0) AS nd, (sqrt(n) - 0.01 + 0.85 / sqrt(n)) * d AS k FROM s),
+p AS (SELECT *, CASE WHEN a < 0.2 THEN 1 - exp(-13.436 + 101.14 * a - 223.73 * a * a) WHEN a < 0.34 THEN 1 - exp(-8.318 + 42.796 * a - 59.938 * a * a)
+             WHEN a < 0.6 THEN exp(0.9177 - 4.279 * a - 1.38 * a * a) WHEN a < 10 THEN exp(1.2937 - 5.709 * a + 0.0186 * a * a) ELSE 3.7e-24 END AS pa,
+             exp(-7.01256 * kd * kd * (nd + 2.78019) + 2.99587 * kd * sqrt(nd + 2.78019) - 0.122119 + 0.974598 / sqrt(nd) + 1.67997 / nd) AS p0 FROM t),
+o AS (SELECT *, CASE WHEN p0 <= 0.1 THEN p0 WHEN k <= 0.302 THEN 1.0
+             {' '.join(f"WHEN k <= {x} THEN " + ' + '.join(f'({c}) * pow(k, {j})' for j, c in enumerate(cs)) for x, cs in _POLY.items())} ELSE 0.0 END AS pl FROM p)"""
+register("normality_full", f"""{_RANKS}
+SELECT col AS column, n, {r2('a2', 4)} AS ad_stat, {r2('pa', 4)} AS ad_p, {r2('d', 6)} AS lf_stat, {r2('pl', 4)} AS lf_p,
+       CASE WHEN pa > 0.05 THEN 'Yes' ELSE 'No' END AS normal FROM o""")
+register("ks_normal", f"{_RANKS} SELECT col AS column, {r2('d', 6)} AS ks_stat, {r2('pl', 4)} AS p_value FROM o")
+
 # ---------------------------------------------------------------- samples: the smallest md5 of the key
 _KEY = ("order_id", "product_name", "quantity", "shipping_days", "return_flag", "CAST(round(total_sales * 100) AS BIGINT)")
 
