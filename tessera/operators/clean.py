@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -146,14 +146,30 @@ def fill_values(df: DataFrame, p: CleaningParams = CleaningParams()) -> dict:
     vals: dict = {}
     if num:
         vals.update({r["column"]: r["value"] for r in percentiles(df, num, [0.5]).collect()})
-    if cat:
-        # mode with ties to the smallest value; one map per column bounded by
-        # the number of categories
-        row = df.agg(*[F.mode(c, True).alias(c) for c in cat]).first()
-        vals.update({c: row[c] for c in cat})
+    vals.update(modes(df, cat))
     return vals
 
 
+def modes(df: DataFrame, cols) -> dict:
+    """C11: the commonest value of each column, of equally common ones the smallest ({column: value}).
+
+    Values are counted by a hash aggregate over all columns at once (copies fall
+    together in each task before the shuffle) and the counts are compared by a
+    second one: no map of a column's distinct values is ever in one task.
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    kinds = {df.schema[c].dataType for c in cols}
+    if len(kinds) > 1:  # columns of one type share a scan
+        return {c: v for k in kinds for c, v in modes(df, [c for c in cols if df.schema[c].dataType == k]).items()}
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(cols)])).alias("x")
+    counts = df.select(values).where("x.v IS NOT NULL").groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("i").agg(F.min_by("v", F.struct(-F.col("n"), "v")).alias("v"))
+    found = {cols[r.i]: r.v for r in best.collect()}  # one row for each column
+    return {c: found.get(c) for c in cols}
+
+
 def impute_missing(df: DataFrame, p: CleaningParams = CleaningParams(), values: dict | None = None) -> DataFrame:
     """Fill numeric nulls with the exact median, categorical with the mode."""
     vals = values if values is not None else fill_values(df, p)
@@ -254,8 +270,8 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
 
     dedup = count_copies(nan_to_null(raw))
     staged = fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
-    # every later global aggregate scans this frame: pin it once
-    staged = materialize(staged, p.materialize)
+    # every later global aggregate scans this frame: pin it once, and count on the way
+    staged, before = counted(staged, quality.staged_counters(staged, p), p.materialize)
     # one distributed selection serves the upper-median date and the numeric
     # medians (both read the staged table)
     num = [c for c in p.median_cols if c in staged.columns]
@@ -266,14 +282,29 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
         F.col("order_date"), F.date_from_unix_date(F.lit(md).cast("int")) if md is not None else F.lit(None).cast("date")))
     cat = [c for c in p.mode_cols if c in dated.columns]
     fills = {c: meds[c]["value"] for c in num if c in meds}
-    if cat:
-        row = dated.agg(*[F.mode(c, True).alias(c) for c in cat]).first()
-        fills.update({c: row[c] for c in cat})
+    fills.update(modes(dated, cat))
     imputed = impute_missing(dated, p, fills)
     cap_cols = [c for c in p.outlier_cols if c in imputed.columns]
     bounds = {r["column"]: r.asDict() for r in iqr_bounds(imputed, cap_cols, p.iqr_factor).collect()} \
         if cap_cols else {}
     capped = cap_outliers(imputed, p, {c: (b["lo"], b["hi"]) for c, b in bounds.items()})
     final = type_cast(recompute_derived(capped, p.half_even))
-    clean = final.drop(*FLAGS, "_mult", "_cells", *[c for c in final.columns if c.startswith("_cap_")])
-    return CleanResult(clean, lambda: quality.build_report(raw.columns, staged, final, clean, bounds, fills, p))
+    hidden = [*FLAGS, "_mult", "_cells", *[c for c in final.columns if c.startswith("_cap_")]]
+    final, after = counted(final, quality.final_counters(final, final.drop(*hidden).columns, p), p.materialize)
+    clean = final.drop(*hidden)
+    return CleanResult(clean, lambda: quality.build_report(raw.columns, staged, clean, before(), after(), bounds, fills, p))
+
+
+def counted(df: DataFrame, counters: dict, mode: str = "checkpoint"):
+    """``df`` pinned, and a function that gives the values of the aggregates ``counters``.
+
+    A written frame is observed by the job that writes it: the counters are
+    those of the tasks whose rows were committed, and no scan follows. Other
+    modes write nothing, so their counters are an aggregate of their own.
+    """
+    exprs = [c.alias(n) for n, c in counters.items()]
+    if mode != "checkpoint":
+        out = materialize(df, mode)
+        return out, lambda: out.agg(*exprs).first().asDict()
+    seen = Observation()
+    return materialize(df.observe(seen, *exprs), mode), lambda: seen.get

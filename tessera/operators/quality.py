@@ -1,9 +1,8 @@
 """Data-quality measures: raw profile (S2), validation (C18), score (C19),
 issue listing (C20).
 
-Every counter is an aggregate over the frame of the step that produced it;
-the report row is one aggregate over the staged frame, with the few totals of
-the other steps (one-row aggregates) attached as literals.
+The counters are observed by the jobs that write the staged and the final
+frame (``clean.counted``); the report row is made of their values.
 """
 
 from __future__ import annotations
@@ -87,49 +86,51 @@ def dq_score(raw_rows: Column, final_rows: Column, final_cols: Column, final_nul
     return round_half_even(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)), 1)
 
 
-def build_report(raw_columns: list[str], staged: DataFrame, final: DataFrame, clean: DataFrame, bounds: dict,
-                 fills: dict, p: CleaningParams = CleaningParams()):
-    """Assemble (report, issues, validation) for a ``clean_sales`` run.
+def _present(df: DataFrame, cols) -> list[str]:
+    return [c for c in cols if c in df.columns]
 
-    Two aggregates over the staged table: one of the counters of the raw and
-    staged rows (``_mult`` copies of each stand for the raw rows), one of the
-    final rows with their cap flags and the validation checks. Their two rows
-    meet as literals.
-    """
-    from tessera.operators.clean import string_columns
 
-    num = [c for c in p.median_cols if c in staged.columns]
-    cat = [c for c in p.mode_cols if c in staged.columns]
+def staged_counters(staged: DataFrame, p: CleaningParams = CleaningParams()) -> dict[str, Column]:
+    """What the report counts of the raw and staged rows (``_mult`` copies of each stand for the raw rows)."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    flags = {"invalid_dates": "_bad_date", "gender_variants_fixed": "_g_fixed", "unknown_genders": "_g_unknown",
+             "negative_qty_fixed": "_neg_qty", "bad_ratings_nulled": "_bad_rating"}
+    return {"raw_rows": total(F.col("_mult")), "raw_nulls": total(F.col("_mult") * F.col("_cells")), "staged_rows": F.count(F.lit(1)),
+            **{n: F.count_if(F.col(c)) if c in staged.columns else F.lit(0).cast("long") for n, c in flags.items()},
+            **{f"missing_{c}": F.count_if(F.col(c).isNull()) for c in _present(staged, [*p.median_cols, *p.mode_cols])}}
+
+
+def final_counters(final: DataFrame, columns: list[str], p: CleaningParams = CleaningParams()) -> dict[str, Column]:
+    """What the report counts of the final rows: nulls of ``columns``, capped values, violations of each check."""
     caps = [c for c in p.outlier_cols if f"_cap_{c}" in final.columns]
-    checks = [f"c{i}" for i in range(len(CHECKS))]
-    one = final.agg(F.count(F.lit(1)).alias("rows"), _nulls(final, clean.columns).alias("nulls"),
-                    *[F.count_if(F.col(f"_cap_{c}")).alias(f"capped_{c}") for c in caps],
-                    *[v.cast("long").alias(n) for v, n in zip(violation_counts(final, p), checks)]).first()
-    val = clean.sparkSession.createDataFrame(
-        [(label, one[n], one[n] == 0) for label, n in zip(CHECKS, checks)], "check string, violations long, passed boolean")
-    failed = sum(1 for n in checks if one[n])
+    return {"rows": F.count(F.lit(1)), "nulls": _nulls(final, columns), **{f"capped_{c}": F.count_if(F.col(f"_cap_{c}")) for c in caps},
+            **{f"c{i}": v.cast("long") for i, v in enumerate(violation_counts(final, p))}}
+
+
+def build_report(raw_columns: list[str], staged: DataFrame, clean: DataFrame, before: dict, after: dict, bounds: dict,
+                 fills: dict, p: CleaningParams = CleaningParams()):
+    """Assemble (report, issues, validation) of a ``clean_sales`` run from its counters; nothing is scanned."""
+    from tessera.operators.clean import string_columns
+
+    spark = clean.sparkSession
+    num, cat = _present(staged, p.median_cols), _present(staged, p.mode_cols)
+    caps = [c for c in p.outlier_cols if f"capped_{c}" in after]
+    checks = [after[f"c{i}"] for i in range(len(CHECKS))]
+    val = spark.createDataFrame([(label, n, n == 0) for label, n in zip(CHECKS, checks)],
+                                "check string, violations long, passed boolean")
     # string columns when the whitespace step runs (after date parsing)
     ws_cols = len([c for c in string_columns(staged) if c != "order_date"])
-
-    lit = lambda v, t="long": F.lit(v).cast(t)
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    report = staged.agg(
-        total("_mult").alias("raw_rows"), F.lit(len(raw_columns)).alias("raw_cols"),
-        total(F.col("_mult") * F.col("_cells")).alias("raw_nulls"),
-        (total("_mult") - F.count(F.lit(1))).alias("raw_duplicates"),
-        (total("_mult") - F.count(F.lit(1))).alias("duplicates_removed"),
-        F.count_if("_bad_date").alias("invalid_dates"),
-        F.count_if("_g_fixed").alias("gender_variants_fixed"),
-        F.count_if("_g_unknown").alias("unknown_genders"),
-        F.count_if("_neg_qty").alias("negative_qty_fixed"),
-        F.count_if("_bad_rating").alias("bad_ratings_nulled"),
-        F.lit(ws_cols).alias("whitespace_cols"),
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in num + cat],
-    ).select(
-        "*", *[lit(one[f"capped_{c}"]).alias(f"capped_{c}") for c in caps],
-        lit(one["rows"]).alias("final_rows"), F.lit(len(clean.columns)).alias("final_cols"),
-        lit(one["nulls"]).alias("final_nulls"), lit(failed).alias("failed_checks"),
-    )
+    long = lambda v: F.lit(v).cast("long")
+    copies = before["raw_rows"] - before["staged_rows"]
+    row = {"raw_rows": long(before["raw_rows"]), "raw_cols": F.lit(len(raw_columns)), "raw_nulls": long(before["raw_nulls"]),
+           "raw_duplicates": long(copies), "duplicates_removed": long(copies),
+           **{n: long(before[n]) for n in ("invalid_dates", "gender_variants_fixed", "unknown_genders", "negative_qty_fixed",
+                                           "bad_ratings_nulled")},
+           "whitespace_cols": F.lit(ws_cols), **{f"missing_{c}": long(before[f"missing_{c}"]) for c in num + cat},
+           **{f"capped_{c}": long(after[f"capped_{c}"]) for c in caps},
+           "final_rows": long(after["rows"]), "final_cols": F.lit(len(clean.columns)), "final_nulls": long(after["nulls"]),
+           "failed_checks": long(sum(1 for n in checks if n))}
+    report = spark.range(1).select(*[c.alias(n) for n, c in row.items()])
     report = report.withColumn("dq_score", dq_score(
         F.col("raw_rows"), F.col("final_rows"), F.col("final_cols"), F.col("final_nulls"),
         F.col("invalid_dates"), F.col("negative_qty_fixed"), F.col("bad_ratings_nulled"),
