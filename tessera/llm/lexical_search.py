@@ -9,6 +9,11 @@ owner has of the bundle's terms in this shard, adds their integer contributions,
 and sends the items on. The last stage sends only each item's best documents of
 the shard, from which the best of all are chosen.
 
+Documents' terms that no item has are left out where they are counted, by a
+bitmap of ``MASK`` bits over the CRC of the items' terms: it has this size
+whatever the number of terms, and what passes it by chance finds no match in
+the vocabulary.
+
 A group holds the accumulators of at most ``BUNDLE`` items over ``SHARD``
 documents, whatever the size of the corpus or the frequency of a term; a term
 that all documents hold is spread over all shards. Every posting is counted.
@@ -17,6 +22,7 @@ that all documents hold is spread over all shards. Every posting is counted.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -31,11 +37,12 @@ from tessera.llm.common import salted, written
 SHARD, BUNDLE = 1 << 12, 1 << 8
 OWNERS = 4
 #: Texts are matched by about so many bytes at a time, and results yielded by so many terms.
-CHUNK, YIELD = 1 << 20, 1 << 18
+CHUNK, YIELD = 1 << 20, 1 << 15
 #: A term: ASCII letters and digits and everything beyond ASCII (in UTF-8: all bytes from 0x80 on).
 TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 GAP = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 TERM_SALTS = 16
+MASK = 1 << 20
 
 
 def term_counts(text: str | None) -> Counter:
@@ -50,8 +57,18 @@ def term_counts(text: str | None) -> Counter:
     return out
 
 
-def _term_rows(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """A written table of one row per row: uid, key, n, terms, counts.
+def term_mask(terms: DataFrame) -> bytes:
+    """A byte for each of ``MASK`` remainders of CRC-32: 1 where some term (column term) has it."""
+    at = F.crc32("term") % MASK
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    words = np.zeros(MASK // 64, np.uint64)
+    for r in terms.groupBy(F.floor(at / 64).cast("int").alias("word")).agg(F.bit_or(one).alias("bits")).collect():
+        words[r.word] = r.bits & (1 << 64) - 1  # at most MASK / 64 rows
+    return np.unpackbits(words.view(np.uint8), bitorder="little").tobytes()
+
+
+def _term_rows(rows: DataFrame, key: str, name: str, mask: bytes = b"\1" * MASK) -> DataFrame:
+    """A written table of one row per row: uid, key, n (all terms), and the terms that pass ``mask`` with their counts.
 
     Within a task, uids follow the key (nulls last): the order by uid inside a
     shard is the order by key.
@@ -60,19 +77,21 @@ def _term_rows(rows: DataFrame, key: str, name: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            lo, found, held = 0, [], 0
+            lo, n, ends, terms, counts = 0, [], [0], [], []
             for i, text in enumerate(b.column("text")):
-                found.append(term_counts(text.as_py()))
-                held += len(found[-1])
-                if held >= YIELD or i == b.num_rows - 1:
-                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                    terms = pa.array([t for c in found for t in c], pa.binary()).cast(pa.string())
-                    counts = pa.array([v for c in found for v in c.values()], pa.int64())
+                found = term_counts(text.as_py())
+                n.append(found.total())
+                own = [t for t in found if mask[zlib.crc32(t) % MASK]]
+                terms += own
+                counts += [found[t] for t in own]
+                ends.append(len(terms))
+                if len(terms) >= YIELD or i == b.num_rows - 1:
+                    at = pa.array(ends, pa.int32())
                     yield pa.RecordBatch.from_arrays([
-                        b.column("key").slice(lo, len(found)), pa.array([c.total() for c in found], pa.int64()),
-                        pa.ListArray.from_arrays(ends, terms), pa.ListArray.from_arrays(ends, counts)],
-                        names=["key", "n", "terms", "counts"])
-                    lo, found, held = i + 1, [], 0
+                        b.column("key").slice(lo, len(n)), pa.array(n, pa.int64()),
+                        pa.ListArray.from_arrays(at, pa.array(terms, pa.binary()).cast(pa.string())),
+                        pa.ListArray.from_arrays(at, pa.array(counts, pa.int64()))], names=["key", "n", "terms", "counts"])
+                    lo, n, ends, terms, counts = i + 1, [], [0], [], []
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("n", T.LongType()),
                            T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType()))])
@@ -139,14 +158,13 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, k1: int = 8, b: int =
     each time. A null doc_id ranks after all others of its score. Columns
     other than doc_id, item_id and text are not read. Empty tables give no rows.
     """
-    own = _term_rows(docs, "doc_id", "doc-terms")
     asked = _term_rows(items, "item_id", "item-terms").withColumn("bundle", F.shiftright("uid", BUNDLE.bit_length() - 1))
-    n_docs, n_terms = own.where("n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
-
     vocabulary = written(asked.select("bundle", F.explode("terms").alias("term")).groupBy("term")
                          .agg(F.collect_set("bundle").alias("bundles"))
                          .withColumn("tid", F.monotonically_increasing_id())
                          .withColumn("owner", F.pmod(F.xxhash64("term"), F.lit(owners)).cast("int")), "vocabulary")
+    own = _term_rows(docs, "doc_id", "doc-terms", term_mask(vocabulary))
+    n_docs, n_terms = own.where("n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
     # a frequent term has a row in very many documents: its postings meet the vocabulary in TERM_SALTS places
     flat = salted(own.select("uid", "n", F.explode(F.arrays_zip("terms", "counts")).alias("t")), "uid", TERM_SALTS)
     many = vocabulary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))))

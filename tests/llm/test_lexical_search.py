@@ -69,6 +69,19 @@ def test_many_equal_documents_and_a_very_frequent_word(spark, monkeypatch):
     assert rows(out) == brute(docs, items)
 
 
+def test_a_full_mask_lets_terms_pass_and_the_join_removes_them(spark, monkeypatch):
+    """With 64 bits for all terms most pass by chance; the result is the same."""
+    monkeypatch.setattr(lexical_search, "MASK", 64)
+    docs = [(i, " ".join(f"w{(i * k) % 37}" for k in range(1, 9))) for i in range(200)]
+    items = [(k, f"w{k} w{k + 5} zz") for k in range(12)]
+    out = search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows(out) == brute(docs, items)
+    terms = spark.createDataFrame([("é",), ("w1",)], "term string")
+    mask = lexical_search.term_mask(terms)
+    import zlib
+    assert [i for i in range(64) if mask[i]] == sorted({zlib.crc32(x.encode()) % 64 for x in ("é", "w1")})
+
+
 def test_empty_tables(spark, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b")], "item_id long, text string")
