@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import money_sum, round_half_even
 from tessera.operators.stats import dense
+from tessera.session import materialize
+
 
 def _share(col: str, digits: int = 2):
     # share of the (bounded, aggregated) total
@@ -33,6 +35,54 @@ def kpis(sales: DataFrame) -> DataFrame:
     )
 
 
+#: log2 of the buckets of a customer sketch: 16 KB for each, standard error 0.8 %.
+SKETCH_BITS = 14
+
+
+def customer_sketches(sales: DataFrame, date: str = "order_date", group: str = "region", customer: str = "customer_id") -> DataFrame:
+    """A15 as mergeable state: one HLL sketch of the customers of each month and group (month, group, sketch).
+
+    Stored once, it gives the distinct customers of any roll-up by a union of
+    sketches, and a new month only adds rows; a customer never is counted twice.
+    """
+    base = sales.where(F.col(date).isNotNull() & F.col(group).isNotNull() & F.col(customer).isNotNull())
+    return base.groupBy(F.trunc(date, "month").alias("month"), F.col(group).alias("group")).agg(
+        F.hll_sketch_agg(customer, SKETCH_BITS).alias("sketch"))
+
+
+def estimate_customers(sketches: DataFrame, by=()) -> DataFrame:
+    """Distinct customers of each combination of ``by`` (of month and group), from the united sketches."""
+    united = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*by).agg(united.alias("customers")) if by else sketches.agg(united.alias("customers")).where("customers IS NOT NULL")
+
+
+def sketch_error(bits: int = SKETCH_BITS, deviations: float = 4.0) -> float:
+    """Relative error of a united sketch at so many standard errors (1.04 over the root of its buckets)."""
+    return deviations * 1.04 / 2 ** (bits / 2)
+
+
+def distinct_customers(sales: DataFrame, date: str = "order_date", group: str = "region", customer: str = "customer_id") -> DataFrame:
+    """Distinct customers by month, by group and in all: the exact number, and whether the sketches' is within its bound.
+
+    (level, month, group, customers, within). The exact number takes one
+    shuffle of the distinct (month, group, customer); the sketches' roll-ups read
+    the stored sketches alone.
+    """
+    stored = materialize(customer_sketches(sales, date, group, customer))
+    base = materialize(sales.where(F.col(date).isNotNull() & F.col(group).isNotNull() & F.col(customer).isNotNull()).select(
+        F.trunc(date, "month").alias("month"), F.col(group).alias("group"), F.col(customer).alias("customer")).distinct())
+    out = None
+    for level, by in (("month_group", ["month", "group"]), ("month", ["month"]), ("group", ["group"]), ("all", [])):
+        exact = base.select(*by, "customer").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("level", F.lit(level))
+        about = estimate_customers(stored, by).withColumn("level", F.lit(level)).withColumnRenamed("customers", "e")
+        both = exact.join(about, ["level", *by])
+        bound = F.greatest(F.lit(1.0), F.col("n") * sketch_error())
+        part = both.select("level", *[F.col(c) if c in by else F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ("month", "group")],
+                           F.col("n").alias("customers"), (F.abs(F.col("e") - F.col("n")) <= bound).alias("within"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def revenue_by(sales: DataFrame, key: str) -> DataFrame:
     """Revenue per key; pandas group-by drops null keys, so we do too."""
     return (sales.where(F.col(key).isNotNull())

@@ -61,6 +61,7 @@ REPORTING = ReportingParams()
 
 # ---------------------------------------------------------------- marts
 _on_sales("kpis", marts.kpis)
+_on_sales("distinct_customers", marts.distinct_customers)
 _on_sales("top_entities", marts.top_entities)
 _on_sales("yearly_growth", marts.yearly_growth)
 _on_sales("regional", marts.regional)
@@ -243,15 +244,14 @@ _on_sales("violin", DI.violin)
 _on_sales("box", DI.box)
 
 # ---------------------------------------------------------------- sources and sinks
-import uuid as _uuid  # noqa: E402
-
 from tessera.sources import files as FI  # noqa: E402
-from tessera.session import scratch_path as _scratch  # noqa: E402
+from tessera.session import stage_path as _stage_path  # noqa: E402
+from tessera.sources import tables as FI_tables  # noqa: E402
 
 
 def _csv_roundtrip(spark, sf_dir):
     """S1 + S3: write the raw frame as CSV, read it back with the declared schema."""
-    path = _scratch(spark, f"csv-{_uuid.uuid4().hex}")
+    path = _stage_path(spark, "csv")
     FI.write_table(sales_raw(spark, sf_dir), path, fmt="csv")
     return FI.read_csv(spark, path)
 
@@ -269,29 +269,50 @@ def _pipeline_report(spark, sf_dir):
                    "dq_report": cr.report, "dq_issues": cr.issues, "validation": cr.validation,
                    "ml_metrics": FC.metrics_of(FC.evaluation(fc)), "ml_cv": FC.cv_summary(FC.ts_cv(fc)),
                    "ml_importance": FC.importance(fc, 10), "ml_forecast": FC.forecast_monthly(daily_fc)})
-    base = _scratch(spark, f"reports-{_uuid.uuid4().hex}")
-    paths = FI.write_reports(tables, base)
-    out = None
-    for name, path in sorted(paths.items()):
-        part = spark.read.parquet(path).groupBy().count().select(_F.lit(name).alias("table"),
-                                                                 _F.col("count").alias("rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    base = _stage_path(spark, "reports")
+    FI.write_reports(tables, base)
+    return FI.check_reports(spark, base)
+
+
+def _csv_quarantine(spark, sf_dir):
+    """Lineitem as CSV lines, some of them broken, read back in two parts: lines by field and reason, and good rows."""
+    from pyspark.sql.types import StructField, StructType
+
+    li = FI_tables.read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", _F.to_date("l_shipdate").alias("l_shipdate"), "l_returnflag")
+    schema = StructType([StructField(f.name, f.dataType, f.name != "l_orderkey") for f in li.schema.fields])
+    k = _F.col("l_orderkey") * 7 + _F.col("l_linenumber")
+    text = {c: _F.col(c).cast("string") for c in li.columns}
+    text["l_quantity"] = _F.when(k % 97 == 0, "many").otherwise(text["l_quantity"])
+    text["l_extendedprice"] = _F.when(k % 89 == 0, "12,5 EUR").otherwise(text["l_extendedprice"])
+    text["l_shipdate"] = _F.when(k % 83 == 0, "99/99/9999").otherwise(text["l_shipdate"])
+    text["l_orderkey"] = _F.when(k % 79 == 0, "").otherwise(text["l_orderkey"])
+    cells = [_F.concat(_F.lit('"'), c, _F.lit('"')) if n == "l_extendedprice" else c for n, c in text.items()]
+    line = _F.concat_ws(",", *cells)
+    line = _F.when(k % 73 == 0, _F.concat(line, _F.lit(",more"))).when(k % 71 == 0, _F.concat_ws(",", *cells[:-2])).otherwise(line)
+    path = _stage_path(spark, "lines")
+    li.select(line.alias("value")).write.text(path)
+    good, bad = FI.read_quarantined(spark, path, schema, header=False)
+    reasons = bad.select(_F.explode("reasons").alias("r")).groupBy("r.field", "r.reason").agg(_F.count(_F.lit(1)).alias("rows"))
+    total = good.agg(_F.lit(None).cast("string").alias("field"), _F.lit("good").alias("reason"), _F.count(_F.lit(1)).alias("rows"))
+    return reasons.unionByName(total)
 
 
 def _model_save(spark, sf_dir):
-    """Save the fitted pipeline, its feature list and the encoders, read them back."""
+    """Save the pipeline, its feature list and the encoders, read them back, and score the test days from the saved trees."""
     fc, s = fitted(spark, sf_dir)
-    path = FC.save_model(fc, codes=FC.encoders(s))
-    nodes = spark.read.parquet(path.rstrip("/") + "/stages/*RandomForest*/data")
-    one = nodes.agg(_F.countDistinct("treeID").alias("trees"), _F.count(_F.lit(1)).alias("nodes"),
-                    _F.max("nodeData.id").alias("max_node_id"))
-    features = spark.read.parquet(f"{path}/feature_list").agg(_F.count(_F.lit(1)).alias("features"))
-    codes = spark.read.parquet(f"{path}/encoders").agg(_F.count(_F.lit(1)).alias("codes"))
-    return one.crossJoin(features).crossJoin(codes)  # three frames of one row
+    path = FC.save_model(fc, path=_stage_path(spark, "model"), codes=FC.encoders(s))
+    both = FC.score_saved(fc.model.transform(fc.test), path, out="again")
+    far = _F.abs(_F.col("again") - _F.col("prediction")) > 1e-9 * _F.greatest(_F.abs("prediction"), _F.lit(1.0))
+    codes = spark.read.parquet(f"{path}/encoders").agg(_F.count(_F.lit(1)).alias("codes")).scalar()
+    features = spark.read.parquet(f"{path}/feature_list").agg(_F.count(_F.lit(1)).alias("features")).scalar()
+    trees = spark.read.parquet(FC.node_path(path)).agg(_F.count_distinct("treeID").alias("trees")).scalar()
+    return both.agg(_F.count(_F.lit(1)).alias("test_days"), _F.count_if(far).alias("differ")).select(
+        "test_days", "differ", trees.alias("trees"), features.alias("features"), codes.alias("codes"))
 
 
 QUERIES["csv_roundtrip"] = _csv_roundtrip
+QUERIES["csv_quarantine"] = _csv_quarantine
 QUERIES["report_tables"] = _pipeline_report
 QUERIES["model_save"] = _model_save
 _on_sales("violin_density", DI.kde_by)

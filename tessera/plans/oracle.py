@@ -38,6 +38,14 @@ SELECT {msum('total_sales')} AS total_revenue, count(*) AS total_orders,
        count(DISTINCT customer_name) AS unique_customers
 FROM sales""")
 
+register("distinct_customers", """
+WITH d AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, region AS "group", customer_id AS c FROM sales
+           WHERE order_date IS NOT NULL AND region IS NOT NULL AND customer_id IS NOT NULL)
+SELECT CASE WHEN grouping(month) = 0 AND grouping("group") = 0 THEN 'month_group' WHEN grouping(month) = 0 THEN 'month'
+            WHEN grouping("group") = 0 THEN 'group' ELSE 'all' END AS level,
+       month, "group", count(DISTINCT c) AS customers, true AS within
+FROM d GROUP BY GROUPING SETS ((month, "group"), (month), ("group"), ())""", clean=True)
+
 register("top_entities", f"""
 SELECT dimension, top_value, revenue FROM (
   SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY revenue DESC, top_value) AS rn FROM (
@@ -528,6 +536,18 @@ SELECT col AS column, n, {r2('a2', 4)} AS ad_stat, {r2('pa', 4)} AS ad_p, {r2('d
        CASE WHEN pa > 0.05 THEN 'Yes' ELSE 'No' END AS normal FROM o""")
 register("ks_normal", f"{_RANKS} SELECT col AS column, {r2('d', 6)} AS ks_stat, {r2('pl', 4)} AS p_value FROM o")
 
+# ---------------------------------------------------------------- malformed lines: the faults that the query puts in
+ORACLE["csv_quarantine"] = """
+WITH k AS (SELECT l_orderkey * 7 + l_linenumber AS k FROM lineitem),
+w AS (SELECT k, k % 73 = 0 OR k % 71 = 0 AS wide FROM k),
+f AS (SELECT NULL AS field, 'columns' AS reason, count(*) AS rows FROM w WHERE wide
+      UNION ALL SELECT 'l_quantity', 'type', count(*) FROM w WHERE NOT wide AND k % 97 = 0
+      UNION ALL SELECT 'l_extendedprice', 'type', count(*) FROM w WHERE NOT wide AND k % 89 = 0
+      UNION ALL SELECT 'l_shipdate', 'type', count(*) FROM w WHERE NOT wide AND k % 83 = 0
+      UNION ALL SELECT 'l_orderkey', 'missing', count(*) FROM w WHERE NOT wide AND k % 79 = 0
+      UNION ALL SELECT NULL, 'good', count(*) FROM w WHERE NOT wide AND k % 97 <> 0 AND k % 89 <> 0 AND k % 83 <> 0 AND k % 79 <> 0)
+SELECT field, reason, rows FROM f WHERE rows > 0 OR reason = 'good'"""
+
 # ---------------------------------------------------------------- samples: the smallest md5 of the key
 _KEY = ("order_id", "product_name", "quantity", "shipping_days", "return_flag", "CAST(round(total_sales * 100) AS BIGINT)")
 
@@ -559,3 +579,21 @@ for _n in ON_RAW:
 for _n in ON_CLEAN:
     ORACLE[f"{_n}_clean"] = with_views(BODIES[_n], sales=C.chain().strip() + ",\nsales AS (SELECT * FROM clean)")
 ORACLE["box_raw"] = with_views(BODIES["box"].replace("customer_rating", "unit_price"), sales="sales AS (SELECT * FROM sales_raw)")
+
+# ---------------------------------------------------------------- the published report set: rows of every table, all intact
+_TABLES = {"descriptive": "describe", "anova": "anova_test", "region_means": "region_means", "chi_square": "chi_square_test",
+           "correlations": "pearson", "abc": "abc", "abc_tiers": "abc_tiers", "repeat": "repeat_customers", "returns": "return_rate",
+           "kpis": "kpis", "top_entities": "top_entities", "yearly_growth": "yearly_growth", "regional": "regional",
+           "loyalty": "loyalty", "top_products": "top_products"}
+_COUNTS = [f"SELECT '{t}' AS t, count(*) AS n FROM ({BODIES[b].strip()})" for t, b in _TABLES.items()]
+_COUNTS = [c.replace("LIMIT 10", "LIMIT 5") if "'top_products'" in c else c for c in _COUNTS]
+# fixed numbers of rows: tested columns, one report, six checks, one row of metrics, the ten first features
+_COUNTS += [f"SELECT '{t}', {n}" for t, n in {"normality": 5, "dq_report": 1, "validation": 6, "ml_metrics": 1, "ml_cv": 1, "ml_importance": 10}.items()]
+_COUNTS += ["""SELECT 'ml_forecast', count(DISTINCT date_trunc('month', d + CAST(i AS INTEGER)))
+  FROM (SELECT max(order_date) AS d FROM sales), generate_series(1, 90) g(i)""", f"SELECT 'dq_issues', count(*) FROM ({ORACLE['dq_issues']})"]
+ORACLE["report_tables"] = with_views('SELECT t AS "table", CAST(n AS BIGINT) AS rows, true AS intact FROM (' + "\nUNION ALL ".join(_COUNTS) + ")",
+                                     sales=C.chain().strip() + ",\nsales AS (SELECT * FROM clean)")
+register("model_save", f"""WITH {_DAILY}, {_dom('product_category', 'category_enc')}, {_dom('region', 'region_enc')},
+n AS (SELECT datediff('day', min(order_date), max(order_date)) + 1 AS n FROM daily)
+SELECT n - CAST(floor(n * 0.8) AS BIGINT) AS test_days, 0 AS differ, 200 AS trees, 19 AS features,
+       (SELECT count(DISTINCT product_category) FROM dom_product_category) + (SELECT count(DISTINCT region) FROM dom_region) AS codes FROM n""")

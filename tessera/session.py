@@ -96,6 +96,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a table that serves this session only: it is removed when the process ends."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _STAGES.append((spark, path))
+    return path
+
+
 @atexit.register
 def drop_stages() -> None:
     """Remove the stage tables of this process; they serve one session only."""
@@ -120,8 +127,7 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """
     if mode == "checkpoint":
         spark = df.sparkSession
-        path = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-        _STAGES.append((spark, path))
+        path = stage_path(spark, "stage")
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     if mode == "cache":
