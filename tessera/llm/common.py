@@ -9,7 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, stage_path
 
 #: Sub-groups into which the rows of one key are dealt (at most 62: they are bits of a long).
 SALTS = 32
@@ -28,11 +28,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet (in folders by the columns ``by``) in the shared folder and read it back.
 
+    The table serves this session and is removed when its process ends.
     Cuts lineage: what follows is recomputed from the table, so a lost executor
     costs only its own tasks. Unlike an RDD checkpoint it keeps columns pruned.
     """
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = stage_path(spark, name)
     df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -75,9 +76,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
 
     ``component`` is the smallest id reachable. Large-star and small-star steps
     alternate until nothing changes; every round is written to the shared
-    folder and only a checksum of it reaches the driver. A star's centre sends
-    its id by an aggregate with map-side combine, so a node with very many
-    neighbours is never gathered in one task. Nulls and loops are ignored.
+    folder and only a checksum of it reaches the driver. A star's centre finds
+    its least neighbour by an aggregate with map-side combine and meets its
+    edges again by (node, salt), so a node with very many neighbours is never
+    gathered in one task. Nulls and loops are ignored.
     """
     pairs = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")) \
         .where("u <> v").distinct()
@@ -87,11 +89,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: every neighbour larger than u goes to the least of u's neighbourhood
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = cur.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u") \
+        large = with_group(cur.select(F.col("v").alias("u"), F.col("u").alias("w")), ["u"], "w", {"_n": F.count(F.lit(1))},
+                           {"_n": F.sum("_n")}, keep=lambda g, least=least: g.join(least, "u")) \
             .select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and all its smaller neighbours go to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        small = with_group(large, ["u"], "v", {"m": F.min("v")}, {"m": F.min("m")})
         nxt = small.select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         cur = written(nxt, "cc")

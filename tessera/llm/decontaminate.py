@@ -28,6 +28,8 @@ Q, RATE, WINDOW = 9, 0.09, 400
 BLOCK_CHARS = 1 << 21
 #: Characters of documents that are searched together, and of one long text at a time.
 CHARS = 1 << 20
+#: Shared q-grams laid out at a time.
+HITS = 1 << 22
 _BITS = 22
 _INDEX: dict = {}
 
@@ -76,6 +78,16 @@ class Index:
     low: np.ndarray      # bit table over the top bits of a hash
     q: int
     rate: float
+    parts: tuple | None = None
+
+    def halves(self) -> tuple:
+        """This index as two, the first and the second half of its windows; made once."""
+        if self.parts is None:
+            mid, out = len(self.ids) // 2, []
+            for ids, texts, own, shift in ((self.ids[:mid], self.texts[:mid], self.item < mid, 0), (self.ids[mid:], self.texts[mid:], self.item >= mid, mid)):
+                out.append(Index(ids, texts, self.grams[own], self.item[own] - shift, self.pos[own], self.low, self.q, self.rate))
+            self.parts = tuple(out)
+        return self.parts
 
 
 def build(items: list[tuple], q: int = Q, rate: float = RATE) -> Index:
@@ -138,6 +150,13 @@ def search(index: Index, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
     total = int(n.sum())
     if not total:
         return []
+    if total > HITS:
+        if len(index.ids) > 1:
+            (a, b), mid = index.halves(), len(index.ids) // 2
+            return search(a, codes) + [(mid + w, *rest) for w, *rest in search(b, codes)]
+        size = 4 * len(index.texts[0])  # longer than any occurrence
+        if len(codes) > 4 * size:  # stretches that overlap by that much hold each of them whole
+            return [(w, a + at, z + at, e) for at in range(0, len(codes), 2 * size) for w, a, z, e in search(index, codes[at:at + 3 * size])]
     k = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
     win, pos = index.item[k], index.pos[k]
     sizes = np.array([len(t) for t in index.texts])
@@ -182,7 +201,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
     """(doc_id, item_id, edits, start_char, end_char): each document and item with an occurrence, the best one.
 
     Places are in the normalised text. Defined cases: null and empty texts, and
-    items that are null or shorter than ``q`` characters, match nothing; rows
+    items that are null or empty, match nothing; an item of fewer than ``q``
+    characters matches where it stands unchanged, also inside a word; rows
     that repeat a document or an item fall together; rows with a null doc_id
     are searched and come back with a null; other columns are not read. Whole
     texts are searched, long ones in overlapping stretches.
@@ -207,10 +227,9 @@ def _blocks(benchmark: DataFrame, q: int, window: int):
     for r in items.toLocalIterator():
         t = normalised(r.text)
         last = max(0, len(t) - window)
-        for a in sorted({*range(0, last, window // 2), last}):
-            if len(t) >= q:
-                block.append((r.item_id, t[a:a + window]))
-                held += min(len(t), window)
+        for a in sorted({*range(0, last, window // 2), last} if t else ()):
+            block.append((r.item_id, t[a:a + window]))
+            held += min(len(t), window)
         if held >= BLOCK_CHARS:
             yield sorted(block, key=str)
             block, held = [], 0
@@ -218,13 +237,26 @@ def _blocks(benchmark: DataFrame, q: int, window: int):
         yield sorted(block, key=str)
 
 
+def _short(items: list[tuple]):
+    """An automaton over items that are too short for a q-gram; None without any."""
+    import ahocorasick
+    found = ahocorasick.Automaton()
+    for i, t in items:
+        if t not in found:
+            found.add_word(t, (len(t), []))
+        found.get(t)[1].append(i)
+    found.make_automaton()
+    return found if len(found) else None
+
+
 def _finder(block: list[tuple], key: int, q: int, rate: float):
     def run(batches):
-        index = _INDEX.get(key)
-        if index is None:
+        held_index = _INDEX.get(key)
+        if held_index is None:
             _INDEX.clear()  # one block at a time
-            index = _INDEX[key] = build(block, q, rate)
-        size = max(len(t) for t in index.texts)
+            held_index = _INDEX[key] = build([x for x in block if len(x[1]) >= q], q, rate), _short([x for x in block if len(x[1]) < q])
+        index, short = held_index
+        size = max((len(t) for t in index.texts), default=q)
         for b in batches:
             out = []
             ids, texts, held = [], [], 0
@@ -233,12 +265,18 @@ def _finder(block: list[tuple], key: int, q: int, rate: float):
                 # normalised texts and items have no line ends: nothing matches across two texts
                 joined = _codes("\n".join(texts))
                 starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-                for w, a, z, e in search(index, joined):
+                for w, a, z, e in search(index, joined) if index.ids else ():
                     d = int(np.searchsorted(starts, a, "right")) - 1
                     out.append((ids[d][0], index.ids[w], e, ids[d][1] + a - int(starts[d]), ids[d][1] + z - int(starts[d])))
 
             for doc, text in zip(b.doc_id, b.text):
                 t = normalised(text)
+                if short is not None:
+                    first = {}
+                    for z, (m, own) in short.iter(t):
+                        for i in own:
+                            first.setdefault(i, (z + 1 - m, z + 1))
+                    out += [(doc, i, 0, a, z) for i, (a, z) in first.items()]
                 for lo in range(0, max(len(t), 1), CHARS):
                     part = t[max(0, lo - 2 * size):lo + CHARS]
                     ids.append((doc, max(0, lo - 2 * size)))

@@ -4,9 +4,11 @@ Pieces are dealt at random to groups of bounded size. Each group is packed
 best-fit decreasing; then underfull bins exchange one piece for one, two for
 one, or hand a piece over, whenever that raises the sum of squared fills: the
 fuller bin of the two gains, the emptier one loses until nothing is left in it.
-The bins that stay underfull are taken apart, their pieces dealt to fewer
-groups and packed again, until one group holds all that is left. Only lengths
-and ids move; no group or round sees token ids or texts.
+A group's search ends when no exchange raises the sum any more. The bins that
+stay underfull are taken apart, their pieces dealt to fewer groups and packed
+again, until one group holds all that is left or a turn has emptied less than
+``LEAST_GAIN`` of them. Only lengths and ids move; no group or round sees token
+ids or texts.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from tessera.llm.tokens import ByteIds, shared
 LIMIT = 2048
 #: Pieces a group has on average: bounds a task's memory and time, whatever the input.
 GROUP = 20_000
+#: Share of the underfull bins that dealing anew must empty for another turn.
+LEAST_GAIN = 0.005
 
 
 # ------------------------------------------------------------------ token pieces
@@ -86,16 +90,24 @@ class _Underfull:
         self.open = {i for i, f in enumerate(self.fill) if 0 < f < limit}
         self.at: list[set] = [set() for _ in range(limit + 1)]
         self.present = 0
+        self.pairs: dict[int, int] = {}  # bit s: the bin has two pieces of s together
+        self.any_pair = 0                # of all bins, those now full too until the next pass
         for i in self.open:
             self.index(i)
 
     def index(self, i):
+        seen = sums = 0
         for k in self.bins[i]:
             s = self.sizes[k]
             self.at[s].add(i)
             self.present |= 1 << s
+            sums |= seen << s
+            seen |= 1 << s
+        self.pairs[i] = sums
+        self.any_pair |= sums
 
     def unindex(self, i):
+        self.pairs.pop(i, None)
         for k in self.bins[i]:
             s = self.sizes[k]
             self.at[s].discard(i)
@@ -148,10 +160,15 @@ class _Underfull:
         return True
 
     def two(self, t, donors) -> bool:
-        """Two pieces of an emptier bin for one of t."""
-        room = self.limit - self.fill[t]
+        """Two pieces of a bin that is no fuller for one of t; ``donors`` has all bins by fill."""
+        room, wanted = self.limit - self.fill[t], 0
+        for k in self.bins[t]:
+            low = self.sizes[k]
+            wanted |= (1 << (low + room + 1)) - (1 << (low + 1))
+        if not wanted & self.any_pair:
+            return False
         for d in donors:
-            if d == t or d not in self.open or self.fill[d] > self.fill[t] or len(self.bins[d]) < 2:
+            if d == t or d not in self.pairs or self.fill[d] > self.fill[t] or not wanted & self.pairs[d]:
                 continue
             have = sorted((self.sizes[k], k) for k in self.bins[d])
             for k in self.bins[t]:
@@ -171,17 +188,21 @@ class _Underfull:
         return False
 
 
-def improve(sizes: list[int], bins: list[list[int]], limit: int = LIMIT, passes: int = 6) -> list[list[int]]:
-    """Local search on the underfull bins; every step raises the sum of squared fills."""
+def improve(sizes: list[int], bins: list[list[int]], limit: int = LIMIT) -> list[list[int]]:
+    """Local search on the underfull bins, until a pass over all of them changes nothing.
+
+    Every step raises the sum of squared fills, which is bounded, so it ends.
+    """
     u = _Underfull(sizes, bins, limit)
-    for _ in range(passes):
-        changed = False
-        emptiest = sorted(u.open, key=lambda i: (u.fill[i], i))[:32]
-        for t in sorted(u.open, key=lambda i: (-u.fill[i], i)):
-            while t in u.open and (u.one(t) or u.two(t, emptiest)):
+    changed = True
+    while changed:
+        changed, u.any_pair = False, 0
+        for sums in u.pairs.values():
+            u.any_pair |= sums
+        donors = sorted(u.open, key=lambda i: (u.fill[i], i))
+        for t in reversed(donors):
+            while t in u.open and (u.one(t) or u.two(t, donors)):
                 changed = True
-        if not changed:
-            break
     return [b for b in u.bins if b]
 
 
@@ -203,11 +224,13 @@ def _pack(limit: int):
 
 
 # ------------------------------------------------------------------ all groups
-def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame:
+def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP, least_gain: float = LEAST_GAIN) -> DataFrame:
     """Add sequence_id and offset to pieces of 1 to ``limit`` tokens.
 
     ``pieces`` has doc_id, piece, start, length; further columns come along.
-    Every piece is placed, gapless from 0 in its sequence. Equal pieces and
+    Every piece is placed, gapless from 0 in its sequence. The ids of ``pieces``
+    come from the rank file of the same vocabulary where ``token_pieces`` is
+    given one; tests hold them equal to the library's. Equal pieces and
     repeated rows are packed one by one; an empty table gives an empty result.
     """
     rest = written(pieces, "pieces")
@@ -225,8 +248,8 @@ def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame
         got = written(dealt.groupBy("_g").applyInPandas(
             _pack(limit), f"{schema}, _g long, bin long, offset long, fill long"), "packed")
         bins = got.where("offset = 0").agg(F.count(F.lit(1)), F.count_if(F.col("fill") < limit)).first()
-        # the last turn: one group held everything, or dealing anew no longer empties bins
-        last = groups == 1 or before is not None and bins[0] > 0.995 * before
+        # the last turn: one group held everything, or dealing anew has emptied too few bins
+        last = groups == 1 or before is not None and bins[0] > (1 - least_gain) * before
         ready = got if last else got.where(F.col("fill") == limit)
         number = F.lit(turn << 56) + F.col("_g") * F.lit(1 << 24) + F.col("bin")
         done = done.unionByName(ready.withColumns({"doc_id": F.col("doc_id").cast("long"), "sequence_id": number})

@@ -145,7 +145,7 @@ def test_leaks_equal_brute_force(spark, clash):
     want = set()
     for d, t in docs:
         for i, x in items:
-            if x is not None and len(D.normalised(x)) >= D.Q and t is not None:
+            if x and t is not None:
                 n = distance(D.normalised(x), D.normalised(t))
                 if n <= D.edits(len(D.normalised(x))):
                     want.add((d, i, n))
@@ -157,6 +157,31 @@ def test_leaks_equal_brute_force(spark, clash):
     assert {(r.doc_id, r.item_id): r.edits for r in got.collect()} == best and len(best) > 10
 
 
+def test_short_items_are_sought_as_they_are(spark):
+    items = [(1, "Ab c"), (2, "x"), (3, "ab c"), (4, None), (5, " "), (6, "中文"), (7, "ab cdefgh")]
+    docs = [(1, "zab  C"), (2, "nothing"), (3, "中文ab\ncdefgh"), (4, None), (5, "")]
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.edits, r.start_char, r.end_char) for r in got.collect()) == [
+        (1, 1, 0, 1, 5), (1, 3, 0, 1, 5), (3, 1, 0, 2, 6), (3, 3, 0, 2, 6), (3, 6, 0, 0, 2), (3, 7, 0, 2, 11)]
+    none = spark.createDataFrame([(1, None), (2, None)], "item_id long, text string")
+    assert D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), none).collect() == []
+
+
+@pytest.mark.parametrize("hits", [1, 50, 1 << 22])
+def test_shared_phrases_are_counted_in_bounded_parts(monkeypatch, hits):
+    """Many items with one phrase and texts that repeat it: the same occurrences however few hits are laid out at a time."""
+    rnd = random.Random(hits)
+    phrase = "which of the following statements is true about"
+    items = [(str(k), f"{phrase} {''.join(rnd.choice('abcdefgh') for _ in range(20))} {k}") for k in range(40)] + [("40", "ab" * 60)]
+    text = " ".join([phrase] * 30 + [items[7][1], phrase, items[31][1], phrase * 3, "ab" * 200])
+    index = D.build(items)
+    want = {(w, a, z, e) for w, a, z, e in D.search(index, D._codes(text))}
+    monkeypatch.setattr(D, "HITS", hits)
+    got = set(D.search(D.build(items), D._codes(text)))
+    assert {w for w, *_ in got} == {w for w, *_ in want} == {7, 31, 40}
+    assert {min(x[3] for x in got if x[0] == w) for w in (7, 31, 40)} == {0}
+
+
 def test_long_texts_items_and_blocks(spark, empty, monkeypatch):
     rnd = np.random.default_rng(3)
     long_item = " ".join("".join(rnd.choice(list("abcdefghij"), 6)) for _ in range(300))
