@@ -43,14 +43,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with a null doc_id cannot be told apart from one another by an id; they stay.
     """
     groups = simhash_groups(docs, shingle=3, bits=3)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    # written, so that the planner knows its size: few ids are broadcast, and no text is shuffled
+    gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     return _columns(docs.join(gone, "doc_id", "left_anti"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents in which a benchmark item occurs go."""
-    hit = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return _columns(docs.join(hit, "doc_id", "left_anti"))
+    """Operator 8: documents in which a benchmark item occurs go.
+
+    Rows with a null doc_id have no id to go by: they are searched again under a
+    hash of their text, and those that are hit go as well.
+    """
+    benchmark = table(spark, sf_dir, "benchmark")
+    own = F.xxhash64("text")
+    hit = contaminated(docs, benchmark).select("doc_id").where("doc_id IS NOT NULL").distinct()
+    nameless = contaminated(docs.where("doc_id IS NULL").select(own.alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
+    gone = written(hit.withColumn("nameless", F.lit(False)).unionByName(nameless.withColumn("nameless", F.lit(True))), "gone")
+    key = F.struct(F.coalesce("doc_id", own).alias("k"), F.col("doc_id").isNull().alias("nameless"))
+    return _columns(docs.withColumn("_key", key).join(gone.select(F.struct(F.col("doc_id").alias("k"), "nameless").alias("_key")), "_key", "left_anti"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
