@@ -1,10 +1,12 @@
+import random
+
 import corpus_pipeline
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 from tessera.llm.queries import QUERIES, tokenizer_file
-from tessera.llm.quotes import link_quotes, parse
+from tessera.llm.quotes import link_quotes, ordered, parse, quoted_units, said_units
 
 from .test_dedup_simhash import brute_fingerprint, brute_groups
 from .test_lines_leaks import whole
@@ -38,6 +40,65 @@ def test_links_follow_quotations(spark):
     assert got[2, 9].text == "" and len(got) == len(rows)
 
 
+def brute_links(rows):
+    """Links, depths and the reply order by loops over all earlier messages."""
+    out = {}
+    for conv in {c for c, *_ in rows}:
+        runs = {t: parse(x or "") for c, t, _, x in rows if c == conv}
+        up, turns = {}, sorted(runs)
+        for t in turns:
+            votes = {}
+            for u, d in quoted_units(runs[t]).items():
+                origs = [e for e in turns if e < t and u in said_units(runs[e])]
+                if origs:
+                    qd, n = votes.get(max(origs), (d, 0))
+                    votes[max(origs)] = min(d, qd), max(len(u), n)
+            best = max(((-d, n, e) for e, (d, n) in votes.items()), default=None)
+            before = [e for e in turns if e < t]
+            up[t] = (best[2] if best else max(before, default=None), best is not None)
+        order = []
+
+        def walk(t, depth):
+            order.append((t, depth))
+            for x in turns:
+                if up[x][0] == t:
+                    walk(x, depth + 1)
+        walk(turns[0], 0)
+        out |= {(conv, t): (*up[t], depth, k) for k, (t, depth) in enumerate(order)}
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_threads_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    say = lambda: " ".join(rnd.choice("red green blue lake stone river wind".split()) for _ in range(rnd.randint(1, 5)))
+    rows = []
+    for conv in range(12):
+        said, turn = [], 0
+        for _ in range(rnd.randint(1, 25)):
+            turn += rnd.choice([1, 2, 10**9])  # dense turns and time stamps
+            text = say() if rnd.random() < 0.8 else f"{say()}\n{say()}"
+            if said and conv % 3 and rnd.random() < 0.6:
+                q = rnd.choice(said).split("\n")
+                text = "\n".join([f"{'>' * rnd.choice([1, 1, 2])} {x}" for x in q] + [text])
+            said.append("\n".join(x for x in text.split("\n") if not x.startswith(">")))
+            rows.append((conv, turn, "user", text))
+    want = brute_links(rows)
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, reply_to string")
+    got = link_quotes(df)
+    assert {(r.conv_id, r.turn): (r.reply_to, r.linked, r.depth, r.position) for r in got.collect()} == want
+    seq = [(r.conv_id, r.position) for r in ordered(got).collect()]
+    assert seq == sorted(seq) and len(seq) == len(rows)
+
+
+def test_many_replies_to_one_message_and_a_very_long_text(spark):
+    long = " ".join(f"w{k}" for k in range(200_000))
+    rows = [(1, 0, "user", A)] + [(1, t, "user", f"> {A}\nreply {t}") for t in range(1, 400)] + [(2, 0, "user", long), (2, 1, "user", f"> {long}\nwell")]
+    got = links(spark, rows)
+    assert all((got[1, t].reply_to, got[1, t].depth, got[1, t].position) == (0, 1, t) for t in range(1, 400))
+    assert got[2, 1].linked and got[2, 1].quoted_chars == len(long)
+
+
 def test_short_messages_are_linked(spark):
     rows = [(1, 0, "user", "Yes, sure"), (1, 1, "assistant", A), (1, 2, "user", "> Yes, sure\nThen do it."),
             (2, 0, "user", "请问花园在哪里呢？"), (2, 1, "assistant", B), (2, 2, "user", "> 请问花园在哪里呢？\n里昂"),
