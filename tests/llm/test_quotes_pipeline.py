@@ -175,4 +175,22 @@ def test_every_stage_equals_its_brute_force(spark, stages):
 def test_run_and_registry(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.count() > 50 and "sequence_id" in got.columns
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_stages_with_nulls_repeats_and_clashing_names(spark, odd, empty, clash):
+    """Rows without an id: contaminated ones go, clean ones stay; an empty table passes through every stage."""
+    sf = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("text IS NOT NULL").first().text
+    rows = [(None, f"before {item} after", "en", "s", 1), (None, "clean words of nobody", None, None, None), (900, item, "en", "s", 1),
+            (900, item, "en", "s", 1), (901, "clean as well", "en", "s", 1), (902, None, None, None, None)]
+    docs = clash(odd.unionByName(spark.createDataFrame(rows, odd.schema)))
+    left = corpus_pipeline.decontaminate(spark, docs, sf)
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    want = [(r.doc_id, r.text) for r in docs.collect() if not (r.text and item in r.text)]
+    assert sorted(kept, key=str) == sorted(want, key=str) and left.columns == list(corpus_pipeline.COLUMNS)
+    near = corpus_pipeline.near_dedup(spark, docs, sf).collect()
+    assert sum(r.doc_id is None for r in near) == sum(r.doc_id is None for r in docs.collect())
+    now = empty
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, now, sf).collect() == []
