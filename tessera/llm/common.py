@@ -88,15 +88,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: every neighbour larger than u goes to the least of u's neighbourhood
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = with_group(cur.select(F.col("v").alias("u"), F.col("u").alias("w")), ["u"], "w", {"_n": F.count(F.lit(1))},
-                           {"_n": F.sum("_n")}, keep=lambda g, least=least: g.join(least, "u")) \
-            .select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
+        large = with_group(both, ["u"], "v", {"m": F.min("v")}, {"m": F.min("m")}).where("v > u") \
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         # small star: u and all its smaller neighbours go to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = with_group(large, ["u"], "v", {"m": F.min("v")}, {"m": F.min("m")})
-        nxt = small.select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        nxt = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         cur = written(nxt, "cc")
         now = tuple(cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:

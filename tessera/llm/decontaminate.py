@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 Q, RATE, WINDOW = 9, 0.09, 400
 BLOCK_CHARS = 1 << 21
 #: Characters of documents that are searched together, and of one long text at a time.
-CHARS = 1 << 20
+CHARS = 1 << 19
 #: Shared q-grams laid out at a time.
-HITS = 1 << 22
+HITS = 1 << 20
 _BITS = 22
 _INDEX: dict = {}
 
