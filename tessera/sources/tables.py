@@ -47,14 +47,40 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(n)) if n else df
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem x orders x customer x part x nation x region.
+#: Bytes of the lineitem files for a partition of the raw view: about 250,000 rows, whatever the table's size.
+RAW_PARTITION_BYTES = 4 << 20
 
-    The two big sides (lineitem, orders) and the mid-size dimensions
-    (customer, part) are left to the planner: sort-merge joins on their keys,
-    or AQE broadcast when the runtime size is under the threshold. nation and
+
+def _file_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Size of a table's files, by the file system's own listing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def _even(df: DataFrame, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``df`` dealt by ``key`` to a number of partitions that grows with lineitem.
+
+    Rows get wide behind the last join, and are grouped whole when copies are
+    removed. The planner's own partitions are as large as the narrow rows
+    before the join allow, so a task would hold a million wide rows. A table of
+    a few partitions' worth is left to the planner.
+    """
+    n = -(-_file_bytes(spark, sf_dir, "lineitem") // RAW_PARTITION_BYTES)
+    if n <= 8:
+        return df
+    return df.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
+def _joined(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
+    """lineitem x part, with orders x customer x nation x region.
+
+    The dimensions are joined to the side that holds their key, so a line is
+    shuffled by its part and by its order only, never by its customer. Big and
+    mid-size tables are left to the planner: sort-merge joins on their keys, or
+    AQE broadcast when the runtime size is under the threshold. nation and
     region are fixed-size reference tables (25 and 5 rows in TPC-H at every
-    scale), so broadcasting them is bounded.
+    scale), so broadcasting them is bounded. ``even`` bounds the rows of a
+    partition behind the last join.
     """
     li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -68,10 +94,10 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     re = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = F.broadcast(na.join(F.broadcast(re), na.n_regionkey == re.r_regionkey))
     # left joins: an order line without its order, customer, part or nation stays, with nulls
-    return (li.join(od, li.l_orderkey == od.o_orderkey, "left")
-              .join(cu, od.o_custkey == cu.c_custkey, "left")
-              .join(pa, li.l_partkey == pa.p_partkey, "left")
-              .join(geo, cu.c_nationkey == geo.n_nationkey, "left"))
+    lines = li.join(pa, li.l_partkey == pa.p_partkey, "left")
+    lines = _even(lines, "l_orderkey", spark, sf_dir) if even else lines
+    orders = od.join(cu, od.o_custkey == cu.c_custkey, "left").join(geo, cu.c_nationkey == geo.n_nationkey, "left")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
 
 
 def _rating() -> Column:
@@ -124,7 +150,7 @@ SPELLINGS = ("male", "m", "MALE", "M", "female", "f", "FEMALE", "F", "N/A")
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw 20-column frame with deterministic defects, one row per lineitem and
     a second copy of every 33rd."""
-    j = _joined(spark, sf_dir)
+    j = _joined(spark, sf_dir, even=True)
     k, ck = F.col("l_orderkey"), F.col("o_custkey")
     kl = F.col("l_orderkey") + F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
