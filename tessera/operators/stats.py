@@ -24,6 +24,8 @@ from tessera.session import materialize
 # The columns of the descriptive table and of the normality tests.
 DESC_COLS = ("age", "unit_price", "discount", "total_sales", "customer_rating", "quantity", "shipping_days")
 NORMAL_COLS = ("age", "unit_price", "total_sales", "customer_rating", "discount")
+#: Rows that the shared scan of the columns' samples keeps, as a multiple of the sample's size.
+SAMPLE_SPARE = 4
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -262,11 +264,17 @@ def normality_sample(df: DataFrame, cols: Sequence[str] = NORMAL_COLS, sample_si
     """The (column, v) rows that A2 tests: a bounded sample of each column's values."""
     cols = _present(df, cols)
     keys = list(key_cols) or [c for c in df.columns if c not in cols][:4]
+    values = {f"_v{i}": F.col(c).cast("double") for i, c in enumerate(cols)}
+    rows = df.select(*keys, *[F.when(~F.isnan(v), v).alias(n) for n, v in values.items()])
+    # one scan for all columns: if the first rows hold sample_size values of a column, these are its sample
+    first = materialize(row_sample(rows, SAMPLE_SPARE * sample_size, keys, seed))
+    found = first.agg(F.count(F.lit(1)).alias("rows"), *[F.count(n).alias(n) for n in values]).first()
     parts = []
-    for c in cols:
-        s = df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
-        s = row_sample(s.select(*keys, F.col(c).cast("double").alias("v")), sample_size, keys, seed)
-        parts.append(s.select(F.lit(c).alias("column"), "v"))
+    for n, c in zip(values, cols):
+        # a column with too few values there gets a scan of its own, unless these are all rows
+        enough = found[n] >= sample_size or found["rows"] < SAMPLE_SPARE * sample_size
+        s = (first if enough else rows).where(F.col(n).isNotNull()).select(*keys, F.col(n).alias("v"))
+        parts.append(row_sample(s, sample_size, keys, seed).select(F.lit(c).alias("column"), "v"))
     sample = parts[0]
     for x in parts[1:]:
         sample = sample.unionByName(x)
