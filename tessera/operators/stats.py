@@ -37,6 +37,8 @@ def describe(df: DataFrame, cols: Sequence[str] = DESC_COLS) -> DataFrame:
     """count, mean, median, std (n-1), min, max, population skewness and
     excess kurtosis per column."""
     cols = _present(df, cols)
+    # the moments and the medians scan their columns three times; the view behind them is computed once
+    df = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
     lng = long_values(df, cols)
     mom = lng.groupBy("column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
