@@ -172,6 +172,8 @@ def modes(df: DataFrame, cols) -> dict:
 
 def impute_missing(df: DataFrame, p: CleaningParams = CleaningParams(), values: dict | None = None) -> DataFrame:
     """Fill numeric nulls with the exact median, categorical with the mode."""
+    if values is None:  # the fills scan the frame three times before it is filled: it is computed once
+        df = materialize(df, p.materialize)
     vals = values if values is not None else fill_values(df, p)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
                            for c, v in vals.items() if c in df.columns and v is not None})
