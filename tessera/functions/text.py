@@ -21,8 +21,13 @@ PY_WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 
 def py_strip(c: Column) -> Column:
     """Python ``str.strip()``: ``trim`` with Python's whitespace set (plain
-    ``trim`` removes only spaces); a codegen'd string function, no regex."""
-    return F.trim(c, F.lit(PY_WHITESPACE))
+    ``trim`` removes only spaces); a codegen'd string function, no regex.
+
+    ``trim`` looks every character up in the set and lists the places of all
+    before it starts from the right, so a text that begins and ends with a
+    visible ASCII character is handed back as it is."""
+    visible = c.between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    return F.when(visible, c).otherwise(F.trim(c, F.lit(PY_WHITESPACE)))
 
 
 def title_case(c: Column) -> Column:

@@ -92,10 +92,11 @@ def fix_dates(df: DataFrame, col: str = "order_date", fmt: str = "yyyy-MM-dd") -
 # ------------------------------------------------------------------ C4-C7
 def standardise_gender(df: DataFrame, col: str = "gender") -> DataFrame:
     """C4: strip + fixed spelling map; unknown spellings are kept and flagged."""
-    s = py_strip(F.col(col))
+    df = df.withColumn(col, py_strip(F.col(col)))  # once, not in each of the columns that follow from it
+    s = F.col(col)
     mapped = lookup(s, GENDER_MAP)
     known = mapped.isNotNull()
-    unknown = F.col(col).isNotNull() & ~known & ~s.isin(*GENDER_CANONICAL)
+    unknown = s.isNotNull() & ~known & ~s.isin(*GENDER_CANONICAL)
     return df.withColumns({col: F.coalesce(mapped, s), "_g_fixed": known, "_g_unknown": unknown})
 
 
@@ -267,13 +268,18 @@ class CleanResult:
 
 
 def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanResult:
-    """C1-C19 in the reference order, returning the clean frame and its report."""
+    """C1-C19 in the reference order, returning the clean frame and its report.
+
+    The deduplicated frame is written, the clean frame is not: it is a
+    projection with the fills and bounds as literals. The report's counters are
+    two aggregates over the written frame, made when the report is asked for.
+    """
     from tessera.operators import quality
 
     dedup = count_copies(nan_to_null(raw))
     staged = fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
-    # every later global aggregate scans this frame: pin it once, and count on the way
-    staged, before = counted(staged, quality.staged_counters(staged, p), p.materialize)
+    # every later global aggregate scans this frame: pin it once
+    staged = materialize(staged, p.materialize)
     # one distributed selection serves the upper-median date and the numeric
     # medians (both read the staged table)
     num = [c for c in p.median_cols if c in staged.columns]
@@ -292,9 +298,18 @@ def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanRe
     capped = cap_outliers(imputed, p, {c: (b["lo"], b["hi"]) for c, b in bounds.items()})
     final = type_cast(recompute_derived(capped, p.half_even))
     hidden = [*FLAGS, "_mult", "_cells", *[c for c in final.columns if c.startswith("_cap_")]]
-    final, after = counted(final, quality.final_counters(final, final.drop(*hidden).columns, p), p.materialize)
+    # a projection of the pinned frame: not written, so what reads it computes only the columns it needs
     clean = final.drop(*hidden)
-    return CleanResult(clean, lambda: quality.build_report(raw.columns, staged, clean, before(), after(), bounds, fills, p))
+
+    def report():
+        before = _values(staged, quality.staged_counters(staged, p))
+        after = _values(final, quality.final_counters(final, clean.columns, p))
+        return quality.build_report(raw.columns, staged, clean, before, after, bounds, fills, p)
+    return CleanResult(clean, report)
+
+
+def _values(df: DataFrame, aggregates: dict) -> dict:
+    return df.agg(*[c.alias(n) for n, c in aggregates.items()]).first().asDict()
 
 
 def counted(df: DataFrame, counters: dict, mode: str = "checkpoint"):

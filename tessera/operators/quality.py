@@ -1,8 +1,8 @@
 """Data-quality measures: raw profile (S2), validation (C18), score (C19),
 issue listing (C20).
 
-The counters are observed by the jobs that write the staged and the final
-frame (``clean.counted``); the report row is made of their values.
+The counters are aggregates over the written staged frame and the final frame
+projected from it; the report row is made of their values.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ def final_counters(final: DataFrame, columns: list[str], p: CleaningParams = Cle
 
 def build_report(raw_columns: list[str], staged: DataFrame, clean: DataFrame, before: dict, after: dict, bounds: dict,
                  fills: dict, p: CleaningParams = CleaningParams()):
-    """Assemble (report, issues, validation) of a ``clean_sales`` run from its counters; nothing is scanned."""
+    """Assemble (report, issues, validation) of a ``clean_sales`` run from its counters."""
     from tessera.operators.clean import string_columns
 
     spark = clean.sparkSession
