@@ -11,7 +11,9 @@ their digits: logarithms of ratios near 1 by ``log1p``, and the remainders of
 Stirling's formula instead of differences of log-gammas.
 
 The normal tail is for whole columns: its series and fraction have a fixed
-number of terms, written out, so they stay in generated code.
+number of terms. Written out they make a method of generated code that is too
+long for the JVM to compile, so they are aggregates over constants, and both
+tails of a value share them.
 
 Beyond ``MANY`` degrees of freedom the limits are used (normal for t,
 chi-square for F); they differ by less than one over the degrees of freedom.
@@ -119,23 +121,25 @@ def pearson_p(r, n) -> Column:
     return F.when(ok, F.when(F.abs(r) >= 1.0, 0.0).otherwise(t_two_sided(t, n - 2)))
 
 
-def ln_normal_sf(z: Column) -> Column:
+def normal_parts(z: Column) -> tuple[Column, Column]:
+    """What ``ln_normal_sf`` of z and of -z have in common: the series near 0 and the far tail, each null where the other holds."""
+    u = F.abs(z)
+    constants = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    series = F.aggregate(constants(2 * k + 1 for k in range(32, 0, -1)), F.lit(1.0), lambda s, c: 1.0 + z * z / c * s)
+    fraction = F.aggregate(constants(range(50, 0, -1)), u, lambda f, k: u + k / f)
+    far = -u * u / 2 - 0.5 * math.log(2 * math.pi) - F.log(fraction)
+    return F.when(u <= 2.5, series), F.when(u > 2.5, far)
+
+
+def ln_normal_sf(z: Column, parts: tuple[Column, Column] | None = None) -> Column:
     """ln P(Z > z) of the standard normal, with full relative precision in both tails.
 
     Within 2.5 deviations by the series z + z^3/3 + z^5/15 + ..., beyond by the
-    continued fraction of Mills' ratio; both from the last term back.
+    continued fraction of Mills' ratio; both from the last term back. ``parts``
+    are the columns of ``normal_parts`` if they are at hand.
     """
-    def fraction(u: Column) -> Column:
-        f = u
-        for k in range(50, 0, -1):
-            f = u + k / f
-        return -u * u / 2 - 0.5 * math.log(2 * math.pi) - F.log(f)
-
-    s = F.lit(1.0)
-    for k in range(32, 0, -1):
-        s = 1.0 + z * z / (2 * k + 1) * s
+    s, far = parts or normal_parts(z)
     middle = F.log(0.5 - z * s * F.exp(-z * z / 2) / math.sqrt(2 * math.pi))
-    far = fraction(F.greatest(F.abs(z), F.lit(2.5)))
     return F.when(z > 2.5, far).when(z < -2.5, F.log1p(-F.exp(far))).otherwise(middle)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions import distributions as D
 from tessera.functions.numeric import money_sum, round_half_even
 from tessera.functions.quantiles import long_values, percentiles
-from tessera.functions.special import anderson_darling_p, chi2_sf, f_sf, lilliefors_p, ln_normal_sf, pearson_p
+from tessera.functions.special import anderson_darling_p, chi2_sf, f_sf, lilliefors_p, ln_normal_sf, normal_parts, pearson_p
 from tessera.functions.windows import running_sum
 from tessera.params import AbcParams
 from tessera.session import materialize
@@ -335,7 +335,9 @@ def normality_full(df: DataFrame, cols: Sequence[str] = NORMAL_COLS) -> DataFram
         F.sqrt(F.sum(F.col("c") * dev * dev) / (F.first("n") - 1)).alias("sd"))
     ok = (F.col("n") >= 5) & (F.col("sd") > 0) & (F.col("x1") < float("inf")) & (F.col("x0") > -float("inf"))
     x = ranked.join(F.broadcast(m.withColumn("ok", ok)), "column").withColumn("z", F.when(F.col("ok"), dev / F.col("sd")))
-    x = x.withColumns({"above": ln_normal_sf(F.col("z")), "under": ln_normal_sf(-F.col("z"))})
+    x = x.withColumns(dict(zip(("_near", "_far"), normal_parts(F.col("z")))))
+    parts = F.col("_near"), F.col("_far")
+    x = x.withColumns({"above": ln_normal_sf(F.col("z"), parts), "under": ln_normal_sf(-F.col("z"), parts)})
     n, c, hi = (F.col(k).cast("double") for k in ("n", "c", "upto"))
     lo = hi - c
     # ranks lo+1 .. hi of equal values: their weights 2i - 1 add up to hi^2 - lo^2, those from the other end likewise
