@@ -13,6 +13,7 @@ report has counted them; ``drop_flags`` removes them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
@@ -23,7 +24,7 @@ from tessera.functions.numeric import clip, round_half_even, round_half_up
 from tessera.functions.quantiles import percentiles
 from tessera.functions.text import GENDER_CANONICAL, GENDER_MAP, lookup, py_strip, title_case
 from tessera.params import CleaningParams
-from tessera.session import materialize
+from tessera.session import materialize, materialize_each
 
 FLAGS = ("_bad_date", "_g_fixed", "_g_unknown", "_neg_qty", "_bad_rating")
 
@@ -55,12 +56,34 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def count_copies(df: DataFrame) -> DataFrame:
-    """C1 with what the report needs: ``_mult`` copies of each row and its ``_cells`` null cells."""
-    cells = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
+def count_copies(df: DataFrame, *more: str) -> DataFrame:
+    """C1 with what the report needs: ``_mult`` copies of each row and its ``_cells`` null cells.
+
+    ``more`` names columns that are in the key and not of the row."""
+    cells = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns if c not in more])
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_mult")).withColumn("_cells", cells)
 
 
+def staged_shares(shares: Sequence[DataFrame], steps, near: str, key: str = "order_id", mode: str = "checkpoint") -> DataFrame:
+    """The rows of ``shares`` without their copies, behind the row-level ``steps``, written share by share.
+
+    Rows with the same ``near`` are in one share, and ``near`` is ``key`` where
+    that is not null. So copies have the same ``near``, and where a join has
+    dealt the rows by it they are found in its tasks: whole rows, several times
+    as wide as the tables', are not shuffled. Only rows without a ``key`` may be
+    copies under another ``near``: they keep their values as they came and are
+    grouped once more.
+    """
+    columns = [c for c in shares[0].columns if c != near]
+    lone = F.when(F.col(key).isNull(), F.struct(*columns))
+    staged = materialize_each([steps(count_copies(nan_to_null(s), near).withColumn("_lone", lone).drop(near)) for s in shares], mode)
+    apart = staged.where(F.col(key).isNull())
+    if apart.isEmpty():
+        return staged.drop("_lone")
+    once = apart.select("_lone.*", "_mult", "_cells").groupBy(*columns).agg(F.sum("_mult").alias("_mult"), F.max("_cells").alias("_cells"))
+    return staged.where(F.col(key).isNotNull()).drop("_lone").unionByName(materialize(steps(once), mode))
+
+
 # ------------------------------------------------------------------ C2, C3
 def parse_dates(df: DataFrame, col: str = "order_date", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Text -> date, unparseable -> null (flagged in ``_bad_date``)."""
@@ -267,19 +290,23 @@ class CleanResult:
         return self._get(2)
 
 
-def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams()) -> CleanResult:
+def clean_sales(raw: DataFrame, p: CleaningParams = CleaningParams(), shares: Sequence[DataFrame] = (), near: str = "") -> CleanResult:
     """C1-C19 in the reference order, returning the clean frame and its report.
 
     The deduplicated frame is written, the clean frame is not: it is a
     projection with the fills and bounds as literals. The report's counters are
     two aggregates over the written frame, made when the report is asked for.
+    ``shares`` are the rows of ``raw`` dealt by their column ``near``, as
+    ``staged_shares`` has them: they are then written one after the other.
     """
     from tessera.operators import quality
 
-    dedup = count_copies(nan_to_null(raw))
-    staged = fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
+    def steps(dedup: DataFrame) -> DataFrame:
+        return fix_invalid_values(standardise_categoricals(parse_dates(dedup, "order_date", p.date_format)), p)
+
     # every later global aggregate scans this frame: pin it once
-    staged = materialize(staged, p.materialize)
+    staged = staged_shares(shares, steps, near, mode=p.materialize) if shares \
+        else materialize(steps(count_copies(nan_to_null(raw))), p.materialize)
     # one distributed selection serves the upper-median date and the numeric
     # medians (both read the staged table)
     num = [c for c in p.median_cols if c in staged.columns]

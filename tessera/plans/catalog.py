@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.operators import marts
 from tessera.params import ForecastParams, ReportingParams
 from tessera.session import materialize
+from tessera.sources import LINE_ORDER, raw_shares
 from tessera.sources import sales as _sales_view
 from tessera.sources import sales_raw as _sales_raw_view
 
@@ -105,7 +106,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> C.CleanResult:
     materialisation it needs (staging the raw view first would write twice)."""
     key = _version(spark, sf_dir)
     if key not in _CLEANED:
-        _CLEANED[key] = C.clean_sales(_sales_raw_view(spark, sf_dir))
+        _CLEANED[key] = C.clean_sales(_sales_raw_view(spark, sf_dir), shares=raw_shares(spark, sf_dir), near=LINE_ORDER)
     return _CLEANED[key]
 
 

@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -133,3 +135,23 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     if mode == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
+
+
+#: Spark's own setting: the shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize_each(frames: Sequence[DataFrame], mode: str = "checkpoint") -> DataFrame:
+    """``materialize`` of the union of ``frames``, written one after the other: the disk holds the shuffle files of one."""
+    if mode != "checkpoint":
+        return materialize(reduce(DataFrame.unionByName, frames), mode)
+    spark = frames[0].sparkSession
+    path = stage_path(spark, "stage")
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        for df in frames:
+            df.write.mode("append").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)

@@ -57,7 +57,12 @@ def _file_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
 
 
-def _even(df: DataFrame, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Bytes of the lineitem files from which the raw view is made in a further share, and the most shares: each of them
+#: scans the tables, so that their number does not grow with the table's size.
+SHARE_BYTES, SHARES = 128 << 20, 4
+
+
+def _even(df: DataFrame, key: str, spark: SparkSession, sf_dir: str, shares: int = 1) -> DataFrame:
     """``df`` dealt by ``key`` to a number of partitions that grows with lineitem.
 
     Rows get wide behind the last join, and are grouped whole when copies are
@@ -65,13 +70,13 @@ def _even(df: DataFrame, key: str, spark: SparkSession, sf_dir: str) -> DataFram
     before the join allow, so a task would hold a million wide rows. A table of
     a few partitions' worth is left to the planner.
     """
-    n = -(-_file_bytes(spark, sf_dir, "lineitem") // RAW_PARTITION_BYTES)
+    n = -(-_file_bytes(spark, sf_dir, "lineitem") // (RAW_PARTITION_BYTES * shares))
     if n <= 8:
         return df
     return df.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
 
 
-def _joined(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
+def _joined(spark: SparkSession, sf_dir: str, even: bool = False, share: int = 0, shares: int = 1) -> DataFrame:
     """lineitem x part, with orders x customer x nation x region.
 
     The dimensions are joined to the side that holds their key, so a line is
@@ -80,11 +85,13 @@ def _joined(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
     AQE broadcast when the runtime size is under the threshold. nation and
     region are fixed-size reference tables (25 and 5 rows in TPC-H at every
     scale), so broadcasting them is bounded. ``even`` bounds the rows of a
-    partition behind the last join.
+    partition behind the last join. Of several ``shares``, which deal the lines by
+    order, the one numbered ``share`` is joined; the planner infers that of the orders.
     """
     li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate"))
+    li = li.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(shares)) == share) if shares > 1 else li
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select(
@@ -95,7 +102,7 @@ def _joined(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
     geo = F.broadcast(na.join(F.broadcast(re), na.n_regionkey == re.r_regionkey))
     # left joins: an order line without its order, customer, part or nation stays, with nulls
     lines = li.join(pa, li.l_partkey == pa.p_partkey, "left")
-    lines = _even(lines, "l_orderkey", spark, sf_dir) if even else lines
+    lines = _even(lines, "l_orderkey", spark, sf_dir, shares) if even else lines
     orders = od.join(cu, od.o_custkey == cu.c_custkey, "left").join(geo, cu.c_nationkey == geo.n_nationkey, "left")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
 
@@ -143,6 +150,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Of a row of ``raw_shares``: its order_id, and the line's own key where there is no such order.
+LINE_ORDER = "_line_order"
+
 #: The spellings that the cleaning step maps, one defect each.
 SPELLINGS = ("male", "m", "MALE", "M", "female", "f", "FEMALE", "F", "N/A")
 
@@ -150,7 +160,18 @@ SPELLINGS = ("male", "m", "MALE", "M", "female", "f", "FEMALE", "F", "N/A")
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw 20-column frame with deterministic defects, one row per lineitem and
     a second copy of every 33rd."""
-    j = _joined(spark, sf_dir, even=True)
+    return _raw_rows(_joined(spark, sf_dir, even=True))
+
+
+def raw_shares(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The rows of ``sales_raw`` in a few frames, with the order key of the line in ``LINE_ORDER``.
+
+    Rows of one order are in one frame and there in one partition, as the join left them."""
+    n = max(1, min(SHARES, -(-_file_bytes(spark, sf_dir, "lineitem") // SHARE_BYTES)))
+    return [_raw_rows(_joined(spark, sf_dir, True, i, n), F.col("l_orderkey").alias(LINE_ORDER)) for i in range(n)]
+
+
+def _raw_rows(j: DataFrame, *more: Column) -> DataFrame:
     k, ck = F.col("l_orderkey"), F.col("o_custkey")
     kl = F.col("l_orderkey") + F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
@@ -189,6 +210,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") == "R").alias("return_flag"),
         F.when(kl % 50 == 8, None).otherwise(_ship_days().cast("double")).alias("shipping_days"),
         (kl % 33 == 0).alias("_twice"),
+        *more,
     )
     # the copies are exploded behind the one join
     copies = F.explode(F.when(F.col("_twice"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy")
