@@ -59,7 +59,7 @@ def _file_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
 
 #: Bytes of the lineitem files from which the raw view is made in a further share, and the most shares: each of them
 #: scans the tables, so that their number does not grow with the table's size.
-SHARE_BYTES, SHARES = 128 << 20, 4
+SHARE_BYTES, SHARES = 64 << 20, 4
 
 
 def _even(df: DataFrame, key: str, spark: SparkSession, sf_dir: str, shares: int = 1) -> DataFrame:
